@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The modelled application is batch only: it has no stream source, watermark,
+time window or stateful operator, so this package stays empty on purpose.
+"""
