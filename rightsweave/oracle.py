@@ -15,6 +15,11 @@ D = f"DATE '{W.CONSULT_DATE}'"
 CREATORS = "('A', 'C', 'CA')"
 
 
+def round4(x: str) -> str:
+    """Spark's ``round(double, 4)``: HALF_UP on the shortest decimal text of the value."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), 4) AS DOUBLE)"
+
+
 def ctes(*parts: str, tables: tuple[str, ...] | None = None) -> str:
     """``WITH RECURSIVE`` world tables followed by the given CTE bodies."""
     head = W.world_ctes(tables, "duckdb").replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
@@ -226,7 +231,7 @@ def _dec(expr: str) -> str:
     return f"CAST(CAST({expr} AS DECIMAL(18,4)) AS VARCHAR)"
 
 
-def chain_text_sql(src: str) -> str:
+def chain_text_sql(src: str, extra: str = "") -> str:
     """Text projection of a chain table (matches ``registry.chain_text``)."""
     ors = ("array_to_string(list_transform(assignors, lambda x: concat_ws(':', CAST(x.catalog AS VARCHAR), "
            f"x.role, {_dec('x.pct_publisher')}, {_dec('x.pct_creator')}, "
@@ -239,7 +244,7 @@ def chain_text_sql(src: str) -> str:
         f"{_txt('genre_incl')} AS genre_incl_key, {_txt('genre_excl')} AS genre_excl_key, "
         f"{_txt('catalog_incl')} AS catalog_incl_key, {_txt('catalog_excl')} AS catalog_excl_key, "
         f"{_txt('work_incl')} AS work_incl_key, {_txt('work_excl')} AS work_excl_key, "
-        f"{_txt('territories')} AS territories_key FROM {src}"
+        f"{_txt('territories')} AS territories_key{', ' + extra if extra else ''} FROM {src}"
     )
 
 
@@ -259,16 +264,26 @@ CONTRACT_PARTS = (TERR, VALID, ASSIGNORS, ASSIGNEES, RESTRICTIONS, BASE)
 # ----------------------------------------------------------------- restitution
 
 
-def static_keys_sql(country: int = W.COUNTRY, right_type: str = W.RIGHT_TYPE, at: str = D) -> str:
+def static_keys_sql(batch: bool = False) -> str:
+    """Owner rows; ``batch`` takes the context of every request row."""
+    if batch:
+        req = ("(SELECT r.ide12, x.num_contexte, x.code_iso4n_pays, x.code_type_droit, x.date_consultation "
+               "FROM requests r JOIN contexts x ON r.num_contexte = x.num_contexte)")
+    else:
+        req = (f"(SELECT DISTINCT ide12, 0 AS num_contexte, {W.COUNTRY} AS code_iso4n_pays, "
+               f"'{W.RIGHT_TYPE}' AS code_type_droit, {D} AS date_consultation FROM oeuv)")
     return f"""
-sk AS (SELECT DISTINCT o.idoeuv, o.ide12, j.cdetypdrtsacem, p.numpers, p.numcatal, a.cle, p.cdecategadsacem,
+sk AS (SELECT DISTINCT q.num_contexte, q.code_iso4n_pays AS ctry,
+              o.idoeuv, o.ide12, j.cdetypdrtsacem, p.numpers, p.numcatal, a.cle, p.cdecategadsacem,
               p.let, a.cde_motif_mise_en_attente, c.idtercmplx, t.territoires, a.cedant, a.gestnr, c.priort
-       FROM (SELECT DISTINCT idoeuv, ide12 FROM oeuv
-             WHERE datdbtsys < {at} AND (datfinsys > {at} OR datfinsys IS NULL)) o
+       FROM {req} q
+       JOIN oeuv o ON o.ide12 = q.ide12 AND o.datdbtsys < q.date_consultation
+                  AND (o.datfinsys > q.date_consultation OR o.datfinsys IS NULL)
        JOIN (SELECT DISTINCT idcess, idoeuv, idtercmplx, priort FROM cess) c ON o.idoeuv = c.idoeuv
-       JOIN t_fold t ON c.idtercmplx = t.idtercmplx AND coalesce(list_contains(t.territoires, {country}), false)
-       JOIN (SELECT DISTINCT idjeucle, cdetypdrtsacem, idcess FROM jeucle WHERE cdetypdrtsacem = '{right_type}') j
-         ON j.idcess = c.idcess
+       JOIN t_fold t ON c.idtercmplx = t.idtercmplx
+                    AND coalesce(list_contains(t.territoires, q.code_iso4n_pays), false)
+       JOIN (SELECT DISTINCT idjeucle, cdetypdrtsacem, idcess FROM jeucle) j
+         ON j.idcess = c.idcess AND j.cdetypdrtsacem = q.code_type_droit
        JOIN (SELECT DISTINCT idayantdrt, idjeucle, idpartpt, cle, cedant, gestnr, cde_motif_mise_en_attente
              FROM ayant_droit) a ON a.idjeucle = j.idjeucle
        JOIN (SELECT DISTINCT idoeuv, idpartpt, numpers, numcatal, cdecategadsacem, let FROM partpt) p
@@ -276,18 +291,19 @@ sk AS (SELECT DISTINCT o.idoeuv, o.ide12, j.cdetypdrtsacem, p.numpers, p.numcata
 """
 
 
-def match_sql(country: int = W.COUNTRY, strict: bool = False) -> str:
-    part = "ch[1]" + (", ide12, lettrage, orig" if strict else "")
+def match_sql(strict: bool = False) -> str:
+    part = "num_contexte, ch[1]" + (", ide12, lettrage, orig" if strict else "")
     return f"""
-m AS (SELECT k.ide12, k.let AS lettrage, k.numcatal AS orig,
+m AS (SELECT k.num_contexte, k.ide12, k.let AS lettrage, k.numcatal AS orig,
              coalesce(f.assignor_role, k.cdecategadsacem) AS role_o,
              coalesce(f.assignee_catalog, k.numcatal) AS cat_f,
              coalesce(f.assignee_role, k.cdecategadsacem) AS role_f,
              f.chain AS ch, f.pct_publisher AS pe, f.pct_creator AS pc, k.cle, k.priort, k.gestnr, f.work_excl
       FROM sk k LEFT JOIN flat f
         ON k.numcatal = f.assignor_catalog AND f.right_type = k.cdetypdrtsacem
-       AND coalesce(list_contains(f.territories, {country}), false)),
-w1 AS (SELECT DISTINCT ide12, lettrage, orig, role_o, cat_f, role_f, ch, pe, pc, cle, gestnr, work_excl
+       AND coalesce(list_contains(f.territories, k.ctry), false)),
+w1 AS (SELECT DISTINCT num_contexte, ide12, lettrage, orig, role_o, cat_f, role_f, ch, pe, pc, cle, gestnr,
+                       work_excl
        FROM (SELECT *, coalesce(len(ch), -1) AS ln,
                     max(coalesce(len(ch), -1)) OVER (PARTITION BY {part}) AS mx,
                     max(priort) OVER (PARTITION BY {part}) AS mp FROM m)
@@ -297,12 +313,12 @@ w1 AS (SELECT DISTINCT ide12, lettrage, orig, role_o, cat_f, role_f, ch, pe, pc,
 
 SHARES = f"""
 s1 AS (SELECT *,
-         sum(CASE WHEN role_o = 'E' AND gestnr = 1 THEN cle ELSE 0 END) OVER g AS s_mgr,
-         sum(CASE WHEN role_o IN {CREATORS} THEN cle ELSE 0 END) OVER g AS s_crea,
+         CAST(sum(CAST(CASE WHEN role_o = 'E' AND gestnr = 1 THEN cle ELSE 0 END AS DECIMAL(38,12))) OVER g AS DOUBLE) AS s_mgr,
+         CAST(sum(CAST(CASE WHEN role_o IN {CREATORS} THEN cle ELSE 0 END AS DECIMAL(38,12))) OVER g AS DOUBLE) AS s_crea,
          max(CASE WHEN role_o = 'E' AND gestnr = 1 THEN pe END) OVER g AS m_pe,
          max(CASE WHEN role_o = 'E' AND gestnr = 1 THEN pc END) OVER g AS m_pc,
          sum(CASE WHEN gestnr <> 0 THEN 1 ELSE 0 END) OVER g AS n_man
-       FROM w1 WINDOW g AS (PARTITION BY ide12, lettrage)),
+       FROM w1 WINDOW g AS (PARTITION BY num_contexte, ide12, lettrage)),
 s2 AS (SELECT *, CASE WHEN role_o = 'E' AND gestnr = 1 THEN cle / nullif(s_mgr, 0) * 100
                       WHEN role_o IN {CREATORS} THEN cle / nullif(s_crea, 0) * 100 END AS prorata FROM s1),
 s3 AS (SELECT *, coalesce(CASE WHEN role_o = 'E' AND gestnr = 0 THEN m_pe
@@ -312,34 +328,38 @@ s4 AS (SELECT *, CASE WHEN n_man > 0 THEN cle * part / 100
                       ELSE CASE WHEN role_o IN {CREATORS} THEN cle * pc / 100 ELSE cle * pe / 100 END
                  END AS cede FROM s3),
 s5 AS (SELECT *, cle - coalesce(cede, 0) AS rest,
-              sum(CASE WHEN gestnr = 0 THEN cede END) OVER (PARTITION BY ide12, lettrage) AS s_unm FROM s4),
+              CAST(sum(CAST(CASE WHEN gestnr = 0 THEN cede END AS DECIMAL(38,12))) OVER (PARTITION BY num_contexte, ide12, lettrage) AS DOUBLE) AS s_unm
+       FROM s4),
 s6 AS (SELECT *, CASE WHEN ch IS NOT NULL AND gestnr = 0 THEN cede
                       WHEN ch IS NOT NULL AND gestnr = 1 THEN s_unm + cede
                       ELSE rest END AS fin FROM s5),
-s7 AS (SELECT ide12, lettrage, orig, role_o, pe, cle, rest,
+s7 AS (SELECT num_contexte, ide12, lettrage, orig, role_o, pe, cle, rest,
               CASE WHEN ex THEN cle ELSE fin END AS fin,
               CASE WHEN ex THEN orig ELSE cat_f END AS cat_f,
               CASE WHEN ex THEN role_o ELSE role_f END AS role_f,
               CASE WHEN ex THEN NULL ELSE ch END AS ch
        FROM (SELECT *, coalesce(list_contains(work_excl, ide12), false) AS ex FROM s6)),
-s8 AS (SELECT *, sum(cle) OVER (PARTITION BY ide12, lettrage, orig) AS gsum FROM s7),
-restit AS (SELECT DISTINCT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine,
-                  cat_f AS numcatal_ayant_droit_final, role_f AS role_ad_final,
-                  array_to_string(ch, '|') AS chaine_contrats, round(fin, 4) AS cle
-           FROM (SELECT ide12, lettrage, orig, role_o, cat_f, role_f, ch, fin FROM s8
+s8 AS (SELECT *, CAST(sum(CAST(cle AS DECIMAL(38,12))) OVER (PARTITION BY num_contexte, ide12, lettrage, orig) AS DOUBLE) AS gsum FROM s7),
+restit AS (SELECT DISTINCT num_contexte, ide12, lettrage, orig AS numcatal_cedant_origine,
+                  role_o AS role_ad_origine, cat_f AS numcatal_ayant_droit_final, role_f AS role_ad_final,
+                  array_to_string(ch, '|') AS chaine_contrats, {round4('fin')} AS cle
+           FROM (SELECT num_contexte, ide12, lettrage, orig, role_o, cat_f, role_f, ch, fin FROM s8
                  UNION ALL
-                 SELECT ide12, lettrage, orig, role_o, orig, role_o, NULL, rest FROM s8
+                 SELECT num_contexte, ide12, lettrage, orig, role_o, orig, role_o, NULL, rest FROM s8
                  WHERE ch IS NOT NULL AND pe <> 100 AND gsum <> 100))
 """
 
+RESULT = ("ide12, lettrage, numcatal_cedant_origine, role_ad_origine, numcatal_ayant_droit_final, "
+          "role_ad_final, chaine_contrats, cle")
+
 
 # --------------------------------------------------------------- query texts
 def _chain_tables() -> str:
     return ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH))
 
 
-def _restit(strict: bool = False) -> str:
-    return ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains"), static_keys_sql(),
+def _restit(strict: bool = False, batch: bool = False) -> str:
+    return ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains"), static_keys_sql(batch),
                 match_sql(strict=strict), SHARES)
 
 
@@ -422,8 +442,91 @@ def oracle_queries() -> dict[str, str]:
     q["rst_shares"] = _restit() + (
         "SELECT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine, "
         "cat_f AS numcatal_ayant_droit_final, role_f AS role_ad_final, "
-        "array_to_string(ch, '|') AS chaine_contrats, cle, gestnr, round(cede, 4) AS pct_cede, "
-        "round(rest, 4) AS pct_restant, round(fin, 4) AS pct_final FROM s6")
-    q["rst_restitution"] = _restit() + "SELECT * FROM restit"
-    q["rst_restitution_strict"] = _restit(strict=True) + "SELECT * FROM restit"
+        "array_to_string(ch, '|') AS chaine_contrats, cle, gestnr, "
+        f"{round4('cede')} AS pct_cede, {round4('rest')} AS pct_restant, {round4('fin')} AS pct_final FROM s6")
+    q["rst_restitution"] = _restit() + f"SELECT {RESULT} FROM restit"
+    q["rst_restitution_strict"] = _restit(strict=True) + f"SELECT {RESULT} FROM restit"
+    q["rst_restitution_batch"] = _restit(batch=True) + f"SELECT num_contexte, {RESULT} FROM restit"
+    _more(q)
     return q
+
+
+def _more(q: dict[str, str]) -> None:
+    q["src_projected_read"] = "SELECT DISTINCT l_orderkey, l_partkey, l_returnflag FROM lineitem"
+    q["src_parse_pipe_array"] = (
+        "SELECT l_partkey AS ide12, CASE WHEN l_linenumber % 3 = 1 THEN 'A' WHEN l_linenumber % 3 = 2 THEN 'B' END"
+        " AS lettrage, l_orderkey AS numcatal_cedant_origine, l_returnflag AS role_ad_origine, "
+        "l_suppkey AS numcatal_ayant_droit_final, l_linestatus AS role_ad_final, "
+        "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_orderkey + l_linenumber AS VARCHAR) AS chain_key, "
+        "CAST(2 AS INTEGER) AS chain_len, l_quantity AS cle FROM lineitem")
+    q["snk_partitioned_roundtrip"] = ctes() + (
+        "SELECT idpcttypdrt, idclauspartcl, pct, cdetypdrtsacem FROM pcttypdrt WHERE cdetypdrtsacem = 'DR'")
+    q["snk_csv_to_parquet"] = (
+        "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+        "c_mktsegment FROM customer")
+    q["snk_compute_if_absent"] = q["ter_fold"]
+    q["flt_contract_validity_lenient"] = ctes() + f"""
+SELECT idctr, numctr, datdbtctr,
+       CASE WHEN datfinctr IS NULL THEN NULL WHEN expireffetimmediat = 0 THEN coalesce(datfincollect, datfinctr)
+            ELSE datfinctr END AS datfinctr,
+       datdbtsys, datfinsys, second, cdestatutctr
+FROM contrat
+WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR datdbtsys < datfinsys)
+  AND (datfinsys IS NULL OR {D} < datfinsys) AND datdbtsys < {D}
+  AND second <> 1 AND cdestatutctr <> '000' AND cdestatutctr <> '003'"""
+    q["prj_end_override"] = ctes() + (
+        "SELECT idctr, datfinctr AS datfinctr_raw, CASE WHEN datfinctr IS NULL THEN NULL "
+        "WHEN expireffetimmediat = 0 THEN coalesce(datfincollect, datfinctr) ELSE datfinctr END AS datfinctr "
+        "FROM contrat")
+    q["flt_active_works"] = ctes() + (
+        f"SELECT DISTINCT idoeuv, ide12 FROM oeuv WHERE datdbtsys < {D} AND (datfinsys > {D} OR datfinsys IS NULL)")
+    q["flt_territory_contains"] = ctes(TERR) + (
+        f"SELECT idtercmplx FROM t_fold WHERE coalesce(list_contains(territoires, {W.COUNTRY}), false)")
+    q["prj_suffix"] = ctes() + (
+        "SELECT iddetcedant, idpcttypdrt AS idpcttypdrt_cedant, idctr, idpcttypdrtcre AS idpcttypdrtcre_cedant, "
+        "numpers AS numpers_cedant FROM detcedant")
+    q["prj_prefix"] = ctes() + "SELECT " + ", ".join(
+        f"{c} AS detcess_{c}" for c in ("iddetcessnr", "cdecategadsacem", "numcatal", "numpers", "gestnr",
+                                        "datdbtvld", "datfinvld", "idctr", "idpcttypdrt")) + " FROM detcess"
+    gate = "(c.cdetypctr <> 'OPTION' AND c.optaffl = 0 AND o.assignors[1].role <> 'SE')"
+    q["prj_restriction_gate"] = ctes(VALID, ASSIGNORS, RESTRICTIONS) + (
+        f"SELECT c.idctr, {gate} AS applies, "
+        f"array_to_string(CASE WHEN {gate} THEN coalesce(r.work_incl, []) ELSE [] END, '|') AS work_incl_key, "
+        f"array_to_string(CASE WHEN {gate} THEN coalesce(r.work_excl, []) ELSE [] END, '|') AS work_excl_key "
+        "FROM vc c JOIN ors o ON c.idctr = o.idctr LEFT JOIN res r ON c.idctr = r.idctr")
+    q["agg_distinct_rows"] = ctes() + "SELECT DISTINCT cdecategadsacem, numcatal, numpers FROM partpt"
+    q["jn_creator_pct_left"] = ctes(ASSIGNORS) + (
+        "SELECT idctr, numpers, numcatal, pct_publisher, pct_creator, "
+        "array_to_string(right_types, '|') AS right_types_key FROM a_cre")
+    q["jn_salted_equals_plain"] = ctes(ASSIGNORS) + (
+        "SELECT idctr, catalog, role, pct_publisher, pct_creator, "
+        "array_to_string(right_types, '|') AS right_types_key FROM a_rows")
+    q["jn_chain_position"] = _chain_tables() + (
+        "SELECT DISTINCT array_to_string(a.chain, '|') AS left_key, array_to_string(b.chain, '|') AS right_key "
+        "FROM lvl1 a JOIN lvl1 b ON a.chain[len(a.chain)] = b.chain[1] WHERE a.assignable = 1")
+    q["jn_owner_chain_left"] = ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains"),
+                                    static_keys_sql()) + (
+        "SELECT k.ide12, k.let, k.numcatal, k.cle, array_to_string(f.chain, '|') AS chain_key, "
+        "f.assignee_catalog, f.assignor_role, f.pct_publisher FROM sk k LEFT JOIN flat f "
+        "ON k.numcatal = f.assignor_catalog AND f.right_type = k.cdetypdrtsacem "
+        "AND coalesce(list_contains(f.territories, k.ctry), false)")
+    from rightsweave.registry import RIGHT_HOLDERS_SQL
+    q["jn_right_holders_sql"] = ctes(TERR) + RIGHT_HOLDERS_SQL.format(
+        oeuv="oeuv", cess="cess", eltter="eltter", territories="t_sets", jeucle="jeucle",
+        ayant_droit="ayant_droit")
+    pairs = (
+        f"pairs AS (SELECT DISTINCT * FROM (SELECT {combine_sql()} FROM "
+        "(SELECT *, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0 WHERE assignable = 1) a "
+        "JOIN (SELECT *, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b ON a.k = b.k))")
+    q["chn_pair_combine"] = ctes(*CONTRACT_PARTS, pairs) + chain_text_sql("pairs", "is_void")
+    q["fn_array_index_slice"] = _chain_tables() + (
+        "SELECT array_to_string(chain, '|') AS chain_key, chain[1] AS head, chain[len(chain)] AS last, "
+        "array_to_string(chain[1:len(chain) - 1], '|') AS without_last, CAST(len(chain) AS INTEGER) AS n "
+        "FROM (SELECT DISTINCT chain FROM chains)")
+    q["fn_flatten"] = ctes(ASSIGNORS) + (
+        "SELECT idctr, array_to_string(flatten(list_transform(assignors, lambda x: x.right_types)), '|') "
+        "AS right_types_key FROM ors")
+    q["win_last_value"] = ctes(TERR) + (
+        "SELECT idtercmplx, leaf, incl AS final_incl FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY idtercmplx, leaf ORDER BY ord_list DESC, incl DESC) AS rn FROM t_el WHERE incl IN (0, 1)) "
+        "WHERE rn = 1")

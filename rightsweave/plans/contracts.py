@@ -28,6 +28,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rightsweave.operators.joins import salted_join
 from rightsweave.functions.arrays import (
     CONTRACT_TYPE_OPTION,
     ROLE_SUBPUBLISHER,
@@ -95,14 +96,12 @@ def overridden_end() -> Column:
     )
 
 
-def assignor_rows(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt: DataFrame,
-                  partpt: DataFrame) -> DataFrame:
-    """Flat assignor entries: (idctr, catalog, role, pct_publisher, pct_creator, right_types).
+def assignor_percents(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt: DataFrame) -> DataFrame:
+    """Assignor details with percents: (idctr, numpers, numcatal, pct_publisher, pct_creator, right_types).
 
     Detail ⋈ catalog; publisher percent per right type (inner); creator
     percent on (pct id, right type) (left, missing = 0); right types of equal
-    (contract, person, catalog, percents) gathered; role from the work
-    participants on (catalog, person).
+    (contract, person, catalog, percents) gathered in sorted order.
     """
     pct = pcttypdrt.select("idpcttypdrt", "cdetypdrtsacem", "pct")
     detail = detcedant.join(detcedantcatal, "iddetcedant").drop("iddetcedant")
@@ -113,17 +112,31 @@ def assignor_rows(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt: Da
     )
     cre = pct.select(F.col("idpcttypdrt").alias("idpcttypdrtcre"), "cdetypdrtsacem",
                      F.col("pct").alias("pct_cre"))
-    with_cre = (
+    return (
         with_pub.join(cre, ["idpcttypdrtcre", "cdetypdrtsacem"], "left")
         .groupBy("idctr", "numpers", "numcatal", "pct_publisher",
                  F.coalesce(F.col("pct_cre"), F.lit(0.0)).alias("pct_creator"))
         .agg(F.array_sort(F.collect_list("cdetypdrtsacem")).alias("right_types"))
     )
+
+
+def assignor_rows(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt: DataFrame,
+                  partpt: DataFrame, salt_buckets: int | None = None) -> DataFrame:
+    """Flat assignor entries: (idctr, catalog, role, pct_publisher, pct_creator, right_types).
+
+    Percents from :func:`assignor_percents`; the role comes from the work
+    participants on (catalog, person).  ``salt_buckets`` salts the
+    participant side for catalogs too hot for one task.
+    """
+    with_cre = assignor_percents(detcedant, detcedantcatal, pcttypdrt)
     roles = participant_roles(partpt)
+    if salt_buckets:
+        joined = salted_join(roles, with_cre, ["numcatal", "numpers"], salt_buckets)
+    else:
+        joined = with_cre.join(roles, ["numcatal", "numpers"])
     return (
-        with_cre.join(roles, ["numcatal", "numpers"])
-        .select("idctr", F.col("numcatal").alias("catalog"), F.col("cdecategadsacem").alias("role"),
-                "pct_publisher", "pct_creator", "right_types")
+        joined.select("idctr", F.col("numcatal").alias("catalog"), F.col("cdecategadsacem").alias("role"),
+                      "pct_publisher", "pct_creator", "right_types")
         .distinct()
     )
 

@@ -98,23 +98,32 @@ def fold(elements: DataFrame, territories: DataFrame) -> DataFrame:
     )
 
 
-def fold_window(elements: DataFrame, territories: DataFrame) -> DataFrame:
-    """Same fold written with ordered windows (running state per leaf).
+def last_states(elements: DataFrame, territories: DataFrame) -> DataFrame:
+    """(idtercmplx, leaf, final_incl): last 0/1 state per leaf by element order.
 
-    ``incl == 1`` adds and ``incl == 0`` removes; other values leave the
-    state unchanged.  The window runs per (territory, leaf), so a frame
-    holds only the elements touching one leaf, never a whole territory.
+    Ordered window per (territory, leaf) taking the last value over the whole
+    frame, then one row per key.
     """
     w = (Window.partitionBy("idtercmplx", "leaf").orderBy("ord_list", "incl")
          .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     state = F.last(F.when(F.col("incl").isin(0, 1), F.col("incl")), ignorenulls=True).over(w)
-    per_leaf = (
+    return (
         _element_leaves(elements, territories)
         .withColumn("final_incl", state)
         .dropDuplicates(["idtercmplx", "leaf"])
+        .select("idtercmplx", "leaf", "final_incl")
     )
+
+
+def fold_window(elements: DataFrame, territories: DataFrame) -> DataFrame:
+    """Same fold written with ordered windows (running state per leaf).
+
+    ``incl == 1`` adds and ``incl == 0`` removes; other values leave the
+    state unchanged.  The window runs per (territory, leaf), so a frame
+    holds only the elements touching one leaf, never a whole territory.
+    """
     return (
-        per_leaf.groupBy("idtercmplx")
+        last_states(elements, territories).groupBy("idtercmplx")
         .agg(F.array_sort(F.collect_set(F.when(F.col("final_incl") == 1, F.col("leaf"))))
              .alias("territoires"))
     )

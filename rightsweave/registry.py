@@ -30,7 +30,7 @@ def _dec(c: Column) -> Column:
     return c.cast("decimal(18,4)").cast("string")
 
 
-def chain_text(df: DataFrame) -> DataFrame:
+def chain_text(df: DataFrame, *extra: Column) -> DataFrame:
     """Comparable projection of a chain table."""
     ors = F.array_join(F.transform("assignors", lambda x: F.concat_ws(
         ":", x["catalog"].cast("string"), x["role"], _dec(x["pct_publisher"]), _dec(x["pct_creator"]),
@@ -45,6 +45,7 @@ def chain_text(df: DataFrame) -> DataFrame:
         key_string("catalog_excl").alias("catalog_excl_key"),
         key_string("work_incl").alias("work_incl_key"), key_string("work_excl").alias("work_excl_key"),
         key_string("territories").alias("territories_key"),
+        *extra,
     )
 
 
@@ -278,3 +279,285 @@ def rst_restitution_strict(spark, sf_dir):
     """Restitution with the longest-chain filter separated per work, letter and origin."""
     _, flat, keys = _restitution_inputs(spark, sf_dir)
     return restitution.as_text(restitution.restitution(flat, keys, strict=True))
+
+
+@query
+def rst_restitution_batch(spark, sf_dir):
+    """Many requests in one job: every work under one of five contexts."""
+    t = _world(spark, sf_dir)
+    terr = jobs.territory_tables(t)
+    base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
+    flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
+    req = t["requests"].join(t["contexts"], "num_contexte")
+    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, ["num_contexte"])
+    return restitution.as_text(restitution.restitution(flat, keys, ["num_contexte"]))
+
+
+# ------------------------------------------------------------ sources / sinks
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from rightsweave.session import scratch_dir
+    return f"{scratch_dir(spark)}/rightsweave/{uuid.uuid4().hex}/{name}"
+
+
+@query
+def src_projected_read(spark, sf_dir):
+    """Registry-driven read: projection pushed into the scan, then dedup."""
+    from rightsweave.sources import io
+    reg = {"lineitem": {"path": f"{sf_dir}/lineitem.parquet",
+                        "columns": ["l_orderkey", "l_partkey", "l_returnflag"]}}
+    return io.read_registry(spark, reg)["lineitem"]
+
+
+@query
+def src_parse_pipe_array(spark, sf_dir):
+    """Golden-format CSV written from lineitem, read back: ``a | b`` -> array<int>."""
+    from rightsweave.sources import io
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    golden = li.select(
+        F.col("l_partkey").alias("ide12"),
+        F.when(F.col("l_linenumber") % 3 == 1, "A").when(F.col("l_linenumber") % 3 == 2, "B").alias("lettrage"),
+        F.col("l_orderkey").alias("numcatal_cedant_origine"),
+        F.col("l_returnflag").alias("role_ad_origine"),
+        F.col("l_suppkey").alias("numcatal_ayant_droit_final"),
+        F.col("l_linestatus").alias("role_ad_final"),
+        F.concat_ws(" | ", F.col("l_orderkey").cast("string"),
+                    (F.col("l_orderkey") + F.col("l_linenumber")).cast("string")).alias("chaine_contrats"),
+        F.col("l_quantity").alias("cle"),
+    )
+    path = _scratch(spark, "golden_csv")
+    golden.write.option("header", True).csv(path)
+    back = io.read_expected(spark, path)
+    return back.select(
+        "ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine", "numcatal_ayant_droit_final",
+        "role_ad_final", key_string("chaine_contrats").alias("chain_key"),
+        F.size("chaine_contrats").alias("chain_len"), "cle",
+    )
+
+
+@query
+def snk_partitioned_roundtrip(spark, sf_dir):
+    """Percent table written partitioned by right type; read back for DR only (pruned)."""
+    from rightsweave.sources import io
+    path = _scratch(spark, "pcttypdrt_by_right")
+    io.write_parquet(_world(spark, sf_dir)["pcttypdrt"], path, partition_by="cdetypdrtsacem")
+    back = spark.read.parquet(path).where(F.col("cdetypdrtsacem") == "DR")
+    return back.select("idpcttypdrt", "idclauspartcl", "pct", "cdetypdrtsacem")
+
+
+@query
+def snk_csv_to_parquet(spark, sf_dir):
+    """Customer rows through CSV (untyped) into an appended Parquet folder."""
+    from rightsweave.sources import io
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    csv_path = _scratch(spark, "customer_csv")
+    cust.write.option("header", True).csv(csv_path)
+    return io.csv_to_parquet(spark, csv_path, _scratch(spark, "customer_parquet"))
+
+
+@query
+def snk_compute_if_absent(spark, sf_dir):
+    """Complex-territory table computed once, written, re-read (compute-if-absent)."""
+    from rightsweave.sources import io
+    t = _world(spark, sf_dir)
+    path = _scratch(spark, "territories_by_id_tercmplx")
+
+    def compute():
+        return territories.fold(t["eltter"], territories.leaf_sets(t["gpeter"]))
+
+    first = io.read_or_compute(spark, path, compute)
+    again = io.read_or_compute(spark, path, compute)  # present now: read only
+    assert again.columns == first.columns
+    return _fold_out(again)
+
+
+# ------------------------------------------------------- filters / projections
+@query
+def flt_contract_validity_lenient(spark, sf_dir):
+    """Lenient validity (``second <> 1``, no id test), bookkeeping columns kept."""
+    c = contracts.valid_contracts(_world(spark, sf_dir)["contrat"], W.CONSULT_DATE, lenient=True)
+    return c.select("idctr", "numctr", "datdbtctr", "datfinctr", "datdbtsys", "datfinsys", "second",
+                    "cdestatutctr")
+
+
+@query
+def prj_end_override(spark, sf_dir):
+    """End-date override on every contract (no validity filter)."""
+    c = _world(spark, sf_dir)["contrat"]
+    return c.select("idctr", F.col("datfinctr").alias("datfinctr_raw"),
+                    contracts.overridden_end().alias("datfinctr"))
+
+
+@query
+def flt_active_works(spark, sf_dir):
+    """Works valid at the consultation date (strict bounds, open end)."""
+    t = _world(spark, sf_dir)
+    req = restitution.single_request(t["oeuv"].select("ide12"), W.COUNTRY, W.RIGHT_TYPE, W.CONSULT_DATE)
+    return restitution.active_works(t["oeuv"], req).select("idoeuv", "ide12")
+
+
+@query
+def flt_territory_contains(spark, sf_dir):
+    """Complex territories whose country set contains country 3."""
+    t = _world(spark, sf_dir)
+    sets = territories.fold(t["eltter"], territories.leaf_sets(t["gpeter"]))
+    return territories.contains_country(sets, W.COUNTRY).select("idtercmplx")
+
+
+@query
+def prj_suffix(spark, sf_dir):
+    """Every assignor-detail column suffixed except the keys."""
+    from rightsweave.operators.projections import suffix_columns
+    return suffix_columns(_world(spark, sf_dir)["detcedant"], "cedant", keep=("idctr", "iddetcedant"))
+
+
+@query
+def prj_prefix(spark, sf_dir):
+    """Every assignee column prefixed."""
+    from rightsweave.operators.projections import prefix_columns
+    return prefix_columns(_world(spark, sf_dir)["detcess"], "detcess")
+
+
+@query
+def prj_restriction_gate(spark, sf_dir):
+    """Whether work restrictions apply to each valid contract, and the gated sets."""
+    t = _world(spark, sf_dir)
+    c = contracts.valid_contracts(t["contrat"], W.CONSULT_DATE)
+    a = contracts.assignors(t["detcedant"], t["detcedantcatal"], t["pcttypdrt"], t["partpt"])
+    r = contracts.restrictions(t["restrctr"], t["restrgenre"], t["restroeuv"], t["restrpers"])
+    gate = contracts.work_restriction_applies()
+    j = c.join(a, "idctr").join(r, "idctr", "left")
+    return j.select(
+        "idctr", gate.alias("applies"),
+        key_string(contracts.or_empty(F.when(gate, F.col("work_incl")), "bigint")).alias("work_incl_key"),
+        key_string(contracts.or_empty(F.when(gate, F.col("work_excl")), "bigint")).alias("work_excl_key"),
+    )
+
+
+@query
+def agg_distinct_rows(spark, sf_dir):
+    """Distinct (role, catalog, person) of the work participants."""
+    return contracts.participant_roles(_world(spark, sf_dir)["partpt"])
+
+
+# ----------------------------------------------------------------------- joins
+@query
+def jn_creator_pct_left(spark, sf_dir):
+    """Assignor details with publisher (inner) and creator (left, two keys) percents."""
+    t = _world(spark, sf_dir)
+    p = contracts.assignor_percents(t["detcedant"], t["detcedantcatal"], t["pcttypdrt"])
+    return p.select("idctr", "numpers", "numcatal", "pct_publisher", "pct_creator",
+                    key_string("right_types").alias("right_types_key"))
+
+
+@query
+def jn_salted_equals_plain(spark, sf_dir):
+    """Assignor rows through the salted role join (16 buckets); equals the plain join."""
+    t = _world(spark, sf_dir)
+    rows = contracts.assignor_rows(t["detcedant"], t["detcedantcatal"], t["pcttypdrt"], t["partpt"],
+                                   salt_buckets=16)
+    return rows.select("idctr", "catalog", "role", "pct_publisher", "pct_creator",
+                       key_string("right_types").alias("right_types_key"))
+
+
+@query
+def jn_chain_position(spark, sf_dir):
+    """Level-1 chains joined by position (pivot = element size-1 = head of the other)."""
+    _, base = _base(spark, sf_dir)
+    lvl1 = chains.overlap_level(chains.with_row_id(base.dropDuplicates()))
+    left = lvl1.where(F.col("assignable") == 1).select(
+        F.col("chain").alias("left_chain"), F.get(F.col("chain"), F.size("chain") - 1).alias("k"))
+    right = lvl1.select(F.col("chain").alias("right_chain"), F.get(F.col("chain"), 0).alias("k"))
+    return left.join(right, "k").select(key_string("left_chain").alias("left_key"),
+                                        key_string("right_chain").alias("right_key")).distinct()
+
+
+@query
+def jn_owner_chain_left(spark, sf_dir):
+    """Owner rows left-joined to flattened chains (catalog, right type, territory)."""
+    _, flat, keys = _restitution_inputs(spark, sf_dir)
+    k, c = keys.alias("k"), flat.alias("c")
+    cond = ((F.col("k.numcatal") == F.col("c.assignor_catalog"))
+            & (F.col("c.right_type") == F.col("k.cdetypdrtsacem"))
+            & F.coalesce(F.array_contains(F.col("c.territories"), F.col("k.code_iso4n_pays")), F.lit(False)))
+    return k.join(c, cond, "left").select(
+        F.col("k.ide12"), F.col("k.let"), F.col("k.numcatal"), F.col("k.cle"),
+        key_string(F.col("c.chain")).alias("chain_key"), F.col("c.assignee_catalog"),
+        F.col("c.assignor_role"), F.col("c.pct_publisher"))
+
+
+RIGHT_HOLDERS_SQL = """
+SELECT oa.idayantdrt, oa.idjeucle, oa.idpartpt, oa.cle, oa.gestnr
+FROM {oeuv} oo
+INNER JOIN {cess} oc ON oo.idoeuv = oc.idoeuv
+INNER JOIN {eltter} oe ON oc.idtercmplx = oe.idtercmplx
+INNER JOIN {territories} tpt ON oe.cdepaysiso4n = tpt.cdepaysiso4n
+INNER JOIN {jeucle} oj ON oc.idcess = oj.idcess
+INNER JOIN {ayant_droit} oa ON oj.idjeucle = oa.idjeucle
+WHERE oo.datdbtsys < DATE '2001-01-01'
+  AND (oo.datfinsys > DATE '2001-01-01' OR oo.datfinsys IS NULL)
+  AND oj.cdetypdrtsacem = 'DE'
+"""
+
+
+@query
+def jn_right_holders_sql(spark, sf_dir):
+    """Seven-table right-holder lookup written in SQL (all works)."""
+    t = _world(spark, sf_dir)
+    names = {}
+    for name in ("oeuv", "cess", "eltter", "jeucle", "ayant_droit"):
+        t[name].createOrReplaceTempView(f"rw_{name}")
+        names[name] = f"rw_{name}"
+    territories.leaf_sets(t["gpeter"]).createOrReplaceTempView("rw_territories")
+    names["territories"] = "rw_territories"
+    return spark.sql(RIGHT_HOLDERS_SQL.format(**names))
+
+
+# ------------------------------------------------- pair combination (CH-4..7)
+def _pairs_combined(spark, sf_dir) -> DataFrame:
+    _, base = _base(spark, sf_dir)
+    base = chains.with_row_id(base.select(*contracts.CHAIN_COLUMNS).dropDuplicates())
+    pairs = chains.overlap_pairs(base)
+    joined = (pairs.join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
+              .join(base.alias("b"), F.col("b_rid") == F.col("b.rid")))
+    return joined.select(chains.combine("a", "b")).dropDuplicates()
+
+
+@query
+def chn_pair_combine(spark, sf_dir):
+    """Every overlapping pair combined (before the void filter): dates, percents, sets, void flag."""
+    return chain_text(_pairs_combined(spark, sf_dir), F.col("_void").alias("is_void"))
+
+
+@query
+def fn_array_index_slice(spark, sf_dir):
+    """Head, last element, chain without its last element, and length of every chain."""
+    _, base = _base(spark, sf_dir)
+    ch = chains.build(base, W.MAX_DEPTH).select("chain").distinct()
+    return ch.select(
+        key_string("chain").alias("chain_key"),
+        F.get(F.col("chain"), 0).alias("head"),
+        F.element_at("chain", -1).alias("last"),
+        key_string(F.slice("chain", 1, F.size("chain") - 1)).alias("without_last"),
+        F.size("chain").alias("n"),
+    )
+
+
+@query
+def fn_flatten(spark, sf_dir):
+    """All right types of a contract's assignors, flattened (duplicates kept)."""
+    from rightsweave.functions.arrays import flatten_or_empty
+    t = _world(spark, sf_dir)
+    a = contracts.assignors(t["detcedant"], t["detcedantcatal"], t["pcttypdrt"], t["partpt"])
+    flat = flatten_or_empty(F.transform("assignors", lambda x: x["right_types"]), "string")
+    return a.select("idctr", key_string(flat).alias("right_types_key"))
+
+
+@query
+def win_last_value(spark, sf_dir):
+    """Last include/exclude state per (complex territory, leaf) by element order."""
+    t = _world(spark, sf_dir)
+    sets = territories.leaf_sets(t["gpeter"])
+    return territories.last_states(t["eltter"], sets)
