@@ -451,6 +451,39 @@ def oracle_queries() -> dict[str, str]:
     return q
 
 
+def _pairs() -> str:
+    return (
+        f"pairs AS (SELECT DISTINCT * FROM (SELECT {combine_sql()} FROM "
+        "(SELECT *, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0 WHERE assignable = 1) a "
+        "JOIN (SELECT *, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b ON a.k = b.k))")
+
+
+def _pair_sides() -> str:
+    return ("sides AS (SELECT DISTINCT a.chain AS a_chain, a.territories AS a_terr, b.assignees AS b_ees, "
+            "b.territories AS b_terr FROM "
+            "(SELECT *, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0 WHERE assignable = 1) a "
+            "JOIN (SELECT *, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b ON a.k = b.k)")
+
+
+def _doubling(rounds: int) -> str:
+    parts = ["d0 AS (SELECT chain, list_transform(assignors, lambda x: x.catalog) AS cedant, "
+             "list_transform(assignees, lambda x: x.catalog) AS cess FROM lvl0)"]
+    for r in range(1, rounds + 1):
+        p = f"d{r - 1}"
+        parts.append(
+            f"m{r} AS (SELECT DISTINCT list_sort(list_distinct(list_concat(a.chain, b.chain))) AS chain, "
+            "list_filter(list_concat(a.cedant, b.cedant), lambda x, i: "
+            "list_position(list_concat(a.cedant, b.cedant), x) = i) AS cedant, "
+            f"b.cess AS cess FROM (SELECT DISTINCT * FROM {p}) a0 "
+            f"JOIN (SELECT chain, cedant, cess, unnest(cess) AS k FROM {p}) a ON a0.chain = a.chain "
+            "AND a0.cedant = a.cedant AND a0.cess = a.cess "
+            f"JOIN (SELECT chain, cedant, cess, unnest(cedant) AS k FROM {p}) b ON a.k = b.k)")
+        parts.append(f"d{r} AS (SELECT DISTINCT chain, cedant[1:len(cedant) - 1] AS cedant, cess FROM m{r})")
+    union = " UNION ALL ".join(f"SELECT * FROM d{r}" for r in range(rounds + 1))
+    parts.append(f"dbl AS ({union})")
+    return ",\n".join(parts)
+
+
 def _more(q: dict[str, str]) -> None:
     q["src_projected_read"] = "SELECT DISTINCT l_orderkey, l_partkey, l_returnflag FROM lineitem"
     q["src_parse_pipe_array"] = (
@@ -526,6 +559,52 @@ WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR dat
     q["fn_flatten"] = ctes(ASSIGNORS) + (
         "SELECT idctr, array_to_string(flatten(list_transform(assignors, lambda x: x.right_types)), '|') "
         "AS right_types_key FROM ors")
+    pair_ctes = ctes(*CONTRACT_PARTS, _pairs())
+    q["fn_combine_dates"] = pair_ctes + (
+        "SELECT DISTINCT array_to_string(chain, '|') AS chain_key, start_date, end_date FROM pairs")
+    q["chn_pct"] = pair_ctes + (
+        "SELECT DISTINCT array_to_string(chain, '|') AS chain_key, array_to_string(list_transform(assignors, "
+        f"lambda x: {_dec('x.pct_publisher')}), ';') AS pct_publisher_key FROM pairs")
+    q["chn_restriction_meet"] = pair_ctes + (
+        "SELECT DISTINCT array_to_string(chain, '|') AS chain_key, array_to_string(genre_incl, '|') AS genre_incl_key, "
+        "array_to_string(catalog_incl, '|') AS catalog_incl_key, array_to_string(work_incl, '|') AS work_incl_key, "
+        "array_to_string(genre_excl, '|') AS genre_excl_key, array_to_string(work_excl, '|') AS work_excl_key, "
+        "is_void FROM pairs")
+    q["fn_array_sets"] = pair_ctes + (
+        "SELECT DISTINCT array_to_string(chain, '|') AS chain_key, array_to_string(territories, '|') AS territories_key, "
+        f"CAST(len(territories) AS INTEGER) AS n_territories, coalesce(list_contains(territories, {W.COUNTRY}), false)"
+        " AS has_country FROM pairs")
+    sides = ctes(*CONTRACT_PARTS, _pair_sides())
+    q["agg_collect_union"] = sides + (
+        "SELECT DISTINCT a_chain[1] AS from_ctr, unnest(list_transform(b_ees, lambda x: x.catalog)) AS catalog "
+        "FROM sides")
+    q["agg_collect_intersect"] = sides + (
+        "SELECT DISTINCT from_ctr, country FROM (SELECT a_chain[1] AS from_ctr, "
+        "unnest(list_intersect(a_terr, b_terr)) AS country FROM sides)")
+    q["chn_doubling"] = ctes(*CONTRACT_PARTS, _doubling(3)) + (
+        "SELECT array_to_string(chain, '|') AS chain_key, array_to_string(cedant, '|') AS cedant_key, "
+        "array_to_string(cess, '|') AS cess_key FROM dbl")
+    rest = ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains"), static_keys_sql(), match_sql())
+    q["win_longest_chain"] = rest + (
+        "SELECT DISTINCT ide12, lettrage, orig AS numcatal_cedant_origine, array_to_string(ch, '|') AS chaine_contrats "
+        "FROM w1")
+    q["win_prorata"] = _restit() + (
+        "SELECT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine, gestnr, cle, "
+        f"array_to_string(ch, '|') AS chaine_contrats, {round4('prorata')} AS prorata FROM s2")
+    q["win_first_manager_pct"] = rest + (
+        "SELECT ide12, lettrage, max(CASE WHEN role_o = 'E' AND gestnr = 1 THEN pe END) AS mgr_pct_publisher, "
+        "max(CASE WHEN role_o = 'E' AND gestnr = 1 THEN pc END) AS mgr_pct_creator, "
+        "sum(CASE WHEN gestnr <> 0 THEN 1 ELSE 0 END) AS n_managed FROM w1 GROUP BY ide12, lettrage")
+    q["rst_excluded_work"] = _restit() + (
+        "SELECT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine, "
+        "cat_f AS numcatal_ayant_droit_final, role_f AS role_ad_final, array_to_string(ch, '|') AS chaine_contrats, "
+        f"{round4('fin')} AS pct_final FROM s7")
+    q["rst_residual"] = _restit() + (
+        "SELECT DISTINCT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine, "
+        f"{round4('rest')} AS cle FROM s8 WHERE ch IS NOT NULL AND pe <> 100 AND gsum <> 100")
+    q["snk_dated_chain_roundtrip"] = ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains")) + (
+        "SELECT array_to_string(chain, '|') AS chain_key, assignor_catalog, assignor_role, pct_publisher, "
+        "assignee_catalog, assignee_role, right_type FROM flat WHERE right_type = 'DE'")
     q["win_last_value"] = ctes(TERR) + (
         "SELECT idtercmplx, leaf, incl AS final_incl FROM (SELECT *, row_number() OVER "
         "(PARTITION BY idtercmplx, leaf ORDER BY ord_list DESC, incl DESC) AS rn FROM t_el WHERE incl IN (0, 1)) "

@@ -236,3 +236,36 @@ def overlap_reach(base: DataFrame, max_hops: int) -> DataFrame:
 
 def chain_key(c="chain") -> Column:
     return key_string(c)
+
+
+def doubling_rounds(df: DataFrame, rounds: int) -> DataFrame:
+    """Overlap doubling: each round joins the previous round with itself.
+
+    ``df`` has ``chain`` (contract ids), ``cedant`` and ``cess`` (catalog
+    arrays).  Rows ``a``, ``b`` with ``a.cess`` meeting ``b.cedant`` merge to
+    ``chain = sorted(a.chain ∪ b.chain)``, ``cedant = (a.cedant ∪ b.cedant)``
+    without its last element, ``cess = b.cess``; each round is deduplicated
+    and materialised, and all rounds are appended to the input (duplicates
+    across rounds kept).  The overlap is an exploded equi-join, never a
+    cartesian product.
+    """
+    current = materialize(df.select("chain", "cedant", "cess"), "doubling_0")
+    out = [current]
+    for r in range(1, rounds + 1):
+        ided = current.withColumn("rid", F.xxhash64("chain", "cedant", "cess"))
+        left = ided.select(F.col("rid").alias("a_rid"), F.explode("cess").alias("k")).distinct()
+        right = ided.select(F.col("rid").alias("b_rid"), F.explode("cedant").alias("k")).distinct()
+        pairs = left.join(right, "k").select("a_rid", "b_rid").distinct()
+        a, b = ided.alias("a"), ided.alias("b")
+        merged = (pairs.join(a, F.col("a_rid") == F.col("a.rid")).join(b, F.col("b_rid") == F.col("b.rid"))
+                  .select(F.array_sort(F.array_union("a.chain", "b.chain")).alias("chain"),
+                          F.array_union("a.cedant", "b.cedant").alias("cedant"),
+                          F.col("b.cess").alias("cess"))
+                  .dropDuplicates()
+                  .withColumn("cedant", F.slice("cedant", 1, F.size("cedant") - 1)))
+        current = materialize(merged, f"doubling_{r}")
+        out.append(current)
+    result = out[0]
+    for part in out[1:]:
+        result = result.unionByName(part)
+    return result

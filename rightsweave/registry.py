@@ -561,3 +561,142 @@ def win_last_value(spark, sf_dir):
     t = _world(spark, sf_dir)
     sets = territories.leaf_sets(t["gpeter"])
     return territories.last_states(t["eltter"], sets)
+
+
+# ----------------------------------------------- pair-level function outputs
+@query
+def fn_combine_dates(spark, sf_dir):
+    """Combined validity of every overlapping pair: later start, earlier end (null end stays open)."""
+    p = _pairs_combined(spark, sf_dir)
+    return p.select(key_string("chain").alias("chain_key"), "start_date", "end_date").distinct()
+
+
+@query
+def chn_pct(spark, sf_dir):
+    """Publisher percents after a link: element-wise truncated product when the next assignor is E."""
+    p = _pairs_combined(spark, sf_dir)
+    pcts = F.array_join(F.transform("assignors", lambda x: _dec(x["pct_publisher"])), ";")
+    return p.select(key_string("chain").alias("chain_key"), pcts.alias("pct_publisher_key")).distinct()
+
+
+@query
+def chn_restriction_meet(spark, sf_dir):
+    """Inclusive restriction meets and exclusive unions of every pair, with the void flag."""
+    p = _pairs_combined(spark, sf_dir)
+    return p.select(
+        key_string("chain").alias("chain_key"),
+        key_string("genre_incl").alias("genre_incl_key"), key_string("catalog_incl").alias("catalog_incl_key"),
+        key_string("work_incl").alias("work_incl_key"), key_string("genre_excl").alias("genre_excl_key"),
+        key_string("work_excl").alias("work_excl_key"), F.col("_void").alias("is_void"),
+    ).distinct()
+
+
+@query
+def fn_array_sets(spark, sf_dir):
+    """Territory intersection of every pair: members, size, contains country 3."""
+    p = _pairs_combined(spark, sf_dir)
+    return p.select(
+        key_string("chain").alias("chain_key"), key_string("territories").alias("territories_key"),
+        F.size("territories").alias("n_territories"),
+        F.coalesce(F.array_contains("territories", W.COUNTRY), F.lit(False)).alias("has_country"),
+    ).distinct()
+
+
+def _pair_sides(spark, sf_dir):
+    _, base = _base(spark, sf_dir)
+    base = chains.with_row_id(base.select(*contracts.CHAIN_COLUMNS).dropDuplicates())
+    pairs = chains.overlap_pairs(base)
+    return (pairs.join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
+            .join(base.alias("b"), F.col("b_rid") == F.col("b.rid")))
+
+
+@query
+def agg_collect_union(spark, sf_dir):
+    """Per contract, the distinct union of its partners' assignee catalogs (as rows)."""
+    j = _pair_sides(spark, sf_dir)
+    return j.select(F.get(F.col("a.chain"), 0).alias("from_ctr"),
+                    F.explode(F.col("b.assignees.catalog")).alias("catalog")).distinct()
+
+
+@query
+def agg_collect_intersect(spark, sf_dir):
+    """Per contract, its countries also held by at least one partner (as rows)."""
+    j = _pair_sides(spark, sf_dir)
+    return j.select(F.get(F.col("a.chain"), 0).alias("from_ctr"),
+                    F.explode(F.array_intersect("a.territories", "b.territories")).alias("country")).distinct()
+
+
+# --------------------------------------------------------- doubling rounds
+@query
+def chn_doubling(spark, sf_dir):
+    """Three rounds of overlap doubling over all contracts (sorted chains, last assignor dropped)."""
+    _, base = _base(spark, sf_dir)
+    df = base.select("chain", F.col("assignors.catalog").alias("cedant"),
+                     F.col("assignees.catalog").alias("cess"))
+    out = chains.doubling_rounds(df, 3)
+    return out.select(key_string("chain").alias("chain_key"), key_string("cedant").alias("cedant_key"),
+                      key_string("cess").alias("cess_key"))
+
+
+# ------------------------------------------------------ restitution stages
+@query
+def win_longest_chain(spark, sf_dir):
+    """Owner rows kept by the longest-chain / highest-priority filter (per first contract)."""
+    _, flat, keys = _restitution_inputs(spark, sf_dir)
+    m = restitution.match_chains(keys, flat)
+    return m.select("ide12", "lettrage", "numcatal_cedant_origine",
+                    key_string("chaine_contrats").alias("chaine_contrats")).distinct()
+
+
+@query
+def win_prorata(spark, sf_dir):
+    """Share of each managing publisher / creator within its (work, letter) category, in percent."""
+    _, flat, keys = _restitution_inputs(spark, sf_dir)
+    s = restitution.with_group_stats(restitution.match_chains(keys, flat))
+    return s.select("ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine", "gestnr", "cle",
+                    key_string("chaine_contrats").alias("chaine_contrats"),
+                    F.round("_prorata", 4).alias("prorata"))
+
+
+@query
+def win_first_manager_pct(spark, sf_dir):
+    """Per (work, letter): the managing publisher's percents and the number of managed rows."""
+    _, flat, keys = _restitution_inputs(spark, sf_dir)
+    return restitution.manager_percents(restitution.match_chains(keys, flat))
+
+
+@query
+def rst_excluded_work(spark, sf_dir):
+    """Rows after work exclusions (share back to the origin where a chain excludes the work)."""
+    _, flat, keys = _restitution_inputs(spark, sf_dir)
+    d = restitution.apply_work_exclusions(restitution.shares(restitution.match_chains(keys, flat)))
+    return d.select("ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine",
+                    "numcatal_ayant_droit_final", "role_ad_final",
+                    key_string("chaine_contrats").alias("chaine_contrats"),
+                    F.round("pct_final", 4).alias("pct_final"))
+
+
+@query
+def rst_residual(spark, sf_dir):
+    """Residual lines only: what a chain did not take, left with the origin holder."""
+    from rightsweave.operators.grouped import attach
+    _, flat, keys = _restitution_inputs(spark, sf_dir)
+    d = restitution.apply_work_exclusions(restitution.shares(restitution.match_chains(keys, flat)))
+    d = attach(d, ["ide12", "lettrage", "numcatal_cedant_origine"],
+               {"_group_cle": restitution.exact_sum(F.col("cle"))})
+    r = restitution.residual_lines(d)
+    return r.select("ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine",
+                    F.round("pct_final", 4).alias("cle")).distinct()
+
+
+@query
+def snk_dated_chain_roundtrip(spark, sf_dir):
+    """Flattened chains written to a dated folder partitioned by right type, read back for DE."""
+    from rightsweave.sources import io
+    _, base = _base(spark, sf_dir)
+    flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
+    path = io.dated_path(_scratch(spark, "out"), "chains", W.MAX_DEPTH, W.CONSULT_DATE)
+    io.write_parquet(flat, path, partition_by="right_type")
+    back = spark.read.parquet(path).where(F.col("right_type") == "DE")
+    return back.select(key_string("chain").alias("chain_key"), "assignor_catalog", "assignor_role",
+                       "pct_publisher", "assignee_catalog", "assignee_role", "right_type")

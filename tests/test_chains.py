@@ -128,3 +128,17 @@ def test_overlap_reach(spark):
     reach = {(r.from_ctr, r.to_ctr): r.hops for r in chains.overlap_reach(base, 4).collect()}
     assert reach[(1, 2)] == 1 and reach[(1, 3)] == 2 and reach[(1, 4)] == 3 and reach[(1, 1)] == 4
     assert len(reach) == 16
+
+
+def test_doubling_rounds(spark):
+    df = spark.createDataFrame([
+        ([1], [10], [20, 21]), ([2], [21], [30]), ([3], [40], [50]), ([4], [30], [60]), ([5], [60], [70]),
+    ], "chain array<int>, cedant array<bigint>, cess array<bigint>")
+    out = chains.doubling_rounds(df, 3)
+    got = sorted((tuple(r.chain), tuple(r.cedant), tuple(r.cess)) for r in out.collect())
+    assert got == sorted([
+        ((1,), (10,), (20, 21)), ((2,), (21,), (30,)), ((3,), (40,), (50,)), ((4,), (30,), (60,)),
+        ((5,), (60,), (70,)),
+        ((1, 2), (10,), (30,)), ((2, 4), (21,), (60,)), ((4, 5), (30,), (70,)),
+        ((1, 2, 4, 5), (10,), (70,)),
+    ])
