@@ -7,6 +7,8 @@ Output tables keep the declared computed schemas of the source system:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,19 +22,21 @@ def closure(edges: DataFrame, parent: str = PARENT, child: str = CHILD,
             max_rounds: int = 64) -> DataFrame:
     """All (ancestor, descendant) pairs of a parent->child edge table.
 
-    Semi-naive iteration: each round extends only the paths found in the
+    Semi-naive iteration: each round extends only the pairs found in the
     previous round by one edge and keeps those not known yet (anti join), so
-    cycles end.  Each round is materialised in the shared folder, keeping the
-    plan flat; the loop ends on an empty delta (one small job per round).
+    cycles end.  Only the new pairs of a round are written to the shared
+    folder; the known set is the union of those disjoint, already written
+    deltas, so the plan of every round stays a handful of file scans.  The
+    loop ends on an empty delta (one small job per round).
     """
     step = edges.select(F.col(parent).alias("ancestor"), F.col(child).alias("descendant")) \
         .where(F.col("ancestor").isNotNull() & F.col("descendant").isNotNull()).distinct()
     step = materialize(step, "closure_edges")
-    known = step
-    delta = step
+    deltas = [step]
     for _ in range(max_rounds):
+        known = reduce(DataFrame.unionByName, deltas)
         nxt = (
-            delta.alias("d").join(step.alias("e"), F.col("d.descendant") == F.col("e.ancestor"))
+            deltas[-1].alias("d").join(step.alias("e"), F.col("d.descendant") == F.col("e.ancestor"))
             .select(F.col("d.ancestor"), F.col("e.descendant"))
             .distinct()
             .join(known, ["ancestor", "descendant"], "left_anti")
@@ -40,8 +44,7 @@ def closure(edges: DataFrame, parent: str = PARENT, child: str = CHILD,
         nxt = materialize(nxt, "closure_delta")
         if nxt.isEmpty():
             return known
-        known = materialize(known.unionByName(nxt), "closure_known")
-        delta = nxt
+        deltas.append(nxt)
     raise RuntimeError(f"territory closure did not converge in {max_rounds} rounds")
 
 
@@ -136,6 +139,6 @@ def contains_country(territory_sets: DataFrame, country) -> DataFrame:
 
 def compute_territories(gpeter: DataFrame, eltter: DataFrame) -> dict[str, DataFrame]:
     """Both computed territory tables from the raw hierarchy and elements."""
-    sets = materialize(leaf_sets(gpeter), "territories")
+    sets = leaf_sets(gpeter)  # small; recomputed from the written closure when reused
     by_id = fold(eltter, sets)
     return {"territories": sets, "territories_by_id_tercmplx": by_id}

@@ -54,9 +54,12 @@ def _world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _base(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """World tables and the materialised contract base (read several times downstream)."""
+    from rightsweave.session import materialize
     t = _world(spark, sf_dir)
     terr = jobs.territory_tables(t)
-    return t, contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
+    base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
+    return t, materialize(base, "contract_base")
 
 
 # ----------------------------------------------------------------- territories
