@@ -97,16 +97,23 @@ def truncated_pct_product(x, y) -> Column:
     return F.try_divide(_c(x) * _c(y), F.lit(100.0)).cast("long").cast("double")
 
 
-def pairwise_pct(first_list, second_list, field: str = "pct_publisher") -> Column:
+def pct_product(x, y) -> Column:
+    """``x * y / 100`` (no truncation); null if either is null."""
+    return F.try_divide(_c(x) * _c(y), F.lit(100.0))
+
+
+def pairwise_pct(first_list, second_list, field: str = "pct_publisher", truncate: bool = True) -> Column:
     """Element-wise percent product of two aligned struct lists.
 
     Entry ``i`` of the first list takes ``pct * second[i].pct / 100``
-    (truncated); when the second list is shorter the value becomes null.
+    (truncated toward zero unless ``truncate=False``); when the second list
+    is shorter the value becomes null.
     """
     first_list, second_list = _c(first_list), _c(second_list)
+    prod = truncated_pct_product if truncate else pct_product
     return F.transform(
         first_list,
-        lambda x, i: x.withField(field, truncated_pct_product(x[field], F.get(second_list, i)[field])),
+        lambda x, i: x.withField(field, prod(x[field], F.get(second_list, i)[field])),
     )
 
 

@@ -140,7 +140,7 @@ def _void(a: str, b: str) -> str:
             f"(len({a}) = 0 OR len({b}) = 0 OR len(list_intersect({a}, {b})) = 0))")
 
 
-def combine_sql(a: str = "a", b: str = "b") -> str:
+def combine_sql(a: str = "a", b: str = "b", legacy: bool = False) -> str:
     """Select list combining chain ``a`` followed by chain ``b``."""
     def inter(c):
         return f"list_sort(list_intersect({a}.{c}, {b}.{c})) AS {c}"
@@ -148,11 +148,24 @@ def combine_sql(a: str = "a", b: str = "b") -> str:
     def union(c):
         return f"list_sort(list_distinct(list_concat({a}.{c}, {b}.{c}))) AS {c}"
 
+    prod = f"x.pct_publisher * {b}.assignors[i].pct_publisher / 100.0"
+    if not legacy:
+        prod = f"CAST(CAST(trunc({prod}) AS BIGINT) AS DOUBLE)"
     pct = (f"CASE WHEN {b}.assignors[1].role = 'E' THEN list_transform({a}.assignors, lambda x, i: "
            f"{{'catalog': x.catalog, 'role': x.role, "
-           f"'pct_publisher': CAST(CAST(trunc(x.pct_publisher * {b}.assignors[i].pct_publisher / 100.0) "
-           f"AS BIGINT) AS DOUBLE), 'pct_creator': x.pct_creator, 'right_types': x.right_types}}) "
+           f"'pct_publisher': {prod}, 'pct_creator': x.pct_creator, 'right_types': x.right_types}}) "
            f"ELSE {a}.assignors END AS assignors")
+    if legacy:
+        return ",\n".join([
+            f"list_concat({a}.chain, list_filter({b}.chain, lambda x: NOT list_contains({a}.chain, x))) AS chain",
+            pct, f"{b}.assignees AS assignees", f"{a}.contract_type AS contract_type",
+            f"CASE WHEN {a}.start_date < {b}.start_date THEN {b}.start_date ELSE {a}.start_date END AS start_date",
+            f"CASE WHEN {a}.end_date > {b}.end_date THEN {b}.end_date ELSE {a}.end_date END AS end_date",
+            f"{b}.assignable AS assignable", f"{a}.biem AS biem", f"{a}.idtercess AS idtercess",
+            f"{a}.fledit AS fledit",
+            union("genre_incl"), union("genre_excl"), inter("catalog_incl"), union("catalog_excl"),
+            union("work_incl"), union("work_excl"), inter("territories"), "false AS is_void",
+        ])
     return ",\n".join([
         f"list_concat({a}.chain, list_filter({b}.chain, lambda x: NOT list_contains({a}.chain, x))) AS chain",
         pct,
@@ -605,6 +618,15 @@ WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR dat
     q["snk_dated_chain_roundtrip"] = ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains")) + (
         "SELECT array_to_string(chain, '|') AS chain_key, assignor_catalog, assignor_role, pct_publisher, "
         "assignee_catalog, assignee_role, right_type FROM flat WHERE right_type = 'DE'")
+    legacy = (f"leg AS (SELECT DISTINCT {CHAIN_COLS} FROM (SELECT {combine_sql(legacy=True)} FROM "
+              "(SELECT *, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0 WHERE assignable = 1) a "
+              "JOIN (SELECT *, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b ON a.k = b.k))")
+    q["chn_level1_legacy"] = ctes(*CONTRACT_PARTS, legacy) + chain_text_sql("leg")
+    ctx = ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains"), static_keys_sql(batch=True),
+               match_sql(), SHARES).replace(
+        "FROM requests r JOIN contexts x ON r.num_contexte = x.num_contexte",
+        "FROM (SELECT DISTINCT ide12 FROM oeuv) r JOIN contexts x ON x.num_contexte = 3")
+    q["rst_restitution_context"] = ctx + f"SELECT {RESULT} FROM restit"
     q["win_last_value"] = ctes(TERR) + (
         "SELECT idtercmplx, leaf, incl AS final_incl FROM (SELECT *, row_number() OVER "
         "(PARTITION BY idtercmplx, leaf ORDER BY ord_list DESC, incl DESC) AS rn FROM t_el WHERE incl IN (0, 1)) "

@@ -42,12 +42,36 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn("rid", F.xxhash64(*[F.col(c) for c in CHAIN_COLUMNS]))
 
 
-def combine(a: str = "a", b: str = "b") -> list[Column]:
-    """Columns of the chain made of chain ``a`` followed by chain ``b``."""
+def combine(a: str = "a", b: str = "b", legacy: bool = False) -> list[Column]:
+    """Columns of the chain made of chain ``a`` followed by chain ``b``.
+
+    ``legacy=True`` applies the older rules of the source system: inclusive
+    genre and work restrictions are united (not met), inclusive catalogs are
+    intersected without voiding, and the percent product is not truncated.
+    """
     A = lambda c: F.col(f"{a}.{c}")
     B = lambda c: F.col(f"{b}.{c}")
     pct = F.when(first_of(B("assignors"), "role") == ROLE_PUBLISHER,
-                 pairwise_pct(A("assignors"), B("assignors"))).otherwise(A("assignors"))
+                 pairwise_pct(A("assignors"), B("assignors"), truncate=not legacy)).otherwise(A("assignors"))
+    if legacy:
+        return [
+            F.array_union(A("chain"), B("chain")).alias("chain"),
+            pct.alias("assignors"),
+            B("assignees").alias("assignees"),
+            A("contract_type").alias("contract_type"),
+            later_start(A("start_date"), B("start_date")).alias("start_date"),
+            earlier_end(A("end_date"), B("end_date")).alias("end_date"),
+            B("assignable").alias("assignable"),
+            A("biem").alias("biem"), A("idtercess").alias("idtercess"), A("fledit").alias("fledit"),
+            set_union(A("genre_incl"), B("genre_incl")).alias("genre_incl"),
+            set_union(A("genre_excl"), B("genre_excl")).alias("genre_excl"),
+            set_intersect(A("catalog_incl"), B("catalog_incl")).alias("catalog_incl"),
+            set_union(A("catalog_excl"), B("catalog_excl")).alias("catalog_excl"),
+            set_union(A("work_incl"), B("work_incl")).alias("work_incl"),
+            set_union(A("work_excl"), B("work_excl")).alias("work_excl"),
+            set_intersect(A("territories"), B("territories")).alias("territories"),
+            F.lit(False).alias("_void"),
+        ]
     return [
         F.array_union(A("chain"), B("chain")).alias("chain"),
         pct.alias("assignors"),
@@ -98,15 +122,22 @@ def overlap_pairs(level: DataFrame) -> DataFrame:
     return left.join(right, "catalog").select("a_rid", "b_rid").distinct()
 
 
-def overlap_level(base: DataFrame) -> DataFrame:
-    """Level 1: pairs of overlapping contracts, combined."""
+def overlap_level(base: DataFrame, legacy: bool = False) -> DataFrame:
+    """Level 1: pairs of overlapping contracts, combined.
+
+    ``legacy=True``: older combination rules and no void / empty-territory
+    filter (the older builder kept every combined pair).
+    """
     base = base if "rid" in base.columns else with_row_id(base)
     pairs = overlap_pairs(base)
     a = base.alias("a")
     b = base.alias("b")
     joined = (pairs.join(a, F.col("a_rid") == F.col("a.rid"))
               .join(b, F.col("b_rid") == F.col("b.rid")))
-    return _keep_valid(joined.select(combine("a", "b")))
+    combined = joined.select(combine("a", "b", legacy))
+    if legacy:
+        return combined.drop("_void").dropDuplicates()
+    return _keep_valid(combined)
 
 
 def position_level(level: DataFrame, depth: int) -> DataFrame:

@@ -34,3 +34,19 @@ def restitution_job(tables: dict[str, DataFrame], requests: DataFrame, consult_d
                              "flat_chains")
     keys = restitution.static_keys(tables, terr["territories_by_id_tercmplx"], requests, request_keys)
     return restitution.restitution(chain_rows, keys, request_keys, strict)
+
+
+def contract_base_of_day(tables: dict[str, DataFrame], root: str, consult_date,
+                         terr: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Contract base for ``consult_date``: read from ``root`` when already
+    written that day, else assembled, written and read back."""
+    from rightsweave.sources import io
+
+    spark = tables["contrat"].sparkSession
+    path = io.dated_path(root, "contract_base", 0, consult_date)
+
+    def compute():
+        t = terr or territory_tables(tables)
+        return contracts.contract_base(tables, t["territories_by_id_tercmplx"], consult_date)
+
+    return io.read_or_compute(spark, path, compute)

@@ -703,3 +703,22 @@ def snk_dated_chain_roundtrip(spark, sf_dir):
     back = spark.read.parquet(path).where(F.col("right_type") == "DE")
     return back.select(key_string("chain").alias("chain_key"), "assignor_catalog", "assignor_role",
                        "pct_publisher", "assignee_catalog", "assignee_role", "right_type")
+
+
+@query
+def chn_level1_legacy(spark, sf_dir):
+    """Level 1 with the older rules: inclusive genre/work united, untruncated percent, no void filter."""
+    _, base = _base(spark, sf_dir)
+    return chain_text(chains.overlap_level(chains.with_row_id(base.dropDuplicates()), legacy=True))
+
+
+@query
+def rst_restitution_context(spark, sf_dir):
+    """Restitution of every work for context number 3 looked up in the context table."""
+    t = _world(spark, sf_dir)
+    terr = jobs.territory_tables(t)
+    base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
+    flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
+    req = restitution.context_requests(t["oeuv"], t["contexts"], 3)
+    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req)
+    return restitution.as_text(restitution.restitution(flat, keys))
