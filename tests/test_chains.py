@@ -142,3 +142,14 @@ def test_doubling_rounds(spark):
         ((1, 2), (10,), (30,)), ((2, 4), (21,), (60,)), ((4, 5), (30,), (70,)),
         ((1, 2, 4, 5), (10,), (70,)),
     ])
+
+
+def test_legacy_rules_unite_inclusive_and_keep_void(spark):
+    base = spark.createDataFrame([
+        contract(1, [100], [200], genre_incl=("X",), pct=75.0),
+        contract(2, [200], [300], genre_incl=("Z",), pct=50.0, territories=(9,)),
+    ], CHAIN_DDL)
+    assert chains.overlap_level(chains.with_row_id(base)).count() == 0  # void and no territory
+    r = chains.overlap_level(chains.with_row_id(base), legacy=True).collect()[0]
+    assert list(r.genre_incl) == ["X", "Z"] and list(r.territories) == []
+    assert [a.pct_publisher for a in r.assignors] == [37.5]  # not truncated

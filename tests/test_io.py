@@ -93,3 +93,14 @@ def test_renaming_projections(spark):
     df = spark.createDataFrame([(1, 2, 3)], "idctr int, a int, b int")
     assert suffix_columns(df, "cedant", keep=("idctr",)).columns == ["idctr", "a_cedant", "b_cedant"]
     assert prefix_columns(df, "p").columns == ["p_idctr", "p_a", "p_b"]
+
+
+def test_contract_base_of_day_reads_back(spark, tmp_path_factory):
+    from rightsweave.plans import jobs
+    from rightsweave.sources import world as W
+    tables = W.load_world(spark, "/root/testdata/sf0.001")
+    root = _path(spark, "bases")
+    first = jobs.contract_base_of_day(tables, root, W.CONSULT_DATE)
+    again = jobs.contract_base_of_day(tables, root, W.CONSULT_DATE)
+    assert first.count() == again.count() > 0
+    assert io.exists(spark, io.dated_path(root, "contract_base", 0, W.CONSULT_DATE))
