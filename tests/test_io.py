@@ -104,3 +104,21 @@ def test_contract_base_of_day_reads_back(spark, tmp_path_factory):
     again = jobs.contract_base_of_day(tables, root, W.CONSULT_DATE)
     assert first.count() == again.count() > 0
     assert io.exists(spark, io.dated_path(root, "contract_base", 0, W.CONSULT_DATE))
+
+
+def test_read_tables_csv_declared_schema_and_dedup(spark):
+    root = _path(spark, "tables")
+    import os
+    os.makedirs(root, exist_ok=True)
+    with open(f"{root}/cess.csv", "w") as fh:
+        fh.write("idcess,idtercmplx,priort\n1,5,100\n1,5,100\n2, ,101\n")
+    with open(f"{root}/jeucle.csv", "w") as fh:
+        fh.write("idjeucle,datdbtsys,cdetypdrtsacem\n7,2015-11-04 00:00:00.000000,DE\n")
+    schemas = {"cess": {"idcess": "long", "idtercmplx": "integer", "priort": "long"},
+               "jeucle": {"idjeucle": "long", "datdbtsys": "date", "cdetypdrtsacem": "string"}}
+    t = io.read_tables(spark, root, ["cess", "jeucle"], schemas, file_type="csv", dedup=True)
+    assert rows(t["cess"]) == [(1, 5, 100), (2, None, 101)]
+    import datetime as dt
+    assert rows(t["jeucle"]) == [(7, dt.date(2015, 11, 4), "DE")]
+    inferred = io.read_csv(spark, f"{root}/cess.csv", infer=True)
+    assert dict(inferred.dtypes)["idcess"] == "int"
