@@ -1,0 +1,30 @@
+import uuid
+
+from conftest import rows
+
+from rightsweave import cli, registry
+from rightsweave.session import scratch_dir
+from rightsweave.sources import world as W
+from rightsweave.sources.schemas import CHAIN_TABLES, RESTITUTION_TABLES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_chains_then_restitution_jobs(spark):
+    root = f"{scratch_dir(spark)}/rightsweave-tests/{uuid.uuid4().hex}"
+    t = W.load_world(spark, SF)
+    for name in set(CHAIN_TABLES) | set(RESTITUTION_TABLES) | {"contexts", "requests"}:
+        t[name].write.parquet(f"{root}/tables/{name}")
+    out = cli.main(["chains", "--tables", f"{root}/tables", "--out", f"{root}/out",
+                    "--date", W.CONSULT_DATE, "--max-depth", str(W.MAX_DEPTH)], spark=spark)
+    assert out.endswith(f"chains_depth_{W.MAX_DEPTH}_{W.CONSULT_DATE}")
+    res = cli.main(["restitution", "--tables", f"{root}/tables", "--chains", out,
+                    "--territories", f"{root}/out/computed/{W.CONSULT_DATE}/territories_by_id_tercmplx",
+                    "--contexts", f"{root}/tables/contexts", "--requests", f"{root}/tables/requests",
+                    "--out", f"{root}/out"], spark=spark)
+    got = spark.read.parquet(res)
+    from rightsweave.plans.restitution import as_text
+    expected = registry.rst_restitution_batch(spark, SF)
+    cols = ["num_contexte", "ide12", "lettrage", "numcatal_cedant_origine", "numcatal_ayant_droit_final",
+            "chaine_contrats", "cle"]
+    assert rows(as_text(got), *cols) == rows(expected, *cols)
