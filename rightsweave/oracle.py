@@ -607,7 +607,7 @@ WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR dat
     q["win_first_manager_pct"] = rest + (
         "SELECT ide12, lettrage, max(CASE WHEN role_o = 'E' AND gestnr = 1 THEN pe END) AS mgr_pct_publisher, "
         "max(CASE WHEN role_o = 'E' AND gestnr = 1 THEN pc END) AS mgr_pct_creator, "
-        "sum(CASE WHEN gestnr <> 0 THEN 1 ELSE 0 END) AS n_managed FROM w1 GROUP BY ide12, lettrage")
+        "CAST(sum(CASE WHEN gestnr <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_managed FROM w1 GROUP BY ide12, lettrage")
     q["rst_excluded_work"] = _restit() + (
         "SELECT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine, "
         "cat_f AS numcatal_ayant_droit_final, role_f AS role_ad_final, array_to_string(ch, '|') AS chaine_contrats, "
