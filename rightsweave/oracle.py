@@ -74,7 +74,7 @@ a_cre AS (SELECT x.idctr, x.numpers, x.numcatal, x.pct_publisher, coalesce(q.pct
             ON x.idpcttypdrtcre = q.idpcttypdrt AND x.cdetypdrtsacem = q.cdetypdrtsacem
           GROUP BY x.idctr, x.numpers, x.numcatal, x.pct_publisher, coalesce(q.pct, 0.0)),
 a_roles AS (SELECT DISTINCT cdecategadsacem, numcatal, numpers FROM partpt),
-a_rows AS (SELECT DISTINCT c.idctr, c.numcatal AS catalog, r.cdecategadsacem AS role,
+a_rows AS (SELECT DISTINCT c.idctr, c.numpers, c.numcatal AS catalog, r.cdecategadsacem AS role,
                   c.pct_publisher, c.pct_creator, c.right_types
            FROM a_cre c JOIN a_roles r ON c.numcatal = r.numcatal AND c.numpers = r.numpers),
 ors AS (SELECT idctr,
@@ -545,7 +545,7 @@ WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR dat
         "SELECT idctr, numpers, numcatal, pct_publisher, pct_creator, "
         "array_to_string(right_types, '|') AS right_types_key FROM a_cre")
     q["jn_salted_equals_plain"] = ctes(ASSIGNORS) + (
-        "SELECT idctr, catalog, role, pct_publisher, pct_creator, "
+        "SELECT idctr, numpers, catalog, role, pct_publisher, pct_creator, "
         "array_to_string(right_types, '|') AS right_types_key FROM a_rows")
     q["jn_chain_position"] = _chain_tables() + (
         "SELECT DISTINCT array_to_string(a.chain, '|') AS left_key, array_to_string(b.chain, '|') AS right_key "

@@ -122,7 +122,7 @@ def assignor_percents(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt
 
 def assignor_rows(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt: DataFrame,
                   partpt: DataFrame, salt_buckets: int | None = None) -> DataFrame:
-    """Flat assignor entries: (idctr, catalog, role, pct_publisher, pct_creator, right_types).
+    """Flat assignor entries: (idctr, numpers, catalog, role, pct_publisher, pct_creator, right_types).
 
     Percents from :func:`assignor_percents`; the role comes from the work
     participants on (catalog, person).  ``salt_buckets`` salts the
@@ -134,9 +134,11 @@ def assignor_rows(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt: Da
         joined = salted_join(roles, with_cre, ["numcatal", "numpers"], salt_buckets)
     else:
         joined = with_cre.join(roles, ["numcatal", "numpers"])
+    # distinct with the person: two persons sharing catalog, role and percents
+    # stay two entries of the contract's list
     return (
-        joined.select("idctr", F.col("numcatal").alias("catalog"), F.col("cdecategadsacem").alias("role"),
-                      "pct_publisher", "pct_creator", "right_types")
+        joined.select("idctr", "numpers", F.col("numcatal").alias("catalog"),
+                      F.col("cdecategadsacem").alias("role"), "pct_publisher", "pct_creator", "right_types")
         .distinct()
     )
 

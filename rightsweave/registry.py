@@ -461,7 +461,7 @@ def jn_salted_equals_plain(spark, sf_dir):
     t = _world(spark, sf_dir)
     rows = contracts.assignor_rows(t["detcedant"], t["detcedantcatal"], t["pcttypdrt"], t["partpt"],
                                    salt_buckets=16)
-    return rows.select("idctr", "catalog", "role", "pct_publisher", "pct_creator",
+    return rows.select("idctr", "numpers", "catalog", "role", "pct_publisher", "pct_creator",
                        key_string("right_types").alias("right_types_key"))
 
 
