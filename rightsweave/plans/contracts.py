@@ -150,18 +150,29 @@ def participant_roles(partpt: DataFrame) -> DataFrame:
 
 def assignors(detcedant: DataFrame, detcedantcatal: DataFrame, pcttypdrt: DataFrame,
               partpt: DataFrame) -> DataFrame:
-    """One row per contract: ``idctr, assignors`` (sorted struct list)."""
-    rows = assignor_rows(detcedant, detcedantcatal, pcttypdrt, partpt)
-    entry = F.struct("catalog", "role", "pct_publisher", "pct_creator", "right_types")
-    return rows.groupBy("idctr").agg(F.array_sort(F.collect_list(entry)).alias("assignors"))
+    """One row per contract: ``idctr, assignors`` (sorted struct list).
+
+    Entries are made distinct together with the person (``collect_set`` of a
+    struct ending in ``numpers``, partial aggregation, one shuffle), sorted,
+    then the person is projected away.
+    """
+    with_cre = assignor_percents(detcedant, detcedantcatal, pcttypdrt)
+    joined = with_cre.join(participant_roles(partpt), ["numcatal", "numpers"])
+    entry = F.struct(F.col("numcatal").alias("catalog"), F.col("cdecategadsacem").alias("role"),
+                     "pct_publisher", "pct_creator", "right_types", "numpers")
+    listed = F.array_sort(F.collect_set(entry))
+    return joined.groupBy("idctr").agg(F.transform(listed, lambda x: F.struct(
+        x["catalog"].alias("catalog"), x["role"].alias("role"), x["pct_publisher"].alias("pct_publisher"),
+        x["pct_creator"].alias("pct_creator"), x["right_types"].alias("right_types"))).alias("assignors"))
 
 
 def assignees(detcess: DataFrame) -> DataFrame:
-    """One row per contract: ``idctr, assignees`` (sorted struct list)."""
-    rows = detcess.select("idctr", "numcatal", "cdecategadsacem", "numpers", "gestnr").distinct()
+    """One row per contract: ``idctr, assignees`` (sorted struct list, distinct with the person)."""
     entry = F.struct(F.col("numcatal").alias("catalog"), F.col("cdecategadsacem").alias("role"),
-                     F.col("gestnr").alias("manager"))
-    return rows.groupBy("idctr").agg(F.array_sort(F.collect_list(entry)).alias("assignees"))
+                     F.col("gestnr").alias("manager"), "numpers")
+    listed = F.array_sort(F.collect_set(entry))
+    return detcess.groupBy("idctr").agg(F.transform(listed, lambda x: F.struct(
+        x["catalog"].alias("catalog"), x["role"].alias("role"), x["manager"].alias("manager"))).alias("assignees"))
 
 
 def restrictions(restrctr: DataFrame, restrgenre: DataFrame, restroeuv: DataFrame,

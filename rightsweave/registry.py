@@ -398,7 +398,7 @@ def flt_active_works(spark, sf_dir):
     """Works valid at the consultation date (strict bounds, open end)."""
     t = _world(spark, sf_dir)
     req = restitution.single_request(t["oeuv"].select("ide12"), W.COUNTRY, W.RIGHT_TYPE, W.CONSULT_DATE)
-    return restitution.active_works(t["oeuv"], req).select("idoeuv", "ide12")
+    return restitution.active_works(t["oeuv"], req).select("idoeuv", "ide12").distinct()
 
 
 @query
