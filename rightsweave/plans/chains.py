@@ -293,7 +293,7 @@ def doubling_rounds(df: DataFrame, rounds: int) -> DataFrame:
                           F.array_union("a.cedant", "b.cedant").alias("cedant"),
                           F.col("b.cess").alias("cess"))
                   .dropDuplicates()
-                  .withColumn("cedant", F.slice("cedant", 1, F.size("cedant") - 1)))
+                  .withColumn("cedant", F.slice("cedant", 1, F.greatest(F.size("cedant") - 1, F.lit(0)))))
         current = materialize(merged, f"doubling_{r}")
         out.append(current)
     result = out[0]
