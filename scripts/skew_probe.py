@@ -3,7 +3,9 @@
 Runs ``rst_restitution`` on the normal demo world and on a variant where
 every third lineitem's part (work) is replaced by work 2, and reports wall
 time and the longest single task of each run (from Spark's event log in a
-scratch folder).  Usage: python scripts/skew_probe.py /root/testdata/sf0.1
+scratch folder).  With ``chn_build`` as second argument, every third contract assigns to one
+catalog instead (a hot key of the overlap join).
+Usage: python scripts/skew_probe.py /root/testdata/sf0.1 [rst_restitution|chn_build]
 """
 
 from __future__ import annotations
@@ -41,30 +43,42 @@ def longest_task(ev_dir: str) -> float:
     return best
 
 
-def run(sf: str, hot: bool) -> dict:
+HOT_CATALOG = "CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_orderkey + 1 END"
+
+
+def run(sf: str, hot: bool, query: str = "rst_restitution") -> dict:
     ev = tempfile.mkdtemp(prefix="run-")
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", ev)
              .config("spark.driver.memory", "16g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     saved = dict(W._WORLD_SQL)
-    if hot:
+    if hot and query == "rst_restitution":
         for t in ("partpt", "ayant_droit", "restroeuv"):
             W._WORLD_SQL[t] = W._WORLD_SQL[t].replace("l_partkey", HOT)
+    elif hot:
+        # every third contract assigns to catalog 7 (contract 7's own catalog)
+        W._WORLD_SQL["detcess"] = W._WORLD_SQL["detcess"].replace("o_orderkey + 1 AS numcatal",
+                                                                  f"{HOT_CATALOG} AS numcatal")
     try:
         registry.ter_leaves(spark, sf).collect()
         t0 = time.perf_counter()
-        df = registry.rst_restitution(spark, sf)
+        df = registry.QUERIES[query](spark, sf)
         df.write.format("noop").mode("overwrite").save()
         wall = time.perf_counter() - t0
-        hot_rows = df.where(f"ide12 = {HOT_WORK}").count()
+        if query == "rst_restitution":
+            hot_rows = df.where(f"ide12 = {HOT_WORK}").count()
+        else:
+            hot_rows = df.where("chain_key LIKE '%|7' OR chain_key LIKE '%|7|%'").count()
     finally:
         W._WORLD_SQL.clear()
         W._WORLD_SQL.update(saved)
         spark.stop()
-    return {"hot": hot, "sec": round(wall, 1), "rows_of_hot_work": hot_rows, "longest_task_sec": longest_task(ev)}
+    return {"query": query, "hot": hot, "sec": round(wall, 1), "rows_of_hot_key": hot_rows,
+            "longest_task_sec": longest_task(ev)}
 
 
 if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    print(json.dumps([run(sf, False), run(sf, True), run(sf, False)]))
+    which = sys.argv[2] if len(sys.argv) > 2 else "rst_restitution"
+    print(json.dumps([run(sf, False, which), run(sf, True, which), run(sf, False, which)]))
