@@ -164,7 +164,7 @@ def levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
             nxt = position_level(current, depth)
         nxt = materialize(nxt, f"chain_level_{depth + 1}")
         out.append(nxt)
-        if nxt.isEmpty():
+        if depth + 1 < max_depth and nxt.isEmpty():  # no check after the last level
             break
         current = nxt
     return out
