@@ -215,9 +215,11 @@ def work_restriction_applies() -> Column:
 def contract_base(tables: dict[str, DataFrame], territory_sets: DataFrame, consult_date=None) -> DataFrame:
     """Level 0 of the chain table: one wide row per valid contract.
 
-    All per-contract pieces are keyed by ``idctr``; Spark plans the three
-    joins on the same hash partitioning.  The territory sets join on the
-    complex territory id (broadcast by AQE when its runtime size is small).
+    All per-contract pieces are one row per ``idctr`` and join on it (their
+    aggregations already hash-partition by ``idctr``, so the joins need no
+    further shuffle of those sides unless AQE chooses a broadcast).  The
+    territory sets join on the complex territory id (broadcast by AQE when
+    its runtime size is small).
     """
     contracts = valid_contracts(tables["contrat"], consult_date)
     ors = assignors(tables["detcedant"], tables["detcedantcatal"], tables["pcttypdrt"], tables["partpt"])

@@ -119,7 +119,7 @@ def last_states(elements: DataFrame, territories: DataFrame) -> DataFrame:
 
 
 def fold_window(elements: DataFrame, territories: DataFrame) -> DataFrame:
-    """Same fold written with ordered windows (running state per leaf).
+    """Same fold written with ordered windows: the last 0/1 state per leaf.
 
     ``incl == 1`` adds and ``incl == 0`` removes; other values leave the
     state unchanged.  The window runs per (territory, leaf), so a frame
