@@ -66,7 +66,7 @@ def run_restitution(spark, args) -> str:
     contexts = _read_one(spark, args.contexts, "contexts")
     requests = _read_one(spark, args.requests, "requests").select("ide12", "num_contexte")
     req = requests.join(contexts, "num_contexte")
-    keys = restitution.static_keys(tables, by_id, req, ["num_contexte"])
+    keys = restitution.static_keys(tables, by_id, req, ["num_contexte"], keep_territories=False)
     result = restitution.restitution(flat, keys, ["num_contexte"], strict=args.strict)
     out = f"{args.out.rstrip('/')}/restitution"
     io.write_parquet(result, out, partition_by="num_contexte")

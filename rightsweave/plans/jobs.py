@@ -32,7 +32,8 @@ def restitution_job(tables: dict[str, DataFrame], requests: DataFrame, consult_d
     terr = territory_tables(tables)
     chain_rows = materialize(chains.flatten(chain_table(tables, consult_date, max_depth, terr)),
                              "flat_chains")
-    keys = restitution.static_keys(tables, terr["territories_by_id_tercmplx"], requests, request_keys)
+    keys = restitution.static_keys(tables, terr["territories_by_id_tercmplx"], requests, request_keys,
+                                   keep_territories=False)
     return restitution.restitution(chain_rows, keys, request_keys, strict)
 
 

@@ -227,7 +227,7 @@ def _restitution_inputs(spark, sf_dir):
     base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
     flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
     req = restitution.single_request(t["oeuv"].select("ide12"), W.COUNTRY, W.RIGHT_TYPE, W.CONSULT_DATE)
-    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req)
+    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, keep_territories=False)
     return t, flat, keys
 
 
@@ -292,7 +292,8 @@ def rst_restitution_batch(spark, sf_dir):
     base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
     flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
     req = t["requests"].join(t["contexts"], "num_contexte")
-    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, ["num_contexte"])
+    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, ["num_contexte"],
+                                   keep_territories=False)
     return restitution.as_text(restitution.restitution(flat, keys, ["num_contexte"]))
 
 
@@ -720,5 +721,5 @@ def rst_restitution_context(spark, sf_dir):
     base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
     flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
     req = restitution.context_requests(t["oeuv"], t["contexts"], 3)
-    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req)
+    keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, keep_territories=False)
     return restitution.as_text(restitution.restitution(flat, keys))
