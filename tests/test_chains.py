@@ -153,3 +153,18 @@ def test_legacy_rules_unite_inclusive_and_keep_void(spark):
     r = chains.overlap_level(chains.with_row_id(base), legacy=True).collect()[0]
     assert list(r.genre_incl) == ["X", "Z"] and list(r.territories) == []
     assert [a.pct_publisher for a in r.assignors] == [37.5]  # not truncated
+
+
+def test_paths_refuse_repeats_in_cycles(spark):
+    base = spark.createDataFrame([
+        contract(1, [10], [20]), contract(2, [20], [10]),
+    ], CHAIN_DDL)
+    assert chain_keys(chains.paths(base, 3)) == ["1", "1|2", "2", "2|1"]
+
+
+def test_overlap_join_plans_no_nested_loop(spark):
+    base = spark.createDataFrame([contract(i, [i], [i + 1]) for i in range(1, 30)], CHAIN_DDL)
+    pairs = chains.overlap_pairs(chains.with_row_id(base))
+    assert pairs.count() == 28
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

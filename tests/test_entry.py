@@ -31,3 +31,10 @@ def test_some_queries_match_oracle(spark, name):
     spark_rows = sorted((tuple(r[c] for c in cols) for r in df.collect()), key=key)
     oracle_rows = sorted(cur.fetchall(), key=key)
     assert spark_rows == oracle_rows
+
+
+def test_date_filter_reaches_the_scan(spark):
+    from rightsweave import registry
+    df = registry.flt_contract_validity(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "LessThan(o_orderdate" in plan
