@@ -38,3 +38,10 @@ def test_date_filter_reaches_the_scan(spark):
     df = registry.flt_contract_validity(spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_worlds_of_two_folders_do_not_mix(spark):
+    from rightsweave.sources import world as W
+    small = W.load_world(spark, "/root/testdata/sf0.001")
+    big = W.load_world(spark, "/root/testdata/sf0.01")
+    assert small["contrat"].count() == 1500 and big["contrat"].count() == 15000
