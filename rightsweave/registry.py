@@ -30,15 +30,22 @@ def _dec(c: Column) -> Column:
     return c.cast("decimal(18,4)").cast("string")
 
 
-def chain_text(df: DataFrame, *extra: Column) -> DataFrame:
-    """Comparable projection of a chain table."""
-    ors = F.array_join(F.transform("assignors", lambda x: F.concat_ws(
+def _assignors_text(c: str = "assignors") -> Column:
+    return F.array_join(F.transform(c, lambda x: F.concat_ws(
         ":", x["catalog"].cast("string"), x["role"], _dec(x["pct_publisher"]), _dec(x["pct_creator"]),
         F.array_join(x["right_types"], "+"))), ";")
-    ees = F.array_join(F.transform("assignees", lambda x: F.concat_ws(
+
+
+def _assignees_text(c: str = "assignees") -> Column:
+    return F.array_join(F.transform(c, lambda x: F.concat_ws(
         ":", x["catalog"].cast("string"), x["role"], x["manager"].cast("string"))), ";")
+
+
+def chain_text(df: DataFrame, *extra: Column) -> DataFrame:
+    """Comparable projection of a chain table."""
     return df.select(
-        key_string("chain").alias("chain_key"), ors.alias("assignors_key"), ees.alias("assignees_key"),
+        key_string("chain").alias("chain_key"), _assignors_text().alias("assignors_key"),
+        _assignees_text().alias("assignees_key"),
         "contract_type", "start_date", "end_date", "assignable", "biem", "idtercess", "fledit",
         key_string("genre_incl").alias("genre_incl_key"), key_string("genre_excl").alias("genre_excl_key"),
         key_string("catalog_incl").alias("catalog_incl_key"),
@@ -128,13 +135,8 @@ def asm_assignees(spark, sf_dir):
 
 
 def chain_text_part(df: DataFrame, column: str) -> DataFrame:
-    if column == "assignors":
-        txt = F.array_join(F.transform(column, lambda x: F.concat_ws(
-            ":", x["catalog"].cast("string"), x["role"], _dec(x["pct_publisher"]), _dec(x["pct_creator"]),
-            F.array_join(x["right_types"], "+"))), ";")
-    else:
-        txt = F.array_join(F.transform(column, lambda x: F.concat_ws(
-            ":", x["catalog"].cast("string"), x["role"], x["manager"].cast("string"))), ";")
+    """Comparable projection of one per-contract list (``assignors`` or ``assignees``)."""
+    txt = _assignors_text(column) if column == "assignors" else _assignees_text(column)
     return df.select("idctr", txt.alias(f"{column}_key"), F.size(column).alias(f"n_{column}"))
 
 
