@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of a session, once per application."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED or not os.path.isdir(package):
+        return
+    top, name = os.path.split(package)
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", top, name)
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def fresh(taken: Iterable[str], name: str) -> str:
     """``name``, lengthened until it clashes with no column in ``taken`` (case is ignored, as Spark does)."""
     lower = {c.lower() for c in taken}

@@ -4,19 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, packing, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"), ["doc_id"])
+    return plan.select("doc_id", "size", "source_size", "target",
+                       (F.col("size") * F.size("draws")).alias("taken"), F.size("draws").alias("copies"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op5_packing": op5_packing,
     "op10_simhash": op10_simhash,
 }
 

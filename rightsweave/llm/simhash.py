@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import hex16, identified
+from .common import hex16, identified, ship
 from .components import connected_components
 
 BITS = 64
@@ -59,6 +59,7 @@ def fingerprint_of(text: str | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", shingle: int = 3) -> DataFrame:
     """The key columns and ``fp`` of every row of ``docs``."""
+    ship(docs.sparkSession)
     kept = docs.select(*keys, F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
