@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash
+from . import mixing, packing, simhash, substrings
 from .common import table
+from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.size("draws")).alias("taken"), F.size("draws").alias("copies"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_units(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -30,8 +35,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_substrings": op2_substrings,
     "op5_packing": op5_packing,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
