@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, substrings
+from . import mixing, packing, simhash, substrings, toxicity
 from .common import table
 from .oracle import ORACLE
 
@@ -29,6 +29,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_substrings": op2_substrings,
     "op5_packing": op5_packing,
+    "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
 
