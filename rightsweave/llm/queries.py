@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, substrings, toxicity
+from . import mixing, packing, simhash, substrings, toxicity, urls
 from .common import table
 from .oracle import ORACLE
 
@@ -33,6 +33,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: The rules of the URL query.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), ["page_id"], URL_RULES)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -42,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op2_substrings": op2_substrings,
     "op5_packing": op5_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
 }
 
