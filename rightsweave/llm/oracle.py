@@ -26,6 +26,42 @@ select doc_id, unit::int as unit, start::int as start, stop::int as stop, digest
 from ranked where nth > 1
 """
 
+OP3 = """
+with parts as (
+  select vec_id, generate_subscripts(embedding, 1) as i, floor(256 * unnest(embedding)::double)::bigint as x
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, sum(q.x * c.x)::bigint as score
+  from parts q join parts c on q.i = c.i and q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0
+  group by 1, 2),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scores)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+OP6 = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) as (
+  select vec_id, vec_id from embeddings
+  union
+  select r.a, l.b from reach r join links l on l.a = r.b),
+least as (select a as vec_id, min(b) as component_id from reach group by 1),
+n as (select a as vec_id, count(*) as n from links group by 1)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from least left join n using (vec_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_substrings": OP2,
+    "op3_topk": OP3,
+    "op6_vectors": OP6,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, substrings, toxicity, urls
+from . import mixing, packing, simhash, substrings, topk, toxicity, urls, vectors
 from .common import table
 from .oracle import ORACLE
 
@@ -25,10 +25,18 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_units(table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,7 +56,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_substrings": op2_substrings,
+    "op3_topk": op3_topk,
     "op5_packing": op5_packing,
+    "op6_vectors": op6_vectors,
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
