@@ -60,8 +60,26 @@ select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = compone
 from least left join n using (vec_id)
 """
 
+OP4 = r"""
+with rows as (
+  select conv_id, turn, role, text from conversations
+  union all
+  select * from (values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from rows),
+marked as (
+  select *, replace(replace(replace(text, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>') as written from said)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(4 + length(role) + 2 + length(written) + 8)::bigint as formatted_chars
+from marked group by conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_substrings": OP2,
     "op3_topk": OP3,
+    "op4_chat": OP4,
     "op6_vectors": OP6,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, substrings, topk, toxicity, urls, vectors
+from . import chat, mixing, packing, simhash, substrings, topk, toxicity, urls, vectors
 from .common import table
 from .oracle import ORACLE
 
@@ -29,6 +29,16 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+#: Looks like the template's own marks.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], turns.schema)
+    return chat.format_conversations(turns.unionByName(more))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -57,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_substrings": op2_substrings,
     "op3_topk": op3_topk,
+    "op4_chat": op4_chat,
     "op5_packing": op5_packing,
     "op6_vectors": op6_vectors,
     "op8_toxicity": op8_toxicity,
