@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash, substrings, topk, toxicity, urls, vectors
+from . import chat, mixing, packing, simhash, substrings, topk, toxicity, urls, vectors, warc
 from .common import table
 from .oracle import ORACLE
 
@@ -47,6 +47,24 @@ def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def responses(pages: DataFrame) -> DataFrame:
+    """The pages as WARC responses of a crawl, with an HTTP message around the HTML."""
+    head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
+                    F.octet_length(F.coalesce("html", F.lit(""))).cast("string"), F.lit("\r\n\r\n"))
+    name = F.md5(F.concat_ws(" ", F.col("page_id").cast("string"), "url"))
+    uuid = F.concat_ws("-", *(F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    return pages.select("page_id", F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">")).alias("record_id"),
+                        F.col("url").alias("target_uri"), F.lit("2024-01-01T00:00:00Z").alias("date"),
+                        F.create_map(F.lit("WARC-IP-Address"), F.lit("192.0.2.1")).alias("headers"),
+                        F.encode(F.concat(head, F.coalesce("html", F.lit(""))), "UTF-8").alias("block"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.derivatives(responses(table(spark, sf_dir, "pages")), ["page_id"])
+    return made.select("page_id", "type", "record_id", "refers_to", "target_uri", "payload_digest", "block_digest", "length",
+                       F.octet_length("record").alias("record_length"), F.sha2("record", 256).alias("record_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -70,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op4_chat": op4_chat,
     "op5_packing": op5_packing,
     "op6_vectors": op6_vectors,
+    "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
