@@ -278,4 +278,4 @@ def mix(docs: DataFrame, row: str, shards: int = 64, **options) -> DataFrame:
     drawn = plan_mix(docs, [row], shards=shards, **options).select(row, "unit", F.inline("draws")).select(
         row, F.col("shard").alias("__shard"), F.xxhash64("unit", "pass", "shard").alias("__place"))
     return (docs.join(drawn, row).repartition("__shard").sortWithinPartitions("__shard", "__place", row)
-            .drop("__shard", "__place"))
+            .select(*docs.columns))

@@ -63,8 +63,8 @@ class Segment:
     def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.rows, self.vectors = ids, rows, vectors
         self.cuts = range(0, len(ids), BLOCK)
-        self.high = np.array([vectors[a:a + BLOCK].max(0) for a in self.cuts]).reshape(-1, vectors.shape[1])
-        self.low = np.array([vectors[a:a + BLOCK].min(0) for a in self.cuts]).reshape(-1, vectors.shape[1])
+        self.high = np.array([vectors[a:a + BLOCK].max(0) for a in self.cuts]).reshape(len(self.cuts), vectors.shape[1])
+        self.low = np.array([vectors[a:a + BLOCK].min(0) for a in self.cuts]).reshape(len(self.cuts), vectors.shape[1])
 
     def bounds(self, query: np.ndarray) -> np.ndarray:
         return np.where(query > 0, self.high * query, self.low * query).sum(1)

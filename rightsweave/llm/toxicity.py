@@ -259,7 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = 20
     beginning that at least ``least`` toxic texts hold and that favours them (at
     most ``features``, the most frequent).  The rest fit the logistic
     regression.  A doc_id with several labels counts as toxic if one says so;
-    null labels do not count.  With labels of one kind only, or none, every
+    null labels do not count, and equal texts with equal labels count once.  With labels of one kind only, or none, every
     score is the share of toxic labels (0 without any).
     """
     ship(docs.sparkSession)
@@ -269,8 +269,9 @@ def train(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = 20
     share = min(1.0, sample / n) if n else 0.0
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).cast("int")
-    rows = (docs.select("doc_id", "text").where(~held_out(F.col("doc_id")) & chosen).join(known.where(chosen), "doc_id")
-            .select(fold.alias("fold"), "y", F.col("text").cast("string").alias("text")))
+    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).where(~held_out(F.col("doc_id")) & chosen)
+            .join(known.where(chosen), "doc_id").groupBy(F.xxhash64("text").alias("hash"), "y")
+            .agg(F.min_by(F.struct(fold.alias("fold"), "text"), "doc_id").alias("own")).select("own.fold", "y", "own.text"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

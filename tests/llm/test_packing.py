@@ -1,0 +1,105 @@
+"""Packing: ids against the tokenizers library, and a round trip through the sequences."""
+
+import random
+import struct
+import zlib
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from rightsweave.llm import packing
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def test_encoder_gives_the_librarys_ids(tokenizer):
+    odd = ["", "  a  b", " a\n b  ", "x \n\n  y 's  it's", "tab\t x", "a<|endoftext|>b", "\x1c \x85\xa0 z", "é" * 40, "日本 語　字",
+           "don't they'll I'm 123456 ... !!!", "🙂🙂 ok"]
+    odd += ["a" + chr(c) + "b1 " + chr(c) + " " + chr(c) * 2 for c in range(32, 0x3000, 3)]
+    encode = packing.Encoder(PATH).encode
+    for text, own in zip(odd, tokenizer.encode_batch(odd, add_special_tokens=False)):
+        assert encode(text) == struct.pack(f"<{len(own.ids)}I", *own.ids), text
+
+
+def check(docs, tokenizer, spare=0.05):
+    rows = packing.pack_documents(docs, PATH, with_ids=True).collect()
+    by_sequence, by_doc = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert r.ids_crc32 == zlib.crc32(r.ids) and len(r.ids) == 4 * r.length and 1 <= r.length <= 1024
+        by_sequence[r.sequence_id].append(r)
+        by_doc[r.doc_id].append(r)
+    for own in by_sequence.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == [sum(x.length for x in own[:i]) for i in range(len(own))]
+        assert sum(r.length for r in own) <= 1024
+    want = defaultdict(list)
+    for r in docs.collect():
+        ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [2]
+        want[r.doc_id].append(struct.pack(f"<{len(ids)}I", *ids))
+    for doc_id, own in by_doc.items():
+        texts = defaultdict(bytes)
+        if len(want[doc_id]) == 1:
+            own.sort(key=lambda r: r.piece)
+            assert [r.piece for r in own] == list(range(len(own)))
+            assert [r.start for r in own] == [sum(x.length for x in own[:i]) for i in range(len(own))]
+            assert b"".join(r.ids for r in own) == want[doc_id][0]
+            assert all(r.length == 1024 for r in own[1:])
+            assert len(own) == 1 or len(want[doc_id][0]) > 4 * 1024
+        else:
+            assert sum(len(r.ids) for r in own) == sum(map(len, want[doc_id])), texts
+    assert set(by_doc) == set(want)
+    total = sum(r.length for r in rows)
+    assert len(by_sequence) <= max(1, -(-total // 1024)) * (1 + spare) + 1
+    return rows
+
+
+def test_all_documents(docs, tokenizer):
+    check(docs, tokenizer)
+
+
+def test_edge_rows(edge, tokenizer):
+    check(edge, tokenizer, spare=0.1)
+
+
+def test_empty_table(no_docs):
+    assert packing.pack_documents(no_docs, PATH).count() == 0
+
+
+def test_sequences_hold_the_ids_in_order(docs):
+    packed = packing.pack_documents(docs, PATH, with_ids=True)
+    rows = packed.collect()
+    own = {r.sequence_id: r.ids for r in packing.sequences(packed).collect()}
+    want = defaultdict(bytes)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        want[r.sequence_id] += r.ids
+    assert own == want
+
+
+def test_bins_close_the_fullest_and_never_overflow():
+    random.seed(4)
+    for most in (1, 2, 5, 1000):
+        bins, fill = packing.Bins(100, most), defaultdict(int)
+        for _ in range(3000):
+            n = random.randint(1, 100)
+            number, offset = bins.place(n)
+            assert offset == fill[number]
+            fill[number] += n
+            assert fill[number] <= 100 and bins.open <= most
+    bins = packing.Bins(10, 2)
+    assert [bins.place(n) for n in (6, 5, 4, 9, 5)] == [(0, 0), (1, 0), (0, 6), (2, 0), (1, 5)]
+    bins = packing.Bins(10, 2)
+    for n in (6, 5, 7, 4):  # the third bin needs room: the bin with 6 closes, and 4 goes to the one with 5
+        last = bins.place(n)
+    assert last == (1, 5)
+
+
+def test_cuts():
+    assert packing.cuts(1, 4) == [(0, 1)] and packing.cuts(4, 4) == [(0, 4)]
+    assert packing.cuts(9, 4) == [(0, 1), (1, 4), (5, 4)] and packing.cuts(8, 4) == [(0, 4), (4, 4)]

@@ -1,0 +1,73 @@
+"""The pipeline's stages, each against brute force on its own input."""
+
+from collections import Counter
+
+import corpus_pipeline
+from rightsweave.llm import packing, simhash, substrings, toxicity
+from rightsweave.session import materialize
+
+from test_mixing import brute_targets, words
+from test_simhash import bits, brute_fingerprint, brute_groups
+from test_substrings import TILE, brute
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_turn(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    outs = []
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = materialize(stage(spark, docs, SF), name)
+        outs.append((before.collect(), docs.collect()))
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    (d0, d1), (_, d2), (_, d3), (_, d4), (_, d5) = outs
+    assert all(list(r.asDict()) == columns for own in (d1, d2, d3, d4) for r in own)
+
+    scores = {r.doc_id: r.predicted for r in toxicity.toxicity(
+        spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    assert sorted(r.doc_id for r in d1) == sorted(r.doc_id for r in d0 if not scores[r.doc_id])
+
+    fps = {r.doc_id: brute_fingerprint(r.text) for r in d1}
+    groups = brute_groups(set(fps.values()), lambda a, b: bits(a, b) <= 2)
+    least = {}
+    for i, f in fps.items():
+        least[groups[f]] = min(i, least.get(groups[f], i))
+    assert sorted(r.doc_id for r in d2) == sorted(least.values())
+
+    gone = {}
+    for doc, _, start, stop, *_ in brute([(r.doc_id, r.text) for r in sorted(d2, key=lambda r: r.doc_id)]):
+        gone.setdefault(doc, []).append((start, stop))
+    assert {r.doc_id: r.text for r in d3} == {r.doc_id: substrings.cut(r.text, gone.get(r.doc_id, [])) for r in d2}
+    assert all(r.n_chars == len(r.text) for r in d3) and gone and TILE
+
+    sizes, taken = Counter(), Counter()
+    own = {r.doc_id: r for r in d3}
+    for r in d3:
+        sizes[r.source] += words(r.text)
+    for r in d4:
+        assert r == own[r.doc_id]
+        taken[r.source] += words(r.text)
+    assert max(Counter(r.doc_id for r in d4).values()) <= 3
+    for s, target in brute_targets(sizes).items():
+        assert target - 150 <= taken[s] <= round(target)
+
+    tokens = Counter()
+    for r in d5:
+        tokens[r.doc_id] += r.length
+    import public_tokenizers
+    encode = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json")).encode
+    want = Counter()
+    for r in d4:
+        want[r.doc_id] += len(encode(r.text)) // 4 + 1
+    assert tokens == want
+    assert len({r.sequence_id for r in d5}) <= 1.05 * sum(tokens.values()) / 1024 + 1
+
+
+def test_names_and_registration():
+    import __spark_entry__ as entry
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "substring_dedup", "mixing", "packing"]
+    found = entry.queries()
+    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in found} and "pipeline" in found
+    assert set(entry.oracle_sql()) <= set(found) and simhash
