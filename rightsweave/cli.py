@@ -4,16 +4,19 @@
 
     spark-submit rightsweave/cli.py chains --tables DIR --out ROOT [--format csv|parquet]
         [--date YYYY-MM-DD] [--max-depth 4] [--mode pivot|path]
-    spark-submit rightsweave/cli.py restitution --tables DIR --chains PATH --contexts PATH
-        --requests PATH --out ROOT [--format csv|parquet] [--strict]
+    spark-submit rightsweave/cli.py restitution --tables DIR --chains PATH --territories PATH
+        --contexts PATH --requests PATH --out ROOT [--name NAME] [--date YYYY-MM-DD] [--overwrite]
+        [--format csv|parquet] [--strict]
 
 ``chains`` reads the contract tables (``DIR/<table>`` Parquet folders, or
 ``DIR/<table>.csv`` with the declared schemas), computes the territory tables
-once per day (compute-if-absent under ``ROOT/computed``), builds the chain
-table and writes it flattened to ``ROOT/chains_depth_<d>_<date>``,
-partitioned by right type.  ``restitution`` reads the work tables, that chain
-output, a context table and request rows ``(ide12, num_contexte)`` and
-writes the restitution of every request.
+and the contract base once per day (compute-if-absent under
+``ROOT/computed/<date>``), builds the chain table and writes it flattened to
+``ROOT/chains_depth_<d>_<date>``, partitioned by right type.  ``restitution``
+reads the work tables, that chain output, a context table and request rows
+``(ide12, num_contexte)`` and writes the restitution of every request to
+``ROOT/<name>_<date>``; a result that is there already is only replaced with
+``--overwrite``.  A job that ends well deletes its intermediates.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ import sys
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from rightsweave.plans import chains, contracts, restitution, territories  # noqa: E402
-from rightsweave.session import build_session  # noqa: E402
+from rightsweave.plans import chains, jobs, restitution, territories  # noqa: E402
+from rightsweave.session import build_session, discard_intermediates  # noqa: E402
 from rightsweave.sources import io  # noqa: E402
 from rightsweave.sources.schemas import CHAIN_TABLES, RESTITUTION_TABLES, SCHEMAS  # noqa: E402
 
@@ -50,8 +53,8 @@ def run_chains(spark, args) -> str:
                               lambda: territories.leaf_sets(tables["gpeter"]))
     by_id = io.read_or_compute(spark, f"{computed}/territories_by_id_tercmplx",
                                lambda: territories.fold(tables["eltter"], sets))
-    base = contracts.contract_base(tables, by_id, date)
-    table = chains.paths(base, args.max_depth) if args.mode == "path" else chains.build(base, args.max_depth)
+    base = jobs.contract_base_of_day(tables, computed, date, {"territories_by_id_tercmplx": by_id})
+    table = jobs.chain_table(tables, date, args.max_depth, mode=args.mode, base=base)
     out = io.dated_path(args.out, "chains", args.max_depth, date)
     io.write_parquet(chains.flatten(table), out, partition_by="right_type")
     return out
@@ -60,16 +63,14 @@ def run_chains(spark, args) -> str:
 def run_restitution(spark, args) -> str:
     tables = _read(spark, args.tables, RESTITUTION_TABLES, args.format, dedup=True)
     flat = spark.read.parquet(args.chains)
-    by_id = spark.read.parquet(args.territories) if args.territories else None
-    if by_id is None:
-        raise SystemExit("--territories (territories_by_id_tercmplx written by the chains job) is required")
+    by_id = spark.read.parquet(args.territories)
     contexts = _read_one(spark, args.contexts, "contexts")
     requests = _read_one(spark, args.requests, "requests").select("ide12", "num_contexte")
     req = requests.join(contexts, "num_contexte")
     keys = restitution.static_keys(tables, by_id, req, ["num_contexte"], keep_territories=False)
     result = restitution.restitution(flat, keys, ["num_contexte"], strict=args.strict)
-    out = f"{args.out.rstrip('/')}/restitution"
-    io.write_parquet(result, out, partition_by="num_contexte")
+    out = f"{args.out.rstrip('/')}/{args.name}_{args.date or dt.date.today().isoformat()}"
+    io.write_parquet(result, out, partition_by="num_contexte", mode="overwrite" if args.overwrite else "errorifexists")
     return out
 
 
@@ -86,15 +87,22 @@ def main(argv: list[str] | None = None, spark=None) -> str:
     r = sub.add_parser("restitution")
     r.add_argument("--tables", required=True)
     r.add_argument("--chains", required=True)
-    r.add_argument("--territories")
+    r.add_argument("--territories", required=True, help="territories_by_id_tercmplx written by the chains job")
     r.add_argument("--contexts", required=True)
     r.add_argument("--requests", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--format", default="parquet", choices=("parquet", "csv"))
+    r.add_argument("--name", default="restitution")
+    r.add_argument("--date")
+    r.add_argument("--overwrite", action="store_true")
     r.add_argument("--strict", action="store_true")
     args = p.parse_args(argv)
+    own = spark is None
     spark = spark or build_session()
-    return run_chains(spark, args) if args.job == "chains" else run_restitution(spark, args)
+    out = run_chains(spark, args) if args.job == "chains" else run_restitution(spark, args)
+    if own:
+        discard_intermediates(spark)
+    return out
 
 
 if __name__ == "__main__":

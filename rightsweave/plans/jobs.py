@@ -17,10 +17,12 @@ def territory_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def chain_table(tables: dict[str, DataFrame], consult_date, max_depth: int,
-                terr: dict[str, DataFrame] | None = None, mode: str = "pivot") -> DataFrame:
-    """Contract chains up to ``max_depth`` levels (``mode``: pivot or path)."""
-    terr = terr or territory_tables(tables)
-    base = contracts.contract_base(tables, terr["territories_by_id_tercmplx"], consult_date)
+                terr: dict[str, DataFrame] | None = None, mode: str = "pivot",
+                base: DataFrame | None = None) -> DataFrame:
+    """Contract chains up to ``max_depth`` levels (``mode``: pivot or path), from ``base`` where given."""
+    if base is None:
+        terr = terr or territory_tables(tables)
+        base = contracts.contract_base(tables, terr["territories_by_id_tercmplx"], consult_date)
     if mode == "path":
         return chains.paths(base, max_depth)
     return chains.build(base, max_depth)

@@ -18,25 +18,23 @@ PARENT = "cdepaysiso4npere"
 CHILD = "cdepaysiso4nfils"
 
 
-def closure(edges: DataFrame, parent: str = PARENT, child: str = CHILD,
-            max_rounds: int = 64) -> DataFrame:
+def closure(edges: DataFrame, parent: str = PARENT, child: str = CHILD) -> DataFrame:
     """All (ancestor, descendant) pairs of a parent->child edge table.
 
-    Semi-naive iteration: each round extends only the pairs found in the
-    previous round by one edge and keeps those not known yet (anti join), so
-    cycles end.  Only the new pairs of a round are written to the shared
-    folder; the known set is the union of those disjoint, already written
-    deltas, so the plan of every round stays a handful of file scans.  The
-    loop ends on an empty delta (one small job per round).
+    Semi-naive doubling: each round joins the pairs found in the previous
+    round with all known pairs and keeps those not known yet (anti join), so
+    the reach doubles, cycles end, and a hierarchy of any depth needs a
+    logarithmic number of rounds.  Only the new pairs of a round are written
+    to the shared folder; the known set is the union of those disjoint,
+    already written deltas.  The loop ends on an empty delta.
     """
     step = edges.select(F.col(parent).alias("ancestor"), F.col(child).alias("descendant")) \
         .where(F.col("ancestor").isNotNull() & F.col("descendant").isNotNull()).distinct()
-    step = materialize(step, "closure_edges")
-    deltas = [step]
-    for _ in range(max_rounds):
+    deltas = [materialize(step, "closure_edges")]
+    while True:
         known = reduce(DataFrame.unionByName, deltas)
         nxt = (
-            deltas[-1].alias("d").join(step.alias("e"), F.col("d.descendant") == F.col("e.ancestor"))
+            deltas[-1].alias("d").join(known.alias("e"), F.col("d.descendant") == F.col("e.ancestor"))
             .select(F.col("d.ancestor"), F.col("e.descendant"))
             .distinct()
             .join(known, ["ancestor", "descendant"], "left_anti")
@@ -45,7 +43,6 @@ def closure(edges: DataFrame, parent: str = PARENT, child: str = CHILD,
         if nxt.isEmpty():
             return known
         deltas.append(nxt)
-    raise RuntimeError(f"territory closure did not converge in {max_rounds} rounds")
 
 
 def leaves(edges: DataFrame, parent: str = PARENT, child: str = CHILD) -> DataFrame:

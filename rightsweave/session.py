@@ -2,8 +2,8 @@
 
 Lineage is cut by writing Parquet into the folder named by
 ``spark.checkpoint.dir`` (a shared file system on a cluster).  A folder is
-only invented when the setting is missing *and* the master is local, as in
-tests; on a cluster a missing setting is an error.
+only invented when the setting is missing *and* driver and executors are one
+process, as in tests; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -15,25 +15,32 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
+#: Settings of a session that this library starts itself (tests, benchmarks, local runs).
+_LOCAL_SETTINGS = {
+    "spark.ui.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "rightsweave") -> SparkSession:
-    """Session tuned for these jobs; cluster settings come from spark-submit."""
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    builder = (
-        builder
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("RW_DRIVER_MEMORY", "16g"))
-    )
-    spark = builder.getOrCreate()
+    """A session on ``master`` with local settings, or the submitted one as it is.
+
+    Without a ``master`` every setting comes from spark-submit; only the
+    session time zone is set to UTC where nothing was submitted, as dates
+    would otherwise depend on the machine.
+    """
+    if master is None:
+        spark = SparkSession.builder.getOrCreate()
+        if not spark.sparkContext.getConf().contains("spark.sql.session.timeZone"):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return spark
+    spark = SparkSession.builder.appName(app_name).master(master).config(map={
+        **_LOCAL_SETTINGS, "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.driver.memory": os.environ.get("RW_DRIVER_MEMORY", "16g")}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -41,8 +48,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
 
-    Taken from ``spark.checkpoint.dir``; in local mode without that setting a
-    fresh folder under the system temp dir is created once per process.
+    Taken from ``spark.checkpoint.dir``, which must name storage that the
+    driver and all executors share; in a single-process local session without
+    that setting a fresh folder under the system temp dir is created once per
+    process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -50,7 +59,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     if master not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[master] = tempfile.mkdtemp(prefix="rightsweave-")
@@ -58,6 +67,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[master]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{scratch_dir(spark)}/rightsweave/{spark.sparkContext.applicationId}"
+
+
+def discard_intermediates(spark: SparkSession) -> bool:
+    """Delete what this application has materialised; for a job whose results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
@@ -65,6 +85,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     every earlier level) and gives AQE exact sizes for the next join.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/rightsweave/{uuid.uuid4().hex}/{name}"
+    path = f"{run_dir(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer-inference job

@@ -17,7 +17,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,12 +154,22 @@ def dated_path(root: str, name: str, depth: int, date=None) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet dataset."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the files only
-        return True
-    except AnalysisException:
+    """True when ``path`` holds a finished write (its ``_SUCCESS`` marker).
+
+    A missing folder, or one with hidden names only (a write that was cut
+    off), is absent; a folder with files but no marker is an error, so that
+    data of unknown origin is never overwritten.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
         return False
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    if "_SUCCESS" in names:
+        return True
+    if any(not n.startswith(("_", ".")) for n in names):
+        raise RuntimeError(f"{path} has files but no _SUCCESS marker")
+    return False
 
 
 def read_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame],

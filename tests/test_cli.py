@@ -1,6 +1,8 @@
 import uuid
 
+import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 
 from rightsweave import cli, registry
 from rightsweave.session import scratch_dir
@@ -21,10 +23,21 @@ def test_chains_then_restitution_jobs(spark):
     res = cli.main(["restitution", "--tables", f"{root}/tables", "--chains", out,
                     "--territories", f"{root}/out/computed/{W.CONSULT_DATE}/territories_by_id_tercmplx",
                     "--contexts", f"{root}/tables/contexts", "--requests", f"{root}/tables/requests",
-                    "--out", f"{root}/out"], spark=spark)
+                    "--out", f"{root}/out", "--date", W.CONSULT_DATE], spark=spark)
+    assert res == f"{root}/out/restitution_{W.CONSULT_DATE}"
     got = spark.read.parquet(res)
     from rightsweave.plans.restitution import as_text
     expected = registry.rst_restitution_batch(spark, SF)
     cols = ["num_contexte", "ide12", "lettrage", "numcatal_cedant_origine", "numcatal_ayant_droit_final",
             "chaine_contrats", "cle"]
     assert rows(as_text(got), *cols) == rows(expected, *cols)
+    # the base of the day is there now: a second run reads it instead of the tables
+    again = cli.main(["chains", "--tables", f"{root}/tables", "--out", f"{root}/out", "--mode", "path",
+                      "--date", W.CONSULT_DATE, "--max-depth", "1"], spark=spark)
+    assert again.endswith(f"chains_depth_1_{W.CONSULT_DATE}") and spark.read.parquet(again).count() > 0
+    # another run never replaces a result unasked
+    with pytest.raises(AnalysisException):
+        cli.main(["restitution", "--tables", f"{root}/tables", "--chains", again,
+                  "--territories", f"{root}/out/computed/{W.CONSULT_DATE}/territories_by_id_tercmplx",
+                  "--contexts", f"{root}/tables/contexts", "--requests", f"{root}/tables/requests",
+                  "--out", f"{root}/out", "--date", W.CONSULT_DATE], spark=spark)

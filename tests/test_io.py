@@ -122,3 +122,17 @@ def test_read_tables_csv_declared_schema_and_dedup(spark):
     assert rows(t["jeucle"]) == [(7, dt.date(2015, 11, 4), "DE")]
     inferred = io.read_csv(spark, f"{root}/cess.csv", infer=True)
     assert dict(inferred.dtypes)["idcess"] == "int"
+
+
+def test_exists_wants_a_finished_write(spark):
+    import os
+    root = _path(spark, "marker")
+    assert not io.exists(spark, root)
+    os.makedirs(f"{root}/_temporary/0")
+    assert not io.exists(spark, root)  # a write that was cut off
+    spark.range(3).write.mode("overwrite").parquet(root)
+    assert io.exists(spark, root)
+    os.remove(f"{root}/_SUCCESS")
+    with pytest.raises(RuntimeError):
+        io.read_or_compute(spark, root, lambda: spark.range(1))
+    assert spark.read.parquet(root).count() == 3

@@ -83,3 +83,11 @@ def test_fold_matches_brute_force(spark):
 def test_contains_country(spark):
     df = spark.createDataFrame([(1, [1, 2]), (2, [3]), (3, [])], "idtercmplx int, territoires array<int>")
     assert rows(T.contains_country(df, 2), "idtercmplx") == [(1,)]
+
+
+def test_closure_of_a_deep_hierarchy(spark):
+    n = 200
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "cdepaysiso4npere int, cdepaysiso4nfils int")
+    assert T.closure(edges).count() == n * (n + 1) // 2
+    ring = spark.createDataFrame([(i, (i + 1) % 9) for i in range(9)], "cdepaysiso4npere int, cdepaysiso4nfils int")
+    assert T.closure(ring).count() == 81
