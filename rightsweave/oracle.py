@@ -13,6 +13,7 @@ from rightsweave.sources import world as W
 
 D = f"DATE '{W.CONSULT_DATE}'"
 CREATORS = "('A', 'C', 'CA')"
+RESTR = ("genre_incl", "genre_excl", "catalog_incl", "catalog_excl", "work_incl", "work_excl")
 
 
 def round4(x: str) -> str:
@@ -266,7 +267,8 @@ def flat_sql(src: str, name: str = "flat") -> str:
         f"{name} AS (SELECT f.chain, o.catalog AS assignor_catalog, o.role AS assignor_role, "
         "o.pct_publisher AS pct_publisher, o.pct_creator AS pct_creator, rt AS right_type, "
         "e.catalog AS assignee_catalog, e.role AS assignee_role, e.manager AS assignee_manager, "
-        "f.contract_type, f.start_date, f.end_date, f.assignable, f.territories, f.work_excl "
+        "f.contract_type, f.start_date, f.end_date, f.assignable, f.territories, "
+        f"{', '.join('f.' + c for c in RESTR)} "
         f"FROM {src} f, unnest(f.assignors) AS u(o), unnest(o.right_types) AS v(rt), "
         "unnest(f.assignees) AS w(e))"
     )
@@ -311,12 +313,13 @@ m AS (SELECT k.num_contexte, k.ide12, k.let AS lettrage, k.numcatal AS orig,
              coalesce(f.assignor_role, k.cdecategadsacem) AS role_o,
              coalesce(f.assignee_catalog, k.numcatal) AS cat_f,
              coalesce(f.assignee_role, k.cdecategadsacem) AS role_f,
-             f.chain AS ch, f.pct_publisher AS pe, f.pct_creator AS pc, k.cle, k.priort, k.gestnr, f.work_excl
+             f.chain AS ch, f.pct_publisher AS pe, f.pct_creator AS pc, k.cle, k.priort, k.gestnr,
+             {', '.join('f.' + c for c in RESTR)}
       FROM sk k LEFT JOIN flat f
         ON k.numcatal = f.assignor_catalog AND f.right_type = k.cdetypdrtsacem
        AND coalesce(list_contains(f.territories, k.ctry), false)),
 w1 AS (SELECT DISTINCT num_contexte, ide12, lettrage, orig, role_o, cat_f, role_f, ch, pe, pc, cle, gestnr,
-                       work_excl
+                       {', '.join(RESTR)}
        FROM (SELECT *, coalesce(len(ch), -1) AS ln,
                     max(coalesce(len(ch), -1)) OVER (PARTITION BY {part}) AS mx,
                     max(priort) OVER (PARTITION BY {part}) AS mp FROM m)
@@ -381,19 +384,77 @@ def _levels_union() -> str:
         f"SELECT *, {i} AS level FROM ({chain_text_sql(f'lvl{i}')})" for i in range(W.MAX_DEPTH + 1))
 
 
-def _reach(max_hops: int) -> str:
-    return f"""
+REACH = """
 edge AS (SELECT DISTINCT a.chain[1] AS from_ctr, b.chain[1] AS to_ctr
          FROM (SELECT chain, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0
                WHERE assignable = 1) a
          JOIN (SELECT chain, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b
            ON a.k = b.k),
 walk(from_ctr, to_ctr, hops) AS (SELECT from_ctr, to_ctr, 1 FROM edge
-         UNION SELECT w.from_ctr, e.to_ctr, w.hops + 1 FROM walk w JOIN edge e ON w.to_ctr = e.from_ctr
-         WHERE w.hops < {max_hops})
+         UNION SELECT w.from_ctr, e.to_ctr, w.hops + 1 FROM walk w JOIN edge e ON w.to_ctr = e.from_ctr),
+ends AS (SELECT DISTINCT chain[1] AS ctr, array_to_string(list_transform(assignors, lambda x: x.catalog), '|') AS ors,
+                array_to_string(list_transform(assignees, lambda x: x.catalog), '|') AS ees FROM lvl0)
+"""
+
+SCALAR_KEYS = ("chain", "informants", *RESTR, "requirements", "territories")
+SCALAR = f"""
+s_entries AS (SELECT idctr, numpers AS op, catalog AS oc, role AS orole, pct_publisher AS pe, pct_creator AS pc,
+                     unnest(right_types) AS rt FROM a_rows),
+s_ees AS (SELECT DISTINCT idctr, numpers AS ep, numcatal AS ec, cdecategadsacem AS erole FROM detcess),
+s_res AS (SELECT idctr,
+            {_restr_set('cdegreoeuv', 'additif = 1', 'genre_incl')}, {_restr_set('cdegreoeuv', 'additif = 0', 'genre_excl')},
+            {_restr_set('numcatal', 'additif = 1', 'catalog_incl')}, {_restr_set('numcatal', 'additif = 0', 'catalog_excl')},
+            {_restr_set('ide12', 'additif = 1', 'work_incl')}, {_restr_set('ide12', 'additif = 0', 'work_excl')},
+            {_restr_set('cdeexignc', 'true', 'requirements')}
+          FROM r_parts GROUP BY idctr),
+sc0 AS (SELECT DISTINCT [c.numctr] AS chain, [k.numinf] AS informants, c.cdetypctr AS contract_type,
+               c.indcsbl AS assignable, c.biem, c.idtercess, c.fledit, c.datdbtctr AS start_date, c.datfinctr AS end_date,
+               o.op AS assignor_person, o.oc AS assignor_catalog, o.orole AS assignor_role, o.rt AS right_type,
+               o.pe AS pct_publisher, o.pc AS pct_creator,
+               e.ep AS assignee_person, e.ec AS assignee_catalog, e.erole AS assignee_role,
+               coalesce(r.genre_incl, []) AS genre_incl, coalesce(r.genre_excl, []) AS genre_excl,
+               coalesce(r.catalog_incl, []) AS catalog_incl, coalesce(r.catalog_excl, []) AS catalog_excl,
+               CASE WHEN c.cdetypctr <> 'OPTION' AND c.optaffl = 0 AND o.orole <> 'SE' THEN coalesce(r.work_incl, []) ELSE [] END
+                   AS work_incl,
+               CASE WHEN c.cdetypctr <> 'OPTION' AND c.optaffl = 0 AND o.orole <> 'SE' THEN coalesce(r.work_excl, []) ELSE [] END
+                   AS work_excl,
+               coalesce(r.requirements, []) AS requirements, list_sort(list_distinct(t.territoires)) AS territories
+        FROM vc c JOIN contrat k ON c.idctr = k.idctr JOIN s_entries o ON c.idctr = o.idctr JOIN s_ees e ON c.idctr = e.idctr
+        LEFT JOIN s_res r ON c.idctr = r.idctr JOIN t_fold t ON c.idtercmplx = t.idtercmplx)
 """
 
 
+def scalar_levels_sql(max_depth: int) -> str:
+    """The older scalar chains, level by level, with their union ``sc``."""
+    def new_of(c: str) -> str:
+        return f"list_concat(a.{c}, list_filter(b.{c}, lambda x: NOT list_contains(a.{c}, x))) AS {c}"
+
+    def both(c: str) -> str:
+        return f"list_sort(list_distinct(list_concat(a.{c}, b.{c}))) AS {c}"
+
+    parts = []
+    for d in range(max_depth):
+        on = "a.assignee_catalog = b.assignor_catalog" if d == 0 else "a.chain[len(a.chain)] = b.chain[1]"
+        parts.append(f"""
+sc{d + 1} AS (SELECT DISTINCT {new_of('chain')}, {new_of('informants')}, a.contract_type, b.assignable, a.biem, a.idtercess,
+         a.fledit, CASE WHEN a.start_date < b.start_date THEN b.start_date ELSE a.start_date END AS start_date,
+         CASE WHEN a.end_date > b.end_date THEN b.end_date ELSE a.end_date END AS end_date,
+         a.assignor_person, a.assignor_catalog, a.assignor_role, a.right_type,
+         CASE WHEN b.assignor_role = 'E' THEN a.pct_publisher * b.pct_publisher / 100.0 ELSE a.pct_publisher END AS pct_publisher,
+         a.pct_creator, b.assignee_person, b.assignee_catalog, b.assignee_role, {both('genre_incl')}, {both('genre_excl')},
+         list_sort(list_intersect(a.catalog_incl, b.catalog_incl)) AS catalog_incl, {both('catalog_excl')},
+         {both('work_incl')}, {both('work_excl')}, {both('requirements')},
+         list_sort(list_intersect(a.territories, b.territories)) AS territories
+         FROM sc{d} a JOIN sc{d} b ON {on} WHERE a.assignable = 1)""")
+    union = " UNION ALL ".join(f"SELECT *, {i} AS level FROM sc{i}" for i in range(max_depth + 1))
+    return ",".join([*parts, f"\nsc AS ({union})"])
+
+
+def scalar_text_sql(src: str) -> str:
+    keys = ", ".join(f"array_to_string({c}, '|') AS {c}_key" for c in SCALAR_KEYS)
+    return f"SELECT * EXCLUDE ({', '.join(SCALAR_KEYS)}), {keys} FROM {src}"
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["ter_closure"] = ctes(TERR) + "SELECT anc AS ancestor, des AS descendant FROM t_clo"
@@ -440,8 +501,13 @@ def oracle_queries() -> dict[str, str]:
         "pct_creator, right_type, assignee_catalog, assignee_role, assignee_manager, contract_type, "
         "start_date, end_date, assignable, array_to_string(territories, '|') AS territories_key, "
         "array_to_string(work_excl, '|') AS work_excl_key FROM flat")
-    q["chn_overlap_closure"] = ctes(*CONTRACT_PARTS, _reach(W.MAX_DEPTH)) + (
-        "SELECT from_ctr, to_ctr, CAST(min(hops) AS INTEGER) AS hops FROM walk GROUP BY from_ctr, to_ctr")
+    q["chn_overlap_closure"] = ctes(*CONTRACT_PARTS, REACH) + (
+        "SELECT w.from_ctr, w.to_ctr, w.hops, f.ors AS assignor_catalogs_key, t.ees AS assignee_catalogs_key "
+        "FROM (SELECT from_ctr, to_ctr, CAST(min(hops) AS INTEGER) AS hops FROM walk GROUP BY from_ctr, to_ctr) w "
+        "JOIN (SELECT DISTINCT ctr, ors FROM ends) f ON f.ctr = w.from_ctr "
+        "JOIN (SELECT DISTINCT ctr, ees FROM ends) t ON t.ctr = w.to_ctr")
+    q["asm_contract_base_scalar"] = ctes(*CONTRACT_PARTS, SCALAR) + scalar_text_sql("sc0")
+    q["chn_levels_scalar"] = ctes(*CONTRACT_PARTS, SCALAR, scalar_levels_sql(W.MAX_DEPTH)) + scalar_text_sql("sc")
     q["rst_static_keys"] = ctes(TERR, static_keys_sql()) + (
         "SELECT idoeuv, ide12, cdetypdrtsacem, numpers, numcatal, cle, cdecategadsacem, let, "
         "cde_motif_mise_en_attente, idtercmplx, array_to_string(territoires, '|') AS territoires_key, "
@@ -451,7 +517,7 @@ def oracle_queries() -> dict[str, str]:
         "SELECT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine, "
         "cat_f AS numcatal_ayant_droit_final, role_f AS role_ad_final, "
         "array_to_string(ch, '|') AS chaine_contrats, pe AS pct_editeur, pc AS pct_createur, cle, gestnr, "
-        "array_to_string(work_excl, '|') AS work_excl_key FROM w1")
+        + ", ".join(f"array_to_string({c}, '|') AS {c}_key" for c in RESTR) + " FROM w1")
     q["rst_shares"] = _restit() + (
         "SELECT ide12, lettrage, orig AS numcatal_cedant_origine, role_o AS role_ad_origine, "
         "cat_f AS numcatal_ayant_droit_final, role_f AS role_ad_final, "
@@ -473,7 +539,7 @@ def _pairs() -> str:
 
 def _pair_sides() -> str:
     return ("sides AS (SELECT DISTINCT a.chain AS a_chain, a.territories AS a_terr, b.assignees AS b_ees, "
-            "b.territories AS b_terr FROM "
+            "b.territories AS b_terr, a.assignors AS a_ors, b.assignors AS b_ors FROM "
             "(SELECT *, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0 WHERE assignable = 1) a "
             "JOIN (SELECT *, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b ON a.k = b.k)")
 
@@ -506,7 +572,7 @@ def _more(q: dict[str, str]) -> None:
         "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_orderkey + l_linenumber AS VARCHAR) AS chain_key, "
         "CAST(2 AS INTEGER) AS chain_len, l_quantity AS cle FROM lineitem")
     q["snk_partitioned_roundtrip"] = ctes() + (
-        "SELECT idpcttypdrt, idclauspartcl, pct, cdetypdrtsacem FROM pcttypdrt WHERE cdetypdrtsacem = 'DR'")
+        "SELECT idpcttypdrt, idclauspartcl, pct, cdetypdrtsacem FROM pcttypdrt")
     q["snk_csv_to_parquet"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
         "c_mktsegment FROM customer")
@@ -556,10 +622,13 @@ WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR dat
         "f.assignee_catalog, f.assignor_role, f.pct_publisher FROM sk k LEFT JOIN flat f "
         "ON k.numcatal = f.assignor_catalog AND f.right_type = k.cdetypdrtsacem "
         "AND coalesce(list_contains(f.territories, k.ctry), false)")
-    from rightsweave.registry import RIGHT_HOLDERS_SQL
-    q["jn_right_holders_sql"] = ctes(TERR) + RIGHT_HOLDERS_SQL.format(
-        oeuv="oeuv", cess="cess", eltter="eltter", territories="t_sets", jeucle="jeucle",
-        ayant_droit="ayant_droit")
+    q["jn_right_holders_sql"] = ctes(TERR) + (
+        f"""SELECT idayantdrt, idjeucle, idpartpt, cle, gestnr FROM (
+  SELECT a.*, unnest(range(n.times)) AS nth
+  FROM ayant_droit a JOIN jeucle USING (idjeucle) JOIN cess USING (idcess) JOIN oeuv USING (idoeuv)
+  JOIN (SELECT idtercmplx, count(*) AS times FROM eltter WHERE cdepaysiso4n IN (SELECT cdepaysiso4n FROM t_sets) GROUP BY 1) n
+    USING (idtercmplx)
+  WHERE cdetypdrtsacem = '{W.RIGHT_TYPE}' AND oeuv.datdbtsys < {D} AND coalesce(oeuv.datfinsys > {D}, true))""")
     pairs = (
         f"pairs AS (SELECT DISTINCT * FROM (SELECT {combine_sql()} FROM "
         "(SELECT *, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0 WHERE assignable = 1) a "
@@ -588,6 +657,11 @@ WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR dat
         f"CAST(len(territories) AS INTEGER) AS n_territories, coalesce(list_contains(territories, {W.COUNTRY}), false)"
         " AS has_country FROM pairs")
     sides = ctes(*CONTRACT_PARTS, _pair_sides())
+    q["agg_first_percent"] = sides + (
+        "SELECT a_chain[1] AS from_ctr, b_ors[1].role AS partner_role, "
+        "CASE WHEN b_ors[1].role = 'E' THEN min(a_ors[1].pct_publisher) * min(b_ors[1].pct_publisher) / 100.0 "
+        "ELSE min(a_ors[1].pct_publisher) END AS pct_publisher, min(a_ors[1].pct_creator) AS pct_creator "
+        "FROM sides GROUP BY 1, 2")
     q["agg_collect_union"] = sides + (
         "SELECT DISTINCT a_chain[1] AS from_ctr, unnest(list_transform(b_ees, lambda x: x.catalog)) AS catalog "
         "FROM sides")
@@ -617,7 +691,7 @@ WHERE (datfinctr IS NULL OR datdbtctr < datfinctr) AND (datfinsys IS NULL OR dat
         f"{round4('rest')} AS cle FROM s8 WHERE ch IS NOT NULL AND pe <> 100 AND gsum <> 100")
     q["snk_dated_chain_roundtrip"] = ctes(*CONTRACT_PARTS, levels_sql(W.MAX_DEPTH), flat_sql("chains")) + (
         "SELECT array_to_string(chain, '|') AS chain_key, assignor_catalog, assignor_role, pct_publisher, "
-        "assignee_catalog, assignee_role, right_type FROM flat WHERE right_type = 'DE'")
+        "assignee_catalog, assignee_role, right_type FROM flat")
     legacy = (f"leg AS (SELECT DISTINCT {CHAIN_COLS} FROM (SELECT {combine_sql(legacy=True)} FROM "
               "(SELECT *, unnest(list_transform(assignees, lambda x: x.catalog)) AS k FROM lvl0 WHERE assignable = 1) a "
               "JOIN (SELECT *, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b ON a.k = b.k))")

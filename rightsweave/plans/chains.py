@@ -18,6 +18,8 @@ lost executor re-reads the previous level instead of recomputing it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,21 +27,29 @@ from rightsweave.functions.arrays import (
     ROLE_PUBLISHER,
     earlier_end,
     first_of,
-    key_string,
     later_start,
     pairwise_pct,
+    pct_product,
     restriction_meet,
     restriction_void,
     set_intersect,
     set_union,
 )
-from rightsweave.plans.contracts import CHAIN_COLUMNS
+from rightsweave.plans.contracts import CHAIN_COLUMNS, SCALAR_COLUMNS
 from rightsweave.session import materialize
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
-    """Content hash as row identity (identical rows are duplicates anyway)."""
-    return df.withColumn("rid", F.xxhash64(*[F.col(c) for c in CHAIN_COLUMNS]))
+    """Distinct chain rows with an identity ``rid``, written once.
+
+    The id is a number given when the rows are written, never a hash of their
+    content, so that no two rows can share it; a frame that already has one
+    is returned as it is.
+    """
+    if "rid" in df.columns:
+        return df
+    rows = df.select(*CHAIN_COLUMNS).dropDuplicates()
+    return materialize(rows.withColumn("rid", F.monotonically_increasing_id()), "identified_rows")
 
 
 def combine(a: str = "a", b: str = "b", legacy: bool = False) -> list[Column]:
@@ -53,47 +63,30 @@ def combine(a: str = "a", b: str = "b", legacy: bool = False) -> list[Column]:
     B = lambda c: F.col(f"{b}.{c}")
     pct = F.when(first_of(B("assignors"), "role") == ROLE_PUBLISHER,
                  pairwise_pct(A("assignors"), B("assignors"), truncate=not legacy)).otherwise(A("assignors"))
-    if legacy:
-        return [
-            F.array_union(A("chain"), B("chain")).alias("chain"),
-            pct.alias("assignors"),
-            B("assignees").alias("assignees"),
-            A("contract_type").alias("contract_type"),
-            later_start(A("start_date"), B("start_date")).alias("start_date"),
-            earlier_end(A("end_date"), B("end_date")).alias("end_date"),
-            B("assignable").alias("assignable"),
-            A("biem").alias("biem"), A("idtercess").alias("idtercess"), A("fledit").alias("fledit"),
-            set_union(A("genre_incl"), B("genre_incl")).alias("genre_incl"),
-            set_union(A("genre_excl"), B("genre_excl")).alias("genre_excl"),
-            set_intersect(A("catalog_incl"), B("catalog_incl")).alias("catalog_incl"),
-            set_union(A("catalog_excl"), B("catalog_excl")).alias("catalog_excl"),
-            set_union(A("work_incl"), B("work_incl")).alias("work_incl"),
-            set_union(A("work_excl"), B("work_excl")).alias("work_excl"),
-            set_intersect(A("territories"), B("territories")).alias("territories"),
-            F.lit(False).alias("_void"),
-        ]
-    return [
-        F.array_union(A("chain"), B("chain")).alias("chain"),
-        pct.alias("assignors"),
-        B("assignees").alias("assignees"),
-        A("contract_type").alias("contract_type"),
-        later_start(A("start_date"), B("start_date")).alias("start_date"),
-        earlier_end(A("end_date"), B("end_date")).alias("end_date"),
-        B("assignable").alias("assignable"),
-        A("biem").alias("biem"),
-        A("idtercess").alias("idtercess"),
-        A("fledit").alias("fledit"),
-        restriction_meet(A("genre_incl"), B("genre_incl")).alias("genre_incl"),
-        set_union(A("genre_excl"), B("genre_excl")).alias("genre_excl"),
-        restriction_meet(A("catalog_incl"), B("catalog_incl")).alias("catalog_incl"),
-        set_union(A("catalog_excl"), B("catalog_excl")).alias("catalog_excl"),
-        restriction_meet(A("work_incl"), B("work_incl")).alias("work_incl"),
-        set_union(A("work_excl"), B("work_excl")).alias("work_excl"),
-        set_intersect(A("territories"), B("territories")).alias("territories"),
-        (restriction_void(A("genre_incl"), B("genre_incl"))
-         | restriction_void(A("catalog_incl"), B("catalog_incl"))
-         | restriction_void(A("work_incl"), B("work_incl"))).alias("_void"),
-    ]
+    genres_works = set_union if legacy else restriction_meet
+    void = F.lit(False)
+    if not legacy:
+        for c in ("genre_incl", "catalog_incl", "work_incl"):
+            void = void | restriction_void(A(c), B(c))
+    made = {
+        "chain": F.array_union(A("chain"), B("chain")),
+        "assignors": pct,
+        "assignees": B("assignees"),
+        "contract_type": A("contract_type"),
+        "start_date": later_start(A("start_date"), B("start_date")),
+        "end_date": earlier_end(A("end_date"), B("end_date")),
+        "assignable": B("assignable"),
+        "biem": A("biem"), "idtercess": A("idtercess"), "fledit": A("fledit"),
+        "genre_incl": genres_works(A("genre_incl"), B("genre_incl")),
+        "genre_excl": set_union(A("genre_excl"), B("genre_excl")),
+        "catalog_incl": set_intersect(A("catalog_incl"), B("catalog_incl")),
+        "catalog_excl": set_union(A("catalog_excl"), B("catalog_excl")),
+        "work_incl": genres_works(A("work_incl"), B("work_incl")),
+        "work_excl": set_union(A("work_excl"), B("work_excl")),
+        "territories": set_intersect(A("territories"), B("territories")),
+        "_void": void,
+    }
+    return [column.alias(name) for name, column in made.items()]
 
 
 def _keep_valid(df: DataFrame) -> DataFrame:
@@ -122,46 +115,49 @@ def overlap_pairs(level: DataFrame) -> DataFrame:
     return left.join(right, "catalog").select("a_rid", "b_rid").distinct()
 
 
+def overlap_sides(base: DataFrame) -> DataFrame:
+    """Every overlapping pair with both rows, as ``a`` and ``b``."""
+    base = with_row_id(base)
+    return (overlap_pairs(base).join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
+            .join(base.alias("b"), F.col("b_rid") == F.col("b.rid")))
+
+
 def overlap_level(base: DataFrame, legacy: bool = False) -> DataFrame:
     """Level 1: pairs of overlapping contracts, combined.
 
     ``legacy=True``: older combination rules and no void / empty-territory
     filter (the older builder kept every combined pair).
     """
-    base = base if "rid" in base.columns else with_row_id(base)
-    pairs = overlap_pairs(base)
-    a = base.alias("a")
-    b = base.alias("b")
-    joined = (pairs.join(a, F.col("a_rid") == F.col("a.rid"))
-              .join(b, F.col("b_rid") == F.col("b.rid")))
-    combined = joined.select(combine("a", "b", legacy))
+    combined = overlap_sides(base).select(combine("a", "b", legacy))
     if legacy:
         return combined.drop("_void").dropDuplicates()
     return _keep_valid(combined)
 
 
-def position_level(level: DataFrame, depth: int) -> DataFrame:
-    """Level ``depth + 1`` from level ``depth`` (pivot mode).
+def position_pairs(level: DataFrame, depth: int) -> DataFrame:
+    """Chains ``a`` and ``b`` where the element of ``a`` at ``size - depth`` heads ``b``.
 
-    Left: assignable chains keyed by the element at ``size - depth``
-    (missing index -> no match); right: chains keyed by their head.
+    Left: assignable chains keyed by that element (missing index -> no
+    match); right: chains keyed by their head.
     """
     left = level.where(F.col("assignable") == 1) \
         .withColumn("_pivot", F.get(F.col("chain"), F.size("chain") - depth)).alias("a")
     right = level.withColumn("_head", F.get(F.col("chain"), 0)).alias("b")
-    joined = left.join(right, F.col("a._pivot") == F.col("b._head"))
-    return _keep_valid(joined.select(combine("a", "b")))
+    return left.join(right, F.col("a._pivot") == F.col("b._head"))
+
+
+def position_level(level: DataFrame, depth: int) -> DataFrame:
+    """Level ``depth + 1`` from level ``depth`` (pivot mode)."""
+    return _keep_valid(position_pairs(level, depth).select(combine("a", "b")))
 
 
 def levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
     """Levels 0..max_depth (pivot mode), each materialised; stops on an empty level."""
-    current = materialize(base.select(*CHAIN_COLUMNS).dropDuplicates(), "chain_level_0")
+    base = with_row_id(base)
+    current = base.drop("rid")
     out = [current]
     for depth in range(max_depth):
-        if depth == 0:
-            nxt = overlap_level(with_row_id(current))
-        else:
-            nxt = position_level(current, depth)
+        nxt = overlap_level(base) if depth == 0 else position_level(current, depth)
         nxt = materialize(nxt, f"chain_level_{depth + 1}")
         out.append(nxt)
         if depth + 1 < max_depth and nxt.isEmpty():  # no check after the last level
@@ -170,12 +166,12 @@ def levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
     return out
 
 
-def union_levels(parts: list[DataFrame]) -> DataFrame:
-    """Union of levels by name, duplicates removed."""
+def union_levels(parts: list[DataFrame], distinct: bool = True) -> DataFrame:
+    """Union of levels by name; ``distinct`` removes rows that several levels have."""
     result = parts[0]
     for p in parts[1:]:
         result = result.unionByName(p)
-    return result.select(F.array_distinct("chain").alias("chain"), *CHAIN_COLUMNS[1:]).dropDuplicates()
+    return result.dropDuplicates() if distinct else result
 
 
 def build(base: DataFrame, max_depth: int) -> DataFrame:
@@ -191,7 +187,7 @@ def path_levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
     already in the chain; percentages are multiplied once per link.
     The contract graph (row-id pairs) is computed once and reused.
     """
-    base = materialize(with_row_id(base.select(*CHAIN_COLUMNS).dropDuplicates()), "path_base")
+    base = with_row_id(base)
     edges = materialize(overlap_pairs(base), "path_edges")
     current = base.withColumn("_last", F.col("rid"))
     out = [base.drop("rid")]
@@ -201,9 +197,7 @@ def path_levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
                 .join(base.alias("b"), F.col("b_rid") == F.col("b.rid"))
                 .where(~F.array_contains(F.col("a.chain"), F.get(F.col("b.chain"), 0))))
         nxt = step.select(*combine("a", "b"), F.col("b.rid").alias("_last"))
-        nxt = (nxt.where(~F.col("_void") & (F.size("territories") > 0)).drop("_void")
-               .dropDuplicates())
-        nxt = materialize(nxt, f"path_level_{depth + 1}")
+        nxt = materialize(_keep_valid(nxt), f"path_level_{depth + 1}")
         out.append(nxt.drop("_last").dropDuplicates())
         if nxt.isEmpty():
             break
@@ -212,7 +206,8 @@ def path_levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
 
 
 def paths(base: DataFrame, max_depth: int) -> DataFrame:
-    return union_levels(path_levels(base, max_depth))
+    """Chain table in clean mode; levels differ in chain length, so none repeats another's rows."""
+    return union_levels(path_levels(base, max_depth), distinct=False)
 
 
 def flatten(chains: DataFrame) -> DataFrame:
@@ -236,37 +231,51 @@ def flatten(chains: DataFrame) -> DataFrame:
     )
 
 
-def overlap_reach(base: DataFrame, max_hops: int) -> DataFrame:
-    """Contracts reachable from each contract through overlap links.
+def contract_links(base: DataFrame) -> DataFrame:
+    """Distinct overlap links (from_ctr, to_ctr) between the contracts at the heads of ``base``'s rows."""
+    base = with_row_id(base)
+    ids = base.select("rid", F.get(F.col("chain"), 0).alias("ctr"))
+    return (overlap_pairs(base)
+            .join(ids.select(F.col("rid").alias("a_rid"), F.col("ctr").alias("from_ctr")), "a_rid")
+            .join(ids.select(F.col("rid").alias("b_rid"), F.col("ctr").alias("to_ctr")), "b_rid")
+            .select("from_ctr", "to_ctr").distinct())
+
+
+def overlap_reach(base: DataFrame) -> DataFrame:
+    """Contracts reachable from each contract through overlap links, to the fixpoint.
 
-    Pairs ``(from_ctr, to_ctr, hops)`` with the least number of links, at
-    most ``max_hops``; semi-naive rounds over the contract graph, each
-    materialised.  Result rows are pairs, never whole reachable sets.
+    Pairs ``(from_ctr, to_ctr, hops)`` with the least number of links.  After
+    round ``i`` all pairs of up to ``2**i`` links are known; the next round
+    continues those of exactly that many links by all known pairs, so the
+    reach doubles and the loop ends when no pair is that far apart.  Only the
+    new pairs of a round are written; result rows are pairs, never whole
+    reachable sets.
     """
-    base = materialize(with_row_id(base.select(*CHAIN_COLUMNS).dropDuplicates()), "reach_base")
-    ids = base.select("rid", F.get(F.col("chain"), 0).alias("ctr"))
-    edges = (overlap_pairs(base)
-             .join(ids.withColumnRenamed("rid", "a_rid").withColumnRenamed("ctr", "from_ctr"), "a_rid")
-             .join(ids.withColumnRenamed("rid", "b_rid").withColumnRenamed("ctr", "to_ctr"), "b_rid")
-             .select("from_ctr", "to_ctr").distinct())
-    edges = materialize(edges, "reach_edges")
-    known = edges.withColumn("hops", F.lit(1))
-    delta = known
-    for hop in range(2, max_hops + 1):
-        nxt = (delta.alias("d").join(edges.alias("e"), F.col("d.to_ctr") == F.col("e.from_ctr"))
-               .select(F.col("d.from_ctr"), F.col("e.to_ctr")).distinct()
-               .join(known.select("from_ctr", "to_ctr"), ["from_ctr", "to_ctr"], "left_anti")
-               .withColumn("hops", F.lit(hop)))
-        nxt = materialize(nxt, f"reach_{hop}")
+    links = materialize(contract_links(base).withColumn("hops", F.lit(1)), "reach_links")
+    parts, reach = [links], 1
+    while True:
+        known = reduce(DataFrame.unionByName, parts)
+        far = parts[-1].where(F.col("hops") == reach)
+        nxt = (far.alias("f").join(known.alias("k"), F.col("f.to_ctr") == F.col("k.from_ctr"))
+               .groupBy(F.col("f.from_ctr"), F.col("k.to_ctr"))
+               .agg((F.lit(reach) + F.min("k.hops")).alias("hops"))
+               .join(known.select("from_ctr", "to_ctr"), ["from_ctr", "to_ctr"], "left_anti"))
+        nxt = materialize(nxt, "reach_delta")
         if nxt.isEmpty():
-            break
-        known = materialize(known.unionByName(nxt), f"reach_known_{hop}")
-        delta = nxt
-    return known
+            return known
+        parts.append(nxt)
+        reach *= 2
 
 
-def chain_key(c="chain") -> Column:
-    return key_string(c)
+def reach_ends(base: DataFrame) -> DataFrame:
+    """Every reachable pair with the assignor catalogs of its first and the assignee catalogs of its last contract."""
+    base = with_row_id(base)
+    ends = base.select(F.get(F.col("chain"), 0).alias("ctr"), F.col("assignors.catalog").alias("assignor_catalogs"),
+                       F.col("assignees.catalog").alias("assignee_catalogs"))
+    first = ends.select(F.col("ctr").alias("from_ctr"), "assignor_catalogs").distinct()
+    last = ends.select(F.col("ctr").alias("to_ctr"), "assignee_catalogs").distinct()
+    return overlap_reach(base).join(first, "from_ctr").join(last, "to_ctr").select(
+        "from_ctr", "to_ctr", "hops", "assignor_catalogs", "assignee_catalogs")
 
 
 def doubling_rounds(df: DataFrame, rounds: int) -> DataFrame:
@@ -277,26 +286,61 @@ def doubling_rounds(df: DataFrame, rounds: int) -> DataFrame:
     ``chain = sorted(a.chain ∪ b.chain)``, ``cedant = (a.cedant ∪ b.cedant)``
     without its last element, ``cess = b.cess``; each round is deduplicated
     and materialised, and all rounds are appended to the input (duplicates
-    across rounds kept).  The overlap is an exploded equi-join, never a
-    cartesian product.
+    across rounds kept).  The overlap is an exploded equi-join that carries
+    both rows, never a cartesian product.
     """
     current = materialize(df.select("chain", "cedant", "cess"), "doubling_0")
     out = [current]
     for r in range(1, rounds + 1):
-        ided = current.withColumn("rid", F.xxhash64("chain", "cedant", "cess"))
-        left = ided.select(F.col("rid").alias("a_rid"), F.explode("cess").alias("k")).distinct()
-        right = ided.select(F.col("rid").alias("b_rid"), F.explode("cedant").alias("k")).distinct()
-        pairs = left.join(right, "k").select("a_rid", "b_rid").distinct()
-        a, b = ided.alias("a"), ided.alias("b")
-        merged = (pairs.join(a, F.col("a_rid") == F.col("a.rid")).join(b, F.col("b_rid") == F.col("b.rid"))
-                  .select(F.array_sort(F.array_union("a.chain", "b.chain")).alias("chain"),
-                          F.array_union("a.cedant", "b.cedant").alias("cedant"),
-                          F.col("b.cess").alias("cess"))
+        rows = current.distinct()
+        left = rows.select(F.col("chain").alias("a_chain"), F.col("cedant").alias("a_cedant"),
+                           F.explode(F.array_distinct("cess")).alias("k"))
+        right = rows.select(F.col("chain").alias("b_chain"), F.col("cedant").alias("b_cedant"),
+                            F.col("cess").alias("b_cess"), F.explode(F.array_distinct("cedant")).alias("k"))
+        merged = (left.join(right, "k")
+                  .select(F.array_sort(F.array_union("a_chain", "b_chain")).alias("chain"),
+                          F.array_union("a_cedant", "b_cedant").alias("cedant"),
+                          F.col("b_cess").alias("cess"))
                   .dropDuplicates()
                   .withColumn("cedant", F.slice("cedant", 1, F.greatest(F.size("cedant") - 1, F.lit(0)))))
         current = materialize(merged, f"doubling_{r}")
         out.append(current)
-    result = out[0]
-    for part in out[1:]:
-        result = result.unionByName(part)
-    return result
+    return union_levels(out, distinct=False)
+
+
+def scalar_level(level: DataFrame, depth: int) -> DataFrame:
+    """Level ``depth + 1`` of the older scalar chains from level ``depth``.
+
+    Level 1 links an assignable row's assignee catalog to an assignor
+    catalog; later levels link the last contract of one chain to the head of
+    another.  Genres, works, informants and requirements are united, inclusive
+    catalogs and territories intersected, the publisher percent is multiplied
+    without truncation behind a publisher, and no chain is void.
+    """
+    a = level.where(F.col("assignable") == 1).alias("a")
+    b = level.alias("b")
+    if depth == 0:
+        joined = a.join(b, F.col("a.assignee_catalog") == F.col("b.assignor_catalog"))
+    else:
+        joined = a.join(b, F.element_at(F.col("a.chain"), -1) == F.get(F.col("b.chain"), 0))
+    made: dict[str, Column] = {c: F.col(f"a.{c}") for c in SCALAR_COLUMNS}
+    made |= {c: F.col(f"b.{c}") for c in ("assignee_person", "assignee_catalog", "assignee_role", "assignable")}
+    made |= {c: F.array_union(f"a.{c}", f"b.{c}") for c in ("chain", "informants")}
+    made |= {c: set_union(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in (
+        "genre_incl", "genre_excl", "catalog_excl", "work_incl", "work_excl", "requirements")}
+    made |= {c: set_intersect(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in ("catalog_incl", "territories")}
+    made["start_date"] = later_start(F.col("a.start_date"), F.col("b.start_date"))
+    made["end_date"] = earlier_end(F.col("a.end_date"), F.col("b.end_date"))
+    made["pct_publisher"] = F.when(F.col("b.assignor_role") == ROLE_PUBLISHER, pct_product(
+        F.col("a.pct_publisher"), F.col("b.pct_publisher"))).otherwise(F.col("a.pct_publisher"))
+    return joined.select(*(made[c].alias(c) for c in SCALAR_COLUMNS)).distinct()
+
+
+def scalar_levels(base: DataFrame, max_depth: int) -> DataFrame:
+    """Levels 0..max_depth of the older scalar chains with their level number; equal rows of two levels both stay."""
+    current = materialize(base.select(*SCALAR_COLUMNS), "scalar_0")
+    out = [current.withColumn("level", F.lit(0))]
+    for depth in range(max_depth):
+        current = materialize(scalar_level(current, depth), f"scalar_{depth + 1}")
+        out.append(current.withColumn("level", F.lit(depth + 1)))
+    return union_levels(out, distinct=False)

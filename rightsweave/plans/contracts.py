@@ -55,14 +55,15 @@ def _date(value) -> Column:
     return F.to_date(F.lit(value))
 
 
-def valid_contracts(contrat: DataFrame, consult_date=None, lenient: bool = False) -> DataFrame:
+def valid_contracts(contrat: DataFrame, consult_date=None, lenient: bool = False,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Contracts in force at ``consult_date`` (default: today), end date overridden.
 
     Strict rule: revision id present; start before end when an end exists
     (contract and system dates); consult date strictly inside the system
     validity; primary contract (``second = 0``); status neither ``000`` nor
     ``003``.  ``lenient=True`` accepts ``second <> 1`` without the id test
-    and keeps the bookkeeping columns.  Afterwards ``datfinctr`` takes
+    and keeps the bookkeeping columns; ``keep`` names others to keep.  Afterwards ``datfinctr`` takes
     ``datfincollect`` when set and the contract does not expire at once.
     """
     at = _date(consult_date)
@@ -83,7 +84,7 @@ def valid_contracts(contrat: DataFrame, consult_date=None, lenient: bool = False
     drops = ["datfincollect", "expireffetimmediat"]
     if not lenient:
         drops += ["numinf", "datdbtsys", "datfinsys", "cdestatutctr", "second"]
-    return kept.drop(*drops)
+    return kept.drop(*(c for c in drops if c not in keep))
 
 
 def overridden_end() -> Column:
@@ -175,31 +176,41 @@ def assignees(detcess: DataFrame) -> DataFrame:
         x["catalog"].alias("catalog"), x["role"].alias("role"), x["manager"].alias("manager"))).alias("assignees"))
 
 
+def _sets_by_contract(restrctr: DataFrame, child: DataFrame, value: str, name: str, counts: Column | None = None
+                      ) -> DataFrame:
+    """``idctr`` with the inclusive and exclusive sets of one child table's values."""
+    counts = F.lit(True) if counts is None else counts
+    rows = restrctr.select("idrestctr", "idctr", "additif").join(child, "idrestctr")
+    return rows.groupBy("idctr").agg(
+        as_set(F.collect_set(F.when((F.col("additif") == 1) & counts, F.col(value)))).alias(f"{name}_incl"),
+        as_set(F.collect_set(F.when((F.col("additif") == 0) & counts, F.col(value)))).alias(f"{name}_excl"),
+    )
+
+
 def restrictions(restrctr: DataFrame, restrgenre: DataFrame, restroeuv: DataFrame,
-                 restrpers: DataFrame) -> DataFrame:
+                 restrpers: DataFrame, strict_catalogs: bool = True) -> DataFrame:
     """Restriction sets per contract.
 
     ``additif = 1`` is inclusive, ``0`` exclusive; catalog restrictions count
-    only when the person requirement is ``STRICTE``.  Each restriction's
-    genres, works and persons are gathered per contract as sets.
+    only when the person requirement is ``STRICTE`` (``strict_catalogs``).
+    Genres, works and persons are gathered to the contract each on their own,
+    so a restriction with many of each never multiplies them.
     """
-    base = restrctr.select("idrestctr", "idctr", "additif")
-    parts = (
-        base.join(restrpers.select("idrestctr", "numcatal", "cdeexignc"), "idrestctr", "left")
-        .join(restrgenre.select("idrestctr", "cdegreoeuv"), "idrestctr", "left")
-        .join(restroeuv.select("idrestctr", "ide12"), "idrestctr", "left")
-        .drop("idrestctr")
-    )
-    inc, exc = F.col("additif") == 1, F.col("additif") == 0
-    strict = F.col("cdeexignc") == STRICT_REQUIREMENT
-    return parts.groupBy("idctr").agg(
-        as_set(F.collect_set(F.when(inc, F.col("cdegreoeuv")))).alias("genre_incl"),
-        as_set(F.collect_set(F.when(exc, F.col("cdegreoeuv")))).alias("genre_excl"),
-        as_set(F.collect_set(F.when(inc & strict, F.col("numcatal")))).alias("catalog_incl"),
-        as_set(F.collect_set(F.when(exc & strict, F.col("numcatal")))).alias("catalog_excl"),
-        as_set(F.collect_set(F.when(inc, F.col("ide12")))).alias("work_incl"),
-        as_set(F.collect_set(F.when(exc, F.col("ide12")))).alias("work_excl"),
-    )
+    strict = (F.col("cdeexignc") == STRICT_REQUIREMENT) if strict_catalogs else None
+    genres = _sets_by_contract(restrctr, restrgenre.select("idrestctr", "cdegreoeuv"), "cdegreoeuv", "genre")
+    catalogs = _sets_by_contract(restrctr, restrpers.select("idrestctr", "numcatal", "cdeexignc"), "numcatal", "catalog", strict)
+    works = _sets_by_contract(restrctr, restroeuv.select("idrestctr", "ide12"), "ide12", "work")
+    joined = (restrctr.select("idctr").distinct()
+              .join(genres, "idctr", "left").join(catalogs, "idctr", "left").join(works, "idctr", "left"))
+    kinds = {"genre": "string", "catalog": "bigint", "work": "bigint"}
+    return joined.select("idctr", *(or_empty(f"{n}_{side}", kind).alias(f"{n}_{side}")
+                                    for n, kind in kinds.items() for side in ("incl", "excl")))
+
+
+def requirements(restrctr: DataFrame, restrpers: DataFrame) -> DataFrame:
+    """``idctr`` with the set of person requirements of its restrictions."""
+    return (restrctr.select("idrestctr", "idctr").join(restrpers.select("idrestctr", "cdeexignc"), "idrestctr")
+            .groupBy("idctr").agg(as_set(F.collect_set("cdeexignc")).alias("requirements")))
 
 
 def work_restriction_applies() -> Column:
@@ -249,3 +260,43 @@ def contract_base(tables: dict[str, DataFrame], territory_sets: DataFrame, consu
         or_empty(F.when(gate, F.col("work_excl")), "bigint").alias("work_excl"),
         as_set("territoires").alias("territories"),
     )
+
+
+SCALAR_COLUMNS = (
+    "chain", "informants", "contract_type", "assignable", "biem", "idtercess", "fledit", "start_date", "end_date",
+    "assignor_person", "assignor_catalog", "assignor_role", "right_type", "pct_publisher", "pct_creator",
+    "assignee_person", "assignee_catalog", "assignee_role", "genre_incl", "genre_excl", "catalog_incl", "catalog_excl",
+    "work_incl", "work_excl", "requirements", "territories",
+)
+
+
+def contract_base_scalar(tables: dict[str, DataFrame], territory_sets: DataFrame, consult_date=None) -> DataFrame:
+    """Older level 0: a row per contract, assignor entry, right type and assignee entry.
+
+    Catalog restrictions count whatever the person requirement says, the set
+    of requirements is kept beside them, and the work restrictions depend on
+    the row's own assignor role.
+    """
+    contracts = valid_contracts(tables["contrat"], consult_date, keep=("numinf",))
+    ors = assignor_rows(tables["detcedant"], tables["detcedantcatal"], tables["pcttypdrt"], tables["partpt"]).select(
+        "idctr", F.col("numpers").alias("assignor_person"), F.col("catalog").alias("assignor_catalog"),
+        F.col("role").alias("assignor_role"), "pct_publisher", "pct_creator", F.explode("right_types").alias("right_type"))
+    ees = tables["detcess"].select(
+        "idctr", F.col("numpers").alias("assignee_person"), F.col("numcatal").alias("assignee_catalog"),
+        F.col("cdecategadsacem").alias("assignee_role")).distinct()
+    res = restrictions(tables["restrctr"], tables["restrgenre"], tables["restroeuv"], tables["restrpers"], False)
+    asked = requirements(tables["restrctr"], tables["restrpers"])
+    gate = ((F.col("cdetypctr") != CONTRACT_TYPE_OPTION) & (F.col("optaffl") == 0)
+            & (F.col("assignor_role") != ROLE_SUBPUBLISHER))
+    joined = (contracts.join(ors, "idctr").join(ees, "idctr").join(res, "idctr", "left").join(asked, "idctr", "left")
+              .join(territory_sets.select("idtercmplx", "territoires"), "idtercmplx"))
+    made = {
+        "chain": F.array("numctr"), "informants": F.array("numinf"), "contract_type": F.col("cdetypctr"),
+        "assignable": F.col("indcsbl"), "start_date": F.col("datdbtctr"), "end_date": F.col("datfinctr"),
+        "genre_incl": or_empty("genre_incl", "string"), "genre_excl": or_empty("genre_excl", "string"),
+        "catalog_incl": or_empty("catalog_incl", "bigint"), "catalog_excl": or_empty("catalog_excl", "bigint"),
+        "work_incl": or_empty(F.when(gate, F.col("work_incl")), "bigint"),
+        "work_excl": or_empty(F.when(gate, F.col("work_excl")), "bigint"),
+        "requirements": or_empty("requirements", "string"), "territories": as_set("territoires"),
+    }
+    return joined.select(*(made.get(c, F.col(c)).alias(c) for c in SCALAR_COLUMNS)).distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rightsweave.functions.arrays import key_string
+from rightsweave.operators import pairs
 from rightsweave.plans import chains, contracts, jobs, restitution, territories
 from rightsweave.sources import world as W
 
@@ -60,13 +61,16 @@ def _world(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return W.load_world(spark, sf_dir)
 
 
-def _base(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """World tables and the materialised contract base (read several times downstream)."""
-    from rightsweave.session import materialize
+def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract base of the world's tables."""
     t = _world(spark, sf_dir)
     terr = jobs.territory_tables(t)
-    base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
-    return t, materialize(base, "contract_base")
+    return contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
+
+
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract base written once, with row ids (it is read several times downstream)."""
+    return chains.with_row_id(_assembled(spark, sf_dir))
 
 
 # ----------------------------------------------------------------- territories
@@ -152,34 +156,27 @@ def asm_restrictions(spark, sf_dir):
 @query
 def asm_contract_base(spark, sf_dir):
     """Level 0: one wide row per valid contract."""
-    _, base = _base(spark, sf_dir)
-    return chain_text(base.dropDuplicates())
+    return chain_text(_assembled(spark, sf_dir).dropDuplicates())
 
 
 # ---------------------------------------------------------------------- chains
 @query
 def jn_array_overlap(spark, sf_dir):
     """Contract pairs linked by assignee/assignor catalog overlap."""
-    _, base = _base(spark, sf_dir)
-    base = chains.with_row_id(base.select(*contracts.CHAIN_COLUMNS).dropDuplicates())
-    ids = base.select("rid", F.get(F.col("chain"), 0).alias("ctr"))
-    pairs = chains.overlap_pairs(base)
-    return (pairs.join(ids.select(F.col("rid").alias("a_rid"), F.col("ctr").alias("from_ctr")), "a_rid")
-            .join(ids.select(F.col("rid").alias("b_rid"), F.col("ctr").alias("to_ctr")), "b_rid")
-            .select("from_ctr", "to_ctr").distinct())
+    return chains.contract_links(_base(spark, sf_dir))
 
 
 @query
 def chn_level1(spark, sf_dir):
     """Level 1 chains (overlap join, combined, void chains dropped)."""
-    _, base = _base(spark, sf_dir)
-    return chain_text(chains.overlap_level(chains.with_row_id(base.dropDuplicates())))
+    base = _base(spark, sf_dir)
+    return chain_text(chains.overlap_level(base))
 
 
 @query
 def chn_levels(spark, sf_dir):
     """Every level of the pivot-mode chain table, with its level number."""
-    _, base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir)
     parts = chains.levels(base, W.MAX_DEPTH)
     out = None
     for i, p in enumerate(parts):
@@ -191,21 +188,21 @@ def chn_levels(spark, sf_dir):
 @query
 def chn_build(spark, sf_dir):
     """Chain table: levels 0..4 unioned and deduplicated (pivot mode)."""
-    _, base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir)
     return chain_text(chains.build(base, W.MAX_DEPTH))
 
 
 @query
 def chn_paths(spark, sf_dir):
     """Chain table in clean path mode."""
-    _, base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir)
     return chain_text(chains.paths(base, W.MAX_DEPTH))
 
 
 @query
 def chn_flatten(spark, sf_dir):
     """Chains in scalar shape: one row per assignor entry, right type, assignee entry."""
-    _, base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir)
     flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
     return flat.select(
         key_string("chain").alias("chain_key"), "assignor_catalog", "assignor_role", "pct_publisher",
@@ -217,9 +214,10 @@ def chn_flatten(spark, sf_dir):
 
 @query
 def chn_overlap_closure(spark, sf_dir):
-    """Contracts reachable through overlap links, least hops (bounded)."""
-    _, base = _base(spark, sf_dir)
-    return chains.overlap_reach(base, W.MAX_DEPTH)
+    """Contracts reachable through overlap links, least hops, with the catalogs at both ends."""
+    reach = chains.reach_ends(_base(spark, sf_dir))
+    return reach.select("from_ctr", "to_ctr", "hops", key_string("assignor_catalogs").alias("assignor_catalogs_key"),
+                        key_string("assignee_catalogs").alias("assignee_catalogs_key"))
 
 
 # ----------------------------------------------------------------- restitution
@@ -255,7 +253,7 @@ def rst_match(spark, sf_dir):
     return m.select(
         "ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine", "numcatal_ayant_droit_final",
         "role_ad_final", key_string("chaine_contrats").alias("chaine_contrats"), "pct_editeur",
-        "pct_createur", "cle", "gestnr", key_string("work_excl").alias("work_excl_key"),
+        "pct_createur", "cle", "gestnr", *(key_string(c).alias(f"{c}_key") for c in restitution.RESTRICTIONS),
     )
 
 
@@ -288,7 +286,7 @@ def rst_restitution_strict(spark, sf_dir):
 
 @query
 def rst_restitution_batch(spark, sf_dir):
-    """Many requests in one job: every work under one of five contexts."""
+    """Many requests in one job: every work under each of five contexts."""
     t = _world(spark, sf_dir)
     terr = jobs.territory_tables(t)
     base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
@@ -344,11 +342,11 @@ def src_parse_pipe_array(spark, sf_dir):
 
 @query
 def snk_partitioned_roundtrip(spark, sf_dir):
-    """Percent table written partitioned by right type; read back for DR only (pruned)."""
+    """Percent table written partitioned by right type and read back, every partition."""
     from rightsweave.sources import io
     path = _scratch(spark, "pcttypdrt_by_right")
     io.write_parquet(_world(spark, sf_dir)["pcttypdrt"], path, partition_by="cdetypdrtsacem")
-    back = spark.read.parquet(path).where(F.col("cdetypdrtsacem") == "DR")
+    back = spark.read.parquet(path)
     return back.select("idpcttypdrt", "idclauspartcl", "pct", "cdetypdrtsacem")
 
 
@@ -471,64 +469,31 @@ def jn_salted_equals_plain(spark, sf_dir):
 @query
 def jn_chain_position(spark, sf_dir):
     """Level-1 chains joined by position (pivot = element size-1 = head of the other)."""
-    _, base = _base(spark, sf_dir)
-    lvl1 = chains.overlap_level(chains.with_row_id(base.dropDuplicates()))
-    left = lvl1.where(F.col("assignable") == 1).select(
-        F.col("chain").alias("left_chain"), F.get(F.col("chain"), F.size("chain") - 1).alias("k"))
-    right = lvl1.select(F.col("chain").alias("right_chain"), F.get(F.col("chain"), 0).alias("k"))
-    return left.join(right, "k").select(key_string("left_chain").alias("left_key"),
-                                        key_string("right_chain").alias("right_key")).distinct()
+    base = _base(spark, sf_dir)
+    matched = chains.position_pairs(chains.overlap_level(base), 1)
+    return matched.select(key_string("a.chain").alias("left_key"), key_string("b.chain").alias("right_key")).distinct()
 
 
 @query
 def jn_owner_chain_left(spark, sf_dir):
     """Owner rows left-joined to flattened chains (catalog, right type, territory)."""
     _, flat, keys = _restitution_inputs(spark, sf_dir)
-    k, c = keys.alias("k"), flat.alias("c")
-    cond = ((F.col("k.numcatal") == F.col("c.assignor_catalog"))
-            & (F.col("c.right_type") == F.col("k.cdetypdrtsacem"))
-            & F.coalesce(F.array_contains(F.col("c.territories"), F.col("k.code_iso4n_pays")), F.lit(False)))
-    return k.join(c, cond, "left").select(
-        F.col("k.ide12"), F.col("k.let"), F.col("k.numcatal"), F.col("k.cle"),
-        key_string(F.col("c.chain")).alias("chain_key"), F.col("c.assignee_catalog"),
-        F.col("c.assignor_role"), F.col("c.pct_publisher"))
-
-
-RIGHT_HOLDERS_SQL = """
-SELECT oa.idayantdrt, oa.idjeucle, oa.idpartpt, oa.cle, oa.gestnr
-FROM {oeuv} oo
-INNER JOIN {cess} oc ON oo.idoeuv = oc.idoeuv
-INNER JOIN {eltter} oe ON oc.idtercmplx = oe.idtercmplx
-INNER JOIN {territories} tpt ON oe.cdepaysiso4n = tpt.cdepaysiso4n
-INNER JOIN {jeucle} oj ON oc.idcess = oj.idcess
-INNER JOIN {ayant_droit} oa ON oj.idjeucle = oa.idjeucle
-WHERE oo.datdbtsys < DATE '2001-01-01'
-  AND (oo.datfinsys > DATE '2001-01-01' OR oo.datfinsys IS NULL)
-  AND oj.cdetypdrtsacem = 'DE'
-"""
+    rows = restitution.owner_chains(keys, flat)
+    return rows.select("ide12", "let", "numcatal", "cle", key_string("chain").alias("chain_key"), "assignee_catalog",
+                       "assignor_role", "pct_publisher")
 
 
 @query
 def jn_right_holders_sql(spark, sf_dir):
-    """Seven-table right-holder lookup written in SQL (all works)."""
+    """Right holders of all works by their cessions' territory elements."""
     t = _world(spark, sf_dir)
-    names = {}
-    for name in ("oeuv", "cess", "eltter", "jeucle", "ayant_droit"):
-        t[name].createOrReplaceTempView(f"rw_{name}")
-        names[name] = f"rw_{name}"
-    territories.leaf_sets(t["gpeter"]).createOrReplaceTempView("rw_territories")
-    names["territories"] = "rw_territories"
-    return spark.sql(RIGHT_HOLDERS_SQL.format(**names))
+    req = restitution.single_request(t["oeuv"].select("ide12"), W.COUNTRY, W.RIGHT_TYPE, W.CONSULT_DATE)
+    return restitution.right_holders(t, territories.leaf_sets(t["gpeter"]), req)
 
 
 # ------------------------------------------------- pair combination (CH-4..7)
 def _pairs_combined(spark, sf_dir) -> DataFrame:
-    _, base = _base(spark, sf_dir)
-    base = chains.with_row_id(base.select(*contracts.CHAIN_COLUMNS).dropDuplicates())
-    pairs = chains.overlap_pairs(base)
-    joined = (pairs.join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
-              .join(base.alias("b"), F.col("b_rid") == F.col("b.rid")))
-    return joined.select(chains.combine("a", "b")).dropDuplicates()
+    return chains.overlap_sides(_base(spark, sf_dir)).select(chains.combine("a", "b")).dropDuplicates()
 
 
 @query
@@ -540,7 +505,7 @@ def chn_pair_combine(spark, sf_dir):
 @query
 def fn_array_index_slice(spark, sf_dir):
     """Head, last element, chain without its last element, and length of every chain."""
-    _, base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir)
     ch = chains.build(base, W.MAX_DEPTH).select("chain").distinct()
     return ch.select(
         key_string("chain").alias("chain_key"),
@@ -608,35 +573,52 @@ def fn_array_sets(spark, sf_dir):
     ).distinct()
 
 
-def _pair_sides(spark, sf_dir):
-    _, base = _base(spark, sf_dir)
-    base = chains.with_row_id(base.select(*contracts.CHAIN_COLUMNS).dropDuplicates())
-    pairs = chains.overlap_pairs(base)
-    return (pairs.join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
-            .join(base.alias("b"), F.col("b_rid") == F.col("b.rid")))
-
-
 @query
 def agg_collect_union(spark, sf_dir):
     """Per contract, the distinct union of its partners' assignee catalogs (as rows)."""
-    j = _pair_sides(spark, sf_dir)
-    return j.select(F.get(F.col("a.chain"), 0).alias("from_ctr"),
-                    F.explode(F.col("b.assignees.catalog")).alias("catalog")).distinct()
+    return pairs.partner_union(chains.overlap_sides(_base(spark, sf_dir)), "assignees.catalog", "catalog")
 
 
 @query
 def agg_collect_intersect(spark, sf_dir):
     """Per contract, its countries also held by at least one partner (as rows)."""
-    j = _pair_sides(spark, sf_dir)
-    return j.select(F.get(F.col("a.chain"), 0).alias("from_ctr"),
-                    F.explode(F.array_intersect("a.territories", "b.territories")).alias("country")).distinct()
+    return pairs.partner_intersection(chains.overlap_sides(_base(spark, sf_dir)), "territories", "country")
+
+
+@query
+def agg_first_percent(spark, sf_dir):
+    """Per contract and partner role, the first percents of its pairs."""
+    return pairs.first_percents(chains.overlap_sides(_base(spark, sf_dir)))
+
+
+def scalar_text(df: DataFrame) -> DataFrame:
+    """Comparable projection of scalar chains."""
+    arrays = {f.name for f in df.schema.fields if f.dataType.typeName() == "array"}
+    return df.select(*(key_string(c).alias(f"{c}_key") if c in arrays else F.col(c) for c in df.columns))
+
+
+def _scalar_base(spark, sf_dir) -> DataFrame:
+    t = _world(spark, sf_dir)
+    return contracts.contract_base_scalar(t, jobs.territory_tables(t)["territories_by_id_tercmplx"], W.CONSULT_DATE)
+
+
+@query
+def asm_contract_base_scalar(spark, sf_dir):
+    """Older level 0: a row per contract, assignor entry, right type and assignee entry."""
+    return scalar_text(_scalar_base(spark, sf_dir))
+
+
+@query
+def chn_levels_scalar(spark, sf_dir):
+    """Older scalar chains of every level, with the level number."""
+    return scalar_text(chains.scalar_levels(_scalar_base(spark, sf_dir), W.MAX_DEPTH))
 
 
 # --------------------------------------------------------- doubling rounds
 @query
 def chn_doubling(spark, sf_dir):
     """Three rounds of overlap doubling over all contracts (sorted chains, last assignor dropped)."""
-    _, base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir)
     df = base.select("chain", F.col("assignors.catalog").alias("cedant"),
                      F.col("assignees.catalog").alias("cess"))
     out = chains.doubling_rounds(df, 3)
@@ -675,7 +657,7 @@ def win_first_manager_pct(spark, sf_dir):
 def rst_excluded_work(spark, sf_dir):
     """Rows after work exclusions (share back to the origin where a chain excludes the work)."""
     _, flat, keys = _restitution_inputs(spark, sf_dir)
-    d = restitution.apply_work_exclusions(restitution.shares(restitution.match_chains(keys, flat)))
+    d = restitution.result_lines(restitution.shares(restitution.match_chains(keys, flat))).where("not residual")
     return d.select("ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine",
                     "numcatal_ayant_droit_final", "role_ad_final",
                     key_string("chaine_contrats").alias("chaine_contrats"),
@@ -686,21 +668,20 @@ def rst_excluded_work(spark, sf_dir):
 def rst_residual(spark, sf_dir):
     """Residual lines only: what a chain did not take, left with the origin holder."""
     _, flat, keys = _restitution_inputs(spark, sf_dir)
-    d = restitution.apply_work_exclusions(restitution.shares(restitution.match_chains(keys, flat)))
-    r = restitution.residual_lines(d)  # shares carry the per-origin share total
-    return r.select("ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine",
+    d = restitution.result_lines(restitution.shares(restitution.match_chains(keys, flat))).where("residual")
+    return d.select("ide12", "lettrage", "numcatal_cedant_origine", "role_ad_origine",
                     F.round("pct_final", 4).alias("cle")).distinct()
 
 
 @query
 def snk_dated_chain_roundtrip(spark, sf_dir):
-    """Flattened chains written to a dated folder partitioned by right type, read back for DE."""
+    """Flattened chains written to a dated folder partitioned by right type and read back, every partition."""
     from rightsweave.sources import io
-    _, base = _base(spark, sf_dir)
+    base = _base(spark, sf_dir)
     flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
     path = io.dated_path(_scratch(spark, "out"), "chains", W.MAX_DEPTH, W.CONSULT_DATE)
     io.write_parquet(flat, path, partition_by="right_type")
-    back = spark.read.parquet(path).where(F.col("right_type") == "DE")
+    back = spark.read.parquet(path)
     return back.select(key_string("chain").alias("chain_key"), "assignor_catalog", "assignor_role",
                        "pct_publisher", "assignee_catalog", "assignee_role", "right_type")
 
@@ -708,8 +689,8 @@ def snk_dated_chain_roundtrip(spark, sf_dir):
 @query
 def chn_level1_legacy(spark, sf_dir):
     """Level 1 with the older rules: inclusive genre/work united, untruncated percent, no void filter."""
-    _, base = _base(spark, sf_dir)
-    return chain_text(chains.overlap_level(chains.with_row_id(base.dropDuplicates()), legacy=True))
+    base = _base(spark, sf_dir)
+    return chain_text(chains.overlap_level(base, legacy=True))
 
 
 @query

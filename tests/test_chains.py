@@ -125,11 +125,61 @@ def test_overlap_reach(spark):
     base = spark.createDataFrame([
         contract(1, [10], [20]), contract(2, [20], [30]), contract(3, [30], [40]), contract(4, [40], [10]),
     ], CHAIN_DDL)
-    reach = {(r.from_ctr, r.to_ctr): r.hops for r in chains.overlap_reach(base, 4).collect()}
+    reach = {(r.from_ctr, r.to_ctr): r.hops for r in chains.overlap_reach(base).collect()}
     assert reach[(1, 2)] == 1 and reach[(1, 3)] == 2 and reach[(1, 4)] == 3 and reach[(1, 1)] == 4
     assert len(reach) == 16
 
 
+def test_overlap_reach_goes_to_the_end(spark):
+    n = 23
+    base = spark.createDataFrame([contract(i, [i], [i + 1]) for i in range(n)], CHAIN_DDL)
+    reach = {(r.from_ctr, r.to_ctr): r.hops for r in chains.overlap_reach(base).collect()}
+    assert reach == {(i, j): j - i for i in range(n) for j in range(i + 1, n)}
+    ends = {(r.from_ctr, r.to_ctr): (r.assignor_catalogs, r.assignee_catalogs) for r in chains.reach_ends(base).collect()}
+    assert ends[(0, n - 1)] == ([0], [n])
+
+
+def test_row_ids_are_never_shared(spark):
+    # the same values under another column, and null dates on either side
+    rows_ = [contract(1, [100], [200], genre_incl=("X",)), contract(1, [100], [200])]
+    rows_.append((*rows_[1][:11], ["X"], *rows_[1][12:]))
+    rows_.append((*rows_[1][:4], None, dt.date(2000, 1, 1), *rows_[1][6:]))
+    base = chains.with_row_id(spark.createDataFrame(rows_ + rows_[:2], CHAIN_DDL))
+    assert base.count() == 4 and base.select("rid").distinct().count() == 4
+
+
+def test_doubling_keeps_rows_with_alike_arrays_apart(spark):
+    df = spark.createDataFrame([([1], [10, 20], [30]), ([1], [10], [20, 30]), ([2], [20], [40])],
+                               "chain array<int>, cedant array<bigint>, cess array<bigint>")
+    got = {(tuple(r.chain), tuple(r.cedant), tuple(r.cess)) for r in chains.doubling_rounds(df, 1).collect()}
+    # only ([1], [10], [20, 30]) meets ([1], [10, 20], [30]) and ([2], [20], [40])
+    assert got - {((1,), (10, 20), (30,)), ((1,), (10,), (20, 30)), ((2,), (20,), (40,))} == {
+        ((1,), (10,), (30,)), ((1, 2), (10,), (40,))}
+
+
+def test_older_scalar_levels(spark):
+    from rightsweave.plans.contracts import SCALAR_COLUMNS
+    ddl = ("chain array<int>, informants array<int>, contract_type string, assignable int, biem int, idtercess int, fledit int, "
+           "start_date date, end_date date, assignor_person long, assignor_catalog long, assignor_role string, right_type string, "
+           "pct_publisher double, pct_creator double, assignee_person long, assignee_catalog long, assignee_role string, "
+           "genre_incl array<string>, genre_excl array<string>, catalog_incl array<long>, catalog_excl array<long>, "
+           "work_incl array<long>, work_excl array<long>, requirements array<string>, territories array<int>")
+
+    def row(n, frm, to, pct, asked, countries):
+        return ([n], [n * 10], "GENERAL", 1, 1, 0, 0, dt.date(2000, 1, n), None, 1, frm, "E", "DE", pct, 0.0, 2, to, "SE",
+                [], [], [7], [], [], [], asked, countries)
+
+    base = spark.createDataFrame([row(1, 100, 200, 75.0, ["INFO"], [1, 2]), row(2, 200, 300, 50.0, ["STRICTE"], [2, 3]),
+                                  row(3, 300, 400, 25.0, [], [2])], ddl)
+    got = {(r.level, tuple(r.chain)): r for r in chains.scalar_levels(base, 3).collect()}
+    assert set(got) == {(0, (1,)), (0, (2,)), (0, (3,)), (1, (1, 2)), (1, (2, 3)), (2, (1, 2, 3))}
+    whole = got[(2, (1, 2, 3))]
+    # [1, 2] is pivoted on its last contract: the percent is that of 1|2 times that of 2|3
+    assert whole.pct_publisher == 75.0 * 50 / 100 * (50.0 * 25 / 100) / 100 and whole.requirements == ["INFO", "STRICTE"]
+    assert whole.informants == [10, 20, 30] and whole.territories == [2] and whole.start_date == dt.date(2000, 1, 3)
+    assert list(base.columns) == list(SCALAR_COLUMNS)
+
+
 def test_doubling_rounds(spark):
     df = spark.createDataFrame([
         ([1], [10], [20, 21]), ([2], [21], [30]), ([3], [40], [50]), ([4], [30], [60]), ([5], [60], [70]),
