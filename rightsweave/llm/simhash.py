@@ -147,10 +147,11 @@ def _ball_links(fps: DataFrame, distance: int) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, keys: list[str], doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                    distance: int = 2) -> DataFrame:
-    """Key columns, ``fp`` and ``group`` of every row: rows whose fingerprints are joined by links share a group.
+    """Key columns, ``fp``, ``root`` and ``group`` of every row: rows whose fingerprints are joined by links share a root.
 
-    ``keys`` must hold ``doc_id``.  ``group`` is the smallest doc_id in the
-    group (null if all are null).  Every row is kept, repeated rows included;
+    ``keys`` must hold ``doc_id``.  ``root`` is the smallest fingerprint of the
+    group and ``group`` its smallest doc_id (null if all are null; an id that
+    is repeated may be that of two groups).  Every row is kept, repeated rows included;
     an empty table gives an empty result.
     """
     rows = materialize(fingerprints(docs, keys, text, shingle), "fingerprints")
@@ -159,8 +160,8 @@ def simhash_groups(docs: DataFrame, keys: list[str], doc_id: str = "doc_id", tex
     linked = fps.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     smallest = linked.groupBy("root").agg(F.min("first").alias("group"))
-    groups = linked.join(smallest, "root").select("fp", "group")
-    return rows.join(groups, "fp").select(*keys, "fp", "group")
+    groups = linked.join(smallest, "root").select("fp", "root", "group")
+    return rows.join(groups, "fp").select(*keys, "fp", "root", "group")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -177,7 +178,5 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Da
     """
     rows, row = identified(docs)
     groups = simhash_groups(rows, ["doc_id", row], shingle=shingle, distance=distance)
-    # rows with null ids only have a null group; fingerprints without any id are then told apart by themselves
-    best = groups.groupBy("group", F.when(F.col("group").isNull(), F.col("fp")).alias("own")).agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("best"))
+    best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("best"))
     return rows.join(best.select(F.col(f"best.{row}").alias(row)), row, "left_semi").drop(row)

@@ -95,6 +95,13 @@ def test_one_of_each_group_stays(edge):
     assert set(i for i in ids if i is not None) == groups and len(ids) == len(groups) + 1  # and one of the rows without an id
 
 
+def test_repeated_ids_of_different_texts_stay(spark):
+    rows = [(5, "one text about rivers and bridges"), (5, "another text on apples, pears and plums"),
+            (6, "another text on apples, pears and plums")]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows[:2])
+
+
 def test_components_of_lines_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (300, 301), (301, 300), (None, 5)]
     got = dict(connected_components(spark.createDataFrame(edges, "src long, dst long")).collect())
