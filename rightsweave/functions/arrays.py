@@ -26,11 +26,6 @@ def key_string(c) -> Column:
     return F.array_join(F.transform(_c(c), lambda x: x.cast("string")), "|")
 
 
-def set_key(c) -> Column:
-    """Array -> sorted, distinct ``a|b|c`` text, for order-free comparison."""
-    return key_string(F.array_sort(F.array_distinct(_c(c))))
-
-
 def as_set(c) -> Column:
     """Canonical set form: distinct and sorted."""
     return F.array_sort(F.array_distinct(_c(c)))

@@ -36,6 +36,6 @@ def test_truncated_percent_product_and_sizes(spark):
 def test_set_helpers_and_text_keys(spark):
     df = spark.createDataFrame([([3, 1, 1], [2, 3])], "a array<int>, b array<int>")
     r = df.select(A.set_union("a", "b").alias("u"), A.set_intersect("a", "b").alias("i"),
-                  A.set_key("a").alias("k"), A.key_string("a").alias("t"),
+                  A.key_string(A.as_set("a")).alias("k"), A.key_string("a").alias("t"),
                   A.flatten_or_empty(F.lit(None).cast("array<array<int>>"), "int").alias("f")).collect()[0]
     assert list(r.u) == [1, 2, 3] and list(r.i) == [3] and r.k == "1|3" and r.t == "3|1|1" and list(r.f) == []
