@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,10 +75,30 @@ def run_dir(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/rightsweave/{spark.sparkContext.applicationId}"
 
 
-def discard_intermediates(spark: SparkSession) -> bool:
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete materialised folders that no frame still to be computed reads."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard_intermediates(spark: SparkSession) -> None:
     """Delete what this application has materialised; for a job whose results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, [run_dir(spark)])
+
+
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """Collects the folders that :func:`materialize` writes inside the block, for a later :func:`discard`."""
+    paths: list[str] = []
+    token = _WRITTEN.set(paths)
+    try:
+        yield paths
+    finally:
+        _WRITTEN.reset(token)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -86,5 +109,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{run_dir(spark)}/{uuid.uuid4().hex}/{name}"
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer-inference job

@@ -1,3 +1,4 @@
+import functools
 import importlib
 
 import pytest
@@ -21,6 +22,16 @@ def test_entry_contract(spark):
 CORE = sorted(registry.QUERIES)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_inputs():
+    """The contract base and the restitution inputs are assembled once for all queries of this module."""
+    patch = pytest.MonkeyPatch()
+    for name in ("_base", "_restitution_inputs", "_scalar_base"):
+        patch.setattr(registry, name, functools.cache(getattr(registry, name)))
+    yield
+    patch.undo()
+
+
 @pytest.fixture(scope="module")
 def duck():
     import duckdb

@@ -136,3 +136,15 @@ def test_exists_wants_a_finished_write(spark):
     with pytest.raises(RuntimeError):
         io.read_or_compute(spark, root, lambda: spark.range(1))
     assert spark.read.parquet(root).count() == 3
+
+
+def test_tracked_intermediates_can_be_discarded(spark):
+    from rightsweave.session import discard, materialize, tracked
+    kept = materialize(spark.range(3), "kept")
+    with tracked() as paths:
+        inner = materialize(spark.range(5), "inner")
+        assert inner.count() == 5
+    materialize(spark.range(1), "outside")
+    assert len(paths) == 1 and io.exists(spark, paths[0])
+    discard(spark, paths)
+    assert not io.exists(spark, paths[0]) and kept.count() == 3
