@@ -7,13 +7,19 @@ with partial aggregation, so that a line that every document holds is counted
 where it is read.  The earliest occurrence of a repeated unit stays: the one
 with the smallest doc_id, then row, then place.  All others are removed, with
 their places in the original text kept.
+
+What is cut from texts (``remove_repeats``) are pieces: the units, and with
+them whole short lines, short sentences joined to their neighbours, and
+sentences of scripts without spaces.  Pieces may overlap; a removed piece's
+characters all stand at an earlier place, so that one copy always stays.
+``repeated_units`` lists the units alone, as its SQL does.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +33,12 @@ TILE = r"(?:[^\n.!?]+|[.!?]+[^ \t\n\v\f\r.!?])*[.!?]*[ \t\n\v\f\r]*"
 _TILE = re.compile(TILE)
 #: Other ASCII white space as spaces.
 _SPACES = str.maketrans("\t\n\v\f\r", "     ")
+_BLANK = " \t\n\v\f\r"
+#: Ends of sentences that no white space follows, and what they end.
+_WIDE_STOP = re.compile("[。！？｡।॥۔။។]")
+_WIDE = re.compile("[^。！？｡।॥۔။។]*[。！？｡।॥۔။។]+[」』）”’\"')]*[ \t\n\v\f\r]*|[^。！？｡।॥۔။។]+")
+#: A character of a script that is written without spaces between words.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
 
 
 def units_of(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
@@ -39,8 +51,66 @@ def units_of(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]
             yield number, m.start(), m.end(), hashlib.md5(" ".join(words).encode("utf-8", "replace")).digest()
 
 
-def units(docs: DataFrame, keys: list[str], text: str = "text", min_words: int = 5) -> DataFrame:
-    """Key columns, unit, start, stop and digest (128 bits) of every unit of every row."""
+def _words(piece: str) -> list[str]:
+    return [w for w in piece.lower().translate(_SPACES).split(" ") if w]
+
+
+def _sentences(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, stop, whether a line ends) of each sentence, from the first character that is not white space on."""
+    wide = not text.isascii() and _WIDE_STOP.search(text)
+    for m in _TILE.finditer(text, len(text) - len(text.lstrip(_BLANK))):
+        if m.end() == m.start():
+            continue
+        parts = [p.span() for p in _WIDE.finditer(text, *m.span())] if wide else [m.span()]
+        for start, stop in parts:
+            yield start, stop, stop == m.end() and "\n" in m[0]
+
+
+def _line_spans(line: list[tuple[int, int, int]], min_words: int) -> Iterator[tuple[int, int]]:
+    """Spans of the pieces of a line, from (start, stop, size) of its sentences.
+
+    A short sentence goes with what follows and with what precedes it, as far
+    as makes it long; a line that is short as a whole is one piece.
+    """
+    if sum(n for _, _, n in line) < min_words:
+        yield line[0][0], line[-1][1]
+        return
+    for i, (start, stop, n) in enumerate(line):
+        if n >= min_words:
+            yield start, stop
+            continue
+        for way in (1, -1):
+            j, total = i, n
+            while total < min_words and 0 <= j + way < len(line):
+                j += way
+                total += line[j][2]
+            if total >= min_words:
+                yield line[min(i, j)][0], line[max(i, j)][1]
+
+
+def pieces_of(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(number, start, stop, digest) of each piece by place; white space goes with what precedes it."""
+    spans, line, bodies = set(), [], {}
+    for start, stop, ends in _sentences(text):
+        piece = text[start:stop]
+        words = _words(piece)
+        bodies[start, stop] = " ".join(words)
+        # in scripts without spaces two characters count as a word
+        size = len(words) if piece.isascii() else max(len(words), len(_UNSPACED.findall(piece)) // 2)
+        line.append((start, stop, size))
+        if ends:
+            spans.update(_line_spans(line, min_words))
+            line = []
+    if line:
+        spans.update(_line_spans(line, min_words))
+    for number, span in enumerate(sorted(spans)):
+        body = bodies.get(span) or " ".join(_words(text[span[0]:span[1]]))
+        yield number, *span, hashlib.md5(body.encode("utf-8", "replace")).digest()
+
+
+def units(docs: DataFrame, keys: list[str], text: str = "text", min_words: int = 5,
+          find: Callable[[str, int], Iterator[tuple[int, int, int, bytes]]] = units_of) -> DataFrame:
+    """Key columns, unit, start, stop and digest (128 bits) of every unit that ``find`` gives of every row."""
     ship(docs.sparkSession)
     kept = docs.select(*keys, F.col(text).cast("string").alias("__text"))
 
@@ -48,7 +118,7 @@ def units(docs: DataFrame, keys: list[str], text: str = "text", min_words: int =
         for batch in batches:
             rows, found = [], []
             for i, t in enumerate(batch.column(batch.num_columns - 1)):
-                own = list(units_of(t.as_py() or "", min_words))
+                own = list(find(t.as_py() or "", min_words))
                 rows.extend([i] * len(own))
                 found.extend(own)
             unit, start, stop, digest = zip(*found) if found else ((), (), (), ())
@@ -61,15 +131,16 @@ def units(docs: DataFrame, keys: list[str], text: str = "text", min_words: int =
     return kept.mapInArrow(run, schema + "unit int, start int, stop int, digest binary")
 
 
-def repeats(docs: DataFrame, row: str, min_words: int = 5) -> DataFrame:
-    """Every repeated unit that is not the earliest: row, doc_id, unit, start, stop, digest, copies, kept_*.
+def repeats(docs: DataFrame, row: str, min_words: int = 5,
+            find: Callable[[str, int], Iterator[tuple[int, int, int, bytes]]] = pieces_of) -> DataFrame:
+    """Every repeated piece that is not the earliest: row, doc_id, unit, start, stop, digest, copies, kept_*.
 
     ``row`` names a column with a unique long per row of ``docs`` (doc_id,
-    text).  Null doc_ids rank last.  Null, empty and short texts have no unit;
-    an empty table gives an empty result.
+    text).  Null doc_ids rank last.  Null and blank texts have no piece; an
+    empty table gives an empty result.
     """
     found = materialize(units(docs.select(F.col(row).alias("row"), "doc_id", "text"), ["row", "doc_id"],
-                              min_words=min_words), "units")
+                              min_words=min_words, find=find), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "unit")
     groups = found.groupBy("digest").agg(F.min(rank).alias("kept"), F.count("*").alias("copies")).where("copies > 1")
     return (found.join(groups, "digest")
@@ -79,34 +150,34 @@ def repeats(docs: DataFrame, row: str, min_words: int = 5) -> DataFrame:
 
 
 def repeated_units(docs: DataFrame, min_words: int = 5) -> DataFrame:
-    """The removed units of documents (doc_id, text), without the row ids; other columns are ignored."""
+    """The repeated units of documents (doc_id, text), without the row ids; other columns are ignored."""
     rows, row = identified(docs.select("doc_id", "text"))
-    return repeats(rows, row, min_words).select(
+    return repeats(rows, row, min_words, units_of).select(
         "doc_id", "unit", "start", "stop", F.lower(F.hex("digest")).alias("digest"), "copies", "kept_doc_id", "kept_unit")
 
 
 def cut(text: str | None, spans: list[tuple[int, int]]) -> str | None:
-    """``text`` without the spans."""
+    """``text`` without the spans, which may overlap."""
     if text is None or not spans:
         return text
     kept, at = [], 0
     for start, stop in sorted(spans):
         kept.append(text[at:start])
-        at = stop
+        at = max(at, stop)
     kept.append(text[at:])
     return "".join(kept)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 5) -> DataFrame:
-    """The documents, columns as they were, with repeated units cut from their texts.
+    """The documents, columns as they were, with repeated pieces cut from their texts.
 
     Every row stays, also one whose text becomes empty; texts without a
-    repeated unit, null texts included, are unchanged.
+    repeated piece, null texts included, are unchanged.
     """
     rows, row = identified(docs)
     spans = fresh(rows.columns, "_spans")
     gone = repeats(rows, row, min_words).groupBy(F.col("row").alias(row)).agg(
-        F.collect_list(F.struct("start", "stop")).alias(spans))  # at most the units of one row
+        F.collect_list(F.struct("start", "stop")).alias(spans))  # at most the pieces of one row
     joined = rows.join(gone, row, "left").select(*docs.columns, spans)
     names, at = docs.columns, docs.columns.index("text")
     schema = joined.schema.fields[:-1]

@@ -72,3 +72,28 @@ def test_removed_texts_are_the_originals_without_their_spans(edge):
 def test_empty_table(no_docs):
     assert substrings.repeated_units(no_docs).count() == 0
     assert substrings.remove_repeats(no_docs).columns == no_docs.columns
+
+
+def removed(spark, *texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(substrings.remove_repeats(frame).collect())]
+
+
+def test_short_lines_and_short_sentences_are_cut(spark):
+    out = removed(spark, "All rights reserved.\nThe first page has text of its own here.",
+                  "Another page begins with other words here.\nall rights  reserved.",
+                  "The passage starts in this place now. Well then. It goes on for some more words. Yes.",
+                  "Ahead of it are other words today.\nThe passage starts in this place now. Well then. It goes on for some more words. Yes.")
+    assert out[0].startswith("All rights reserved.") and out[1] == "Another page begins with other words here.\n"
+    assert out[2].endswith("Yes.") and out[3] == "Ahead of it are other words today.\n"
+
+
+def test_scripts_without_spaces_are_cut(spark):
+    line, first, second = "".join(map(chr, range(0x4E00, 0x4E00 + 1000))), "今日は天気がとても良いです。", "明日の会議は三時から始まります。"
+    out = removed(spark, line, line, f"私は昨日東京へ行きました。{first}", f"{first}{second}", "ภาษาไทยไม่มีช่องว่าง", "ภาษาไทยไม่มีช่องว่าง")
+    assert out == [line, "", f"私は昨日東京へ行きました。{first}", second, "ภาษาไทยไม่มีช่องว่าง", ""]
+
+
+def test_one_copy_stays(spark):
+    out = removed(spark, "  same words in a single line", "no. no. no. no. no. no. no. ", "x x x x x x x. x x x x x x x.", " a\n a\nb")
+    assert out == ["  same words in a single line", "no. ", "x x x x x x x. ", " a\n b"]
