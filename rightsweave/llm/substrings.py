@@ -9,8 +9,9 @@ with the smallest doc_id, then row, then place.  All others are removed, with
 their places in the original text kept.
 
 What is cut from texts (``remove_repeats``) are pieces: the units, and with
-them whole short lines, short sentences joined to their neighbours, and
-sentences of scripts without spaces.  Pieces may overlap; a removed piece's
+them whole short lines, short sentences joined to their neighbours,
+sentences of scripts without spaces, and parts of long sentences between
+boundaries that the words around them decide.  Pieces may overlap; a removed piece's
 characters all stand at an earlier place, so that one copy always stays.
 ``repeated_units`` lists the units alone, as its SQL does.
 """
@@ -19,8 +20,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +42,13 @@ _BLANK = " \t\n\v\f\r"
 _WIDE_STOP = re.compile("[。！？｡।॥۔။។]")
 _WIDE = re.compile("[^。！？｡।॥۔။។]*[。！？｡।॥۔။។]+[」』）”’\"')]*[ \t\n\v\f\r]*|[^。！？｡।॥۔။។]+")
 #: A character of a script that is written without spaces between words.
-_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
+_SCRIPTS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_SCRIPTS}]")
+#: What boundaries stand between: characters of those scripts and of words longer than LONG_WORD, else words.
+_TOKEN = re.compile(f"[{_SCRIPTS}]|[^ \t\n\v\f\r{_SCRIPTS}]+")
+LONG_WORD = 64
+#: Characters that a part of a sentence has at least.
+PART_CHARS = 24
 
 
 def units_of(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
@@ -88,9 +98,78 @@ def _line_spans(line: list[tuple[int, int, int]], min_words: int) -> Iterator[tu
                 yield line[min(i, j)][0], line[max(i, j)][1]
 
 
+def _tokens(piece: str, words: list[str]) -> tuple[list[str], list[int] | None]:
+    """The tokens of a sentence in lower case, and where they start if they are not its words."""
+    if piece.isascii() and len(max(words, key=len)) <= LONG_WORD:
+        return words, None
+    low = piece.lower()
+    starts = []
+    for m in _TOKEN.finditer(piece):
+        starts.extend(range(*m.span()) if len(m[0]) > LONG_WORD else [m.start()])
+    ends = [*starts[1:], len(piece)]
+    return [(low[a:b] if len(low) == len(piece) else piece[a:b].lower()).rstrip(_BLANK) for a, b in zip(starts, ends)], starts
+
+
+def _boundaries(sentences: list[list[str]], apart: int) -> list[list[int]]:
+    """Places in each list of tokens where the hash of the two around is the least within ``apart`` places, and both ends.
+
+    The tokens near a place decide, so that equal runs have equal boundaries
+    whatever surrounds them.  Runs of equal hashes are cut in even steps.
+    """
+    codes, first, gap = [], [], [0] * apart
+    for tokens in sentences:
+        codes += gap
+        first.append(len(codes))
+        codes += map(zlib.crc32, " ".join(tokens).encode("utf-8", "replace").split(b" "))
+    c = np.array(codes + gap, np.uint64)
+    pair = (c[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[1:]) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(1)
+    inside = np.zeros(len(pair), bool)
+    for at, tokens in zip(first, sentences):
+        inside[at:at + len(tokens) - 1] = True
+    pair[~inside] = np.uint64((1 << 64) - 1)
+    for k in range(1, apart + 1):
+        inside[k:] &= pair[k:] < pair[:-k]
+        inside[:-k] &= pair[:-k] <= pair[k:]
+    least, out, step = (np.flatnonzero(inside) + 1).tolist(), [], 8 * apart
+    i = 0
+    for at, tokens in zip(first, sentences):
+        found, n = [0], len(tokens)
+        while i < len(least) and least[i] < at + n:
+            place = least[i] - at
+            found.extend(range(found[-1] + step, place, step))
+            found.append(place)
+            i += 1
+        found.extend(range(found[-1] + step, n, step))
+        out.append([*found, n])
+    return out
+
+
+def _parts(text: str, long: list[tuple[int, int, list[str]]], min_words: int) -> Iterator[tuple[int, int, str | None]]:
+    """(start, stop, body if known) of the parts of long sentences (start, stop, words).
+
+    A part goes from a boundary over two stretches or more, as far as it has
+    twice ``min_words`` tokens and PART_CHARS characters.
+    """
+    split = [_tokens(text[start:stop], words) for start, stop, words in long]
+    for (start, stop, _), (tokens, starts), at in zip(long, split, _boundaries([t for t, _ in split], max(1, min_words - 1))):
+        if len(at) < 4:
+            continue
+        places = starts
+        if places is None:
+            places = [0, *accumulate(len(w) + 1 for w in tokens)]
+            if places.pop() - 1 != len(text[start:stop].rstrip(_BLANK)):  # not single spaces between
+                places = [m.start() for m in _TOKEN.finditer(text[start:stop])]
+        places.append(stop - start)
+        for i, first in enumerate(at[:-2]):
+            for last in at[i + 2:]:
+                if last - first >= 2 * min_words and places[last] - places[first] >= PART_CHARS:
+                    yield start + places[first], start + places[last], None if starts else " ".join(tokens[first:last])
+                    break
+
+
 def pieces_of(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
     """(number, start, stop, digest) of each piece by place; white space goes with what precedes it."""
-    spans, line, bodies = set(), [], {}
+    spans, line, bodies, long = set(), [], {}, []
     for start, stop, ends in _sentences(text):
         piece = text[start:stop]
         words = _words(piece)
@@ -98,11 +177,17 @@ def pieces_of(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]
         # in scripts without spaces two characters count as a word
         size = len(words) if piece.isascii() else max(len(words), len(_UNSPACED.findall(piece)) // 2)
         line.append((start, stop, size))
+        if words and (size > 2 * min_words or stop - start > LONG_WORD):
+            long.append((start, stop, words))
         if ends:
             spans.update(_line_spans(line, min_words))
             line = []
     if line:
         spans.update(_line_spans(line, min_words))
+    for start, stop, body in _parts(text, long, min_words) if long else ():
+        spans.add((start, stop))
+        if body:
+            bodies[start, stop] = body
     for number, span in enumerate(sorted(spans)):
         body = bodies.get(span) or " ".join(_words(text[span[0]:span[1]]))
         yield number, *span, hashlib.md5(body.encode("utf-8", "replace")).digest()

@@ -97,3 +97,25 @@ def test_scripts_without_spaces_are_cut(spark):
 def test_one_copy_stays(spark):
     out = removed(spark, "  same words in a single line", "no. no. no. no. no. no. no. ", "x x x x x x x. x x x x x x x.", " a\n a\nb")
     assert out == ["  same words in a single line", "no. ", "x x x x x x x. ", " a\n b"]
+
+
+def test_unpunctuated_passages_inside_lines_are_cut(spark):
+    passage = " ".join(f"word{i * i % 97}of{i}" for i in range(60))
+    around = [" ".join(f"{side}{i}x{i * i % 13}" for i in range(20)) for side in ("before", "after", "ahead", "behind")]
+    first, second = f"{around[0]} {passage} {around[1]}", f"{around[2]} {passage} {around[3]}"
+    out = removed(spark, first, second)
+    assert out[0] == first and out[1].startswith(around[2]) and out[1].endswith(around[3])
+    assert sum(w in passage.split() for w in out[1].split()) <= 25
+    # around a word that differs in a long sentence
+    words = passage.split()
+    out = removed(spark, passage, " ".join([*words[:30], "other", *words[31:]]))
+    assert out[0] == passage and "other" in out[1] and len(out[1].split()) <= 25
+    # and without spaces
+    line = "".join(chr(0x4E00 + i * i * 7 % 5003) for i in range(200))
+    out = removed(spark, "天地玄黄" + line + "宇宙洪荒", "日月盈昃" + line + "辰宿列张")
+    assert out[1].startswith("日月盈昃") and out[1].endswith("辰宿列张") and len(out[1]) < 100
+
+
+def test_long_runs_of_one_word_keep_one_copy(spark):
+    out = removed(spark, "w " * 1000, "w " * 1000, "z" * 5000)
+    assert out[0].split() and set(out[0].split()) == {"w"} and out[1] == "" and set(out[2]) == {"z"}
