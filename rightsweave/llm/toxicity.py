@@ -1,10 +1,11 @@
 """Toxicity of texts behind obfuscated spelling: a noisy-channel decoder, then a classifier on the restored text.
 
-A character trigram model is counted over all documents.  Tokens that look
-obfuscated (signs or digits among letters, letters repeated three times and
-more, letters spaced out) become lattices whose arcs restore a letter, drop a
-repetition or drop a separator, and a Viterbi search under the character model
-picks the reading.  Words and word beginnings of the restored text carry
+A character trigram model is counted over all documents.  Tokens that may be
+obfuscated (signs or digits among or instead of letters, repeated or doubled
+letters, separators between letters, letters spaced out) become lattices whose
+arcs restore a letter, drop a repetition or drop a separator, and a Viterbi
+search under the character model picks the reading.  Numbers of digits alone
+stay numbers.  Words and word beginnings of the restored text carry
 weights learned from labelled rows; a logistic regression on a text's
 strongest weights, fitted on other labelled rows, gives the score.
 """
@@ -29,7 +30,7 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 HOMOGLYPHS = str.maketrans("авекмнорстухіјѕԁ", "abekmhopctyxijsd")
 ZERO_WIDTH = dict.fromkeys(map(ord, "­​‌‍⁠﻿"))
 # --- costs of the channel (natural logarithms) ---
-RESTORED, KEPT_SIGN, ONE_OF_RUN, TWO_OF_RUN, DROPPED, KEPT_GAP = -1.0, -4.0, -0.7, -1.2, -0.2, -1.5
+RESTORED, KEPT_SIGN, ONE_OF_RUN, TWO_OF_RUN, ONE_OF_TWO, DROPPED, KEPT_GAP = -1.0, -4.0, -0.7, -1.2, -2.5, -0.2, -1.5
 
 #: Character classes: 0 ends a word, a-z, Latin-1 letters from 0xDF, other letters, digits.
 SIZE = 64
@@ -43,14 +44,21 @@ for _c in range(len(_BULK)):
 #: Characters that are counted at once.
 BLOCK = 1 << 20
 
-_SEPARATORS = " ._-*"
-_SPACED = re.compile(r"(?<!\w)(?:[^\W_][ ._*\-]{1,2}){3,}[^\W_](?!\w)")
+_SEPARATORS = " \t._-*/"
+_UNIT, _GAP = r"(?:[^\W_]|[@$!|+(#€£])", r"[ \t._*/\-]{1,2}"
+_SPACED = re.compile(rf"(?<!\w)(?:{_UNIT}{_GAP}){{2,}}{_UNIT}(?!\w)")
+_DIGITS = re.compile(rf"\d(?:{_GAP}\d){{0,2}}")
+_TWICE = re.compile(r"([^\W\d_])\1")
+_DOUBLED = re.compile(r"(?:([^\s._*/\-])\1){3,}")
 _RUN = re.compile(r"([^\W\d_])\1\1")
+_INNER = re.compile(r"[^\W\d_][._*/\-]{1,2}[^\W\d_]")
 _AFTER = ".,;:!?\"')]}"
 _LATIN = re.compile("[a-z]")
 _LETTER = re.compile(r"[^\W\d_]")
 _SIGN = re.compile("[" + re.escape("".join(LEET)) + "]")
 _WORD = re.compile(r"[^\W\d_]+")
+#: Signs and digits without a letter, but not a number.
+_LETTERLESS = re.compile("(?=.*[^\\d._*/+-])[" + re.escape("".join(LEET) + "._*/-") + "]{3,}")
 
 
 def char_class(c: str) -> int:
@@ -109,22 +117,37 @@ class CharModel:
         return "".join(reversed(parts))
 
     def restore_token(self, token: str) -> str:
-        """A token without white space, restored if it looks obfuscated."""
+        """A token without white space, restored if it may be obfuscated."""
         core = token.rstrip(_AFTER)
-        if core.isalpha() and not _RUN.search(core):
+        if core.isalpha() and not _TWICE.search(core):
             return token
-        if _LETTER.search(core) and (_SIGN.search(core) or _RUN.search(core)):
+        if _coded(core) or _LETTER.search(core) and (_TWICE.search(core) or _INNER.search(core)):
             return self.decode(core) + token[len(core):]
         return token
 
     def spaced(self, text: str) -> str:
-        return _SPACED.sub(lambda m: self.decode(m[0].translate(HOMOGLYPHS) if _LATIN.search(m[0]) else m[0]), text)
+        def read(m: re.Match) -> str:
+            if _DIGITS.fullmatch(m[0]) or not any(c.isalnum() for c in m[0]):
+                return m[0]
+            return self.decode(m[0].translate(HOMOGLYPHS) if _LATIN.search(m[0]) else m[0])
+
+        return _SPACED.sub(read, text)
 
     def restore(self, text: str) -> str:
         """The whole text in lower case with every obfuscated token restored."""
         return re.sub(r"\S+", lambda m: self.restore_token(m[0]), self.spaced(plain(text)))
 
 
+def _coded(core: str) -> bool:
+    """True if signs, digits or runs stand for letters."""
+    return bool(_LETTERLESS.fullmatch(core) or _LETTER.search(core) and (_SIGN.search(core) or _RUN.search(core)))
+
+
+def squeezed(word: str) -> str:
+    """``word`` with every run of a letter as one."""
+    return re.sub(r"(.)\1+", r"\1", word)
+
+
 def _with_log(log: np.ndarray) -> CharModel:
     model = CharModel.__new__(CharModel)
     model.log = log
@@ -142,6 +165,9 @@ def _arcs(span: str, i: int) -> list[tuple[int, str, float]]:
     if j - i >= 3 and (i == 0 or span[i - 1] != c):
         for r in read or c:
             arcs += [(j, r, ONE_OF_RUN), (j, r + r, TWO_OF_RUN)]
+    elif j - i == 2 and (read or c.isalpha()):
+        chain = any(m.start() <= i < m.end() for m in _DOUBLED.finditer(span))
+        arcs += [(j, r, ONE_OF_RUN if chain else ONE_OF_TWO) for r in read or c]
     if c in _SEPARATORS:
         arcs += [(i + 1, "", DROPPED), (i + 1, " ", KEPT_GAP)]
     else:
@@ -204,14 +230,28 @@ class Scorer:
         self.model, self.weights, self.fit, self.prior = model, weights, fit, prior
         self.known: dict[str, float] = {}
         self.heads = {f[:3] for f in weights}
+        self.starts = {squeezed(f.strip())[:2] for f in weights}
 
     def __reduce__(self):
         return Scorer, (self.model, self.weights, self.fit, self.prior)
 
+    def _may(self, core: str) -> bool:
+        """False if no reading by dropped separators and doubled letters can have a weight."""
+        if core.isalpha():
+            return bool(_TWICE.search(core)) and self._begins(core)
+        return (_TWICE.search(core) or _INNER.search(core)) is not None and any(
+            self._begins("".join(_WORD.findall(core[m.start():m.start() + 64]))) for m in _WORD.finditer(core))
+
+    def _begins(self, word: str) -> bool:
+        head = squeezed(word)[:2]
+        return head in self.starts or head[:1] in self.starts
+
     def _weigh(self, token: str) -> float:
         get, heads = self.weights.get, self.heads
         core = token.rstrip(_AFTER)
-        words = [core] if core.isalpha() and not _RUN.search(core) else _WORD.findall(self.model.restore_token(token))
+        words = [core] if core.isalpha() else _WORD.findall(token)
+        if _coded(core) or self._may(core):
+            words += _WORD.findall(self.model.restore_token(token))
         found = max((get(f, 0.0) for w in words if f"{w} "[:3] in heads for f in features_of(w)), default=0.0)
         if len(self.known) >= self.REMEMBERED:
             self.known.clear()

@@ -69,3 +69,21 @@ def test_edge_rows_and_empty_tables(spark, edge, no_docs):
     assert {r.score for r in toxicity.toxicity(edge, labels.limit(0)).collect()} == {0.0}
     kept = toxicity.drop_toxic(edge, labels.limit(0))
     assert kept.columns == edge.columns and kept.count() == edge.count()
+
+
+@pytest.mark.parametrize("written,read", [
+    ("tr-ash", "trash"), ("st.upid", "stupid"), ("lo_ser", "loser"), ("s/c/u/m", "scum"), ("ttrraasshh", "trash"),
+    ("mmoron", "moron"), ("sccum", "scum"), ("$ t u p ! d", "stupid"), ("$ c u m", "scum"), ("s\tc\tu\tm", "scum"),
+    ("$(#", None), ("i 0 u", None), ("1 2 3", "1 2 3"), ("* * *", "* * *"), ("hello", "hello"),
+])
+def test_more_spellings(scorer, written, read):
+    got = scorer.model.restore(written)
+    assert got == read if read else got.isalpha() or got.replace(" ", "").isalpha()
+
+
+def test_more_planted_texts(many, scorer):
+    docs, _ = many
+    clean = [r.text for r in docs.limit(300).collect()]
+    clean = [t for t in clean if scorer.score(t) < 0.1][:40]
+    for word in ("tr-ash, st.upid", "lo_ser s/c/u/m", "mmoron sccum", "ttrraasshh mmoron", "$ t u p ! d $ c u m"):
+        assert all(scorer.score(f"{t}\n{word}") >= 0.5 for t in clean), word
