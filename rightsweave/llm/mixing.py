@@ -2,8 +2,9 @@
 
 Each source is cut into blocks by hash.  Its target in words fixes how many
 passes over its blocks the mix draws, and where the last pass ends: blocks are
-drawn in a permuted order, and the block in which the target falls gives only
-documents that still fit.  The exact block quotas of all sources are then
+drawn in a permuted order, the block in which the target falls gives only
+documents that still fit, and what is left goes on to the blocks after it until
+no untaken document of them fits.  The exact block quotas of all sources are then
 split among the output shards by a binary tree: at each node the left half's
 share of every source is a multivariate-hypergeometric draw, so that shards
 get equally many blocks and every source stays exact.  Draws of a source go to
@@ -170,7 +171,7 @@ def _starts(shards: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _fitting(units: DataFrame) -> DataFrame:
-    """(rank, unit, picked) of the documents of each source's last block that still fit into ``gap`` words.
+    """(rank, left, picks) by source: the documents of one block that fit into ``gap`` words, and the words left.
 
     Equal rows are one unit with a count; units are tried by size, the largest
     first, and as many of each are picked as fit.  A block holds so many words by its
@@ -184,7 +185,52 @@ def _fitting(units: DataFrame) -> DataFrame:
     start = F.struct(F.col("gap"), F.array().cast("array<struct<unit:bigint,picked:bigint>>").alias("out"))
     return (units.groupBy("rank", "gap", "unit", "size").agg(F.count("*").alias("n"))
             .groupBy("rank", "gap").agg(F.sort_array(F.collect_list(F.struct("size", "unit", "n")), False).alias("units"))
-            .select("rank", F.inline(F.aggregate("units", start, pick, lambda a: a["out"]))))
+            .select("rank", F.aggregate("units", start, pick).alias("a"))
+            .select("rank", F.col("a.gap").alias("left"), F.col("a.out").alias("picks")))
+
+
+def _falls(blocks: DataFrame) -> DataFrame:
+    """(rank, end, gap): the place at which the running total of ``words`` passes ``rest``, and the words left there.
+
+    ``blocks`` has rank, place, blocks, words and rest; a source whose words
+    do not pass its rest has no row.
+    """
+    stepped = blocks.withColumn("step", F.floor(F.col("place") * F.lit(STEPS) / F.col("blocks")))
+    before = F.col("run") - F.col("words")
+    falls_here = (before <= F.col("rest")) & (F.col("rest") < F.col("run"))
+    run = Window.partitionBy("rank")
+    step = (stepped.groupBy("rank", "rest", "step").agg(F.sum("words").alias("words"))
+            .withColumn("run", F.sum("words").over(run.orderBy("step"))).where(falls_here)
+            .select("rank", "step", before.alias("first")))
+    return (stepped.join(step, ["rank", "step"])
+            .withColumn("run", F.col("first") + F.sum("words").over(run.orderBy("place"))).where(falls_here)
+            .select("rank", F.col("place").alias("end"), (F.col("rest") - before).alias("gap")))
+
+
+def _carried(rows: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The picks (rank, unit, picked) of ``first`` and of the blocks after it, and ranges of blocks taken by size.
+
+    ``rows`` has rank, place, blocks, unit and size of the untaken rows after
+    each source's last block, ``first`` (rank, end, left, picks) what that block gave.  A
+    range (rank, after, upto, most) stands for all rows up to ``most`` words
+    in the blocks between.  Where the words left fall, the block's picks leave
+    less than half of them, so the rounds are at most the logarithm of a block's words.
+    """
+    picks, ranges, state = first.select("rank", F.inline("picks")), None, first.where("left > 0")
+    while True:
+        state = state.select("rank", F.col("end").alias("after"), F.col("left").alias("rest"))
+        fit = materialize(rows.join(state, "rank").where("place > after and size <= rest"), "fit")
+        if fit.isEmpty():
+            return picks, ranges
+        ends = materialize(_falls(fit.groupBy("rank", "place", "blocks", "rest").agg(F.sum("size").alias("words"))), "falls")
+        more = (fit.select("rank", "after", "rest").distinct().join(ends, "rank", "left")
+                .select("rank", "after", F.col("end").alias("upto"), F.col("rest").alias("most")))
+        ranges = more if ranges is None else ranges.unionByName(more)
+        here = fit.join(ends.where("gap > 0"), "rank").where("place = end and size <= gap")
+        given = materialize(_fitting(here.select("rank", "gap", "unit", "size")), "picks")
+        picks = picks.unionByName(given.select("rank", F.inline("picks")))
+        state = ends.where("gap > 0").join(given, "rank", "left").select(
+            "rank", "end", F.coalesce("left", "gap").alias("left")).where("left > 0")
 
 
 def plan_mix(docs: DataFrame, keys: list[str], source: str = "source", text: str = "text", most: int = 3,
@@ -220,17 +266,8 @@ def plan_mix(docs: DataFrame, keys: list[str], source: str = "source", text: str
     blocks = materialize(
         rows.where("size > 0").groupBy("rank", "block", "blocks", "passes", "rest").agg(F.sum("size").alias("words"))
         .withColumn("place", place(F.col("passes"))), "blocks")
-    # where the last pass of each source ends: a step of blocks, a block of it, and the words left there
-    stepped = blocks.where("rest > 0").withColumn("step", F.floor(F.col("place") * F.lit(STEPS) / F.col("blocks")))
-    before = F.col("run") - F.col("words")
-    falls_here = (before <= F.col("rest")) & (F.col("rest") < F.col("run"))
-    run = Window.partitionBy("rank")
-    step = (stepped.groupBy("rank", "rest", "step").agg(F.sum("words").alias("words"))
-            .withColumn("run", F.sum("words").over(run.orderBy("step"))).where(falls_here)
-            .select("rank", "step", before.alias("first")))
-    end = (stepped.join(step, ["rank", "step"])
-           .withColumn("run", F.col("first") + F.sum("words").over(run.orderBy("place"))).where(falls_here)
-           .select("rank", F.col("place").alias("end"), (F.col("rest") - before).alias("gap")))
+    # where the last pass of each source ends: a block, and the words left there
+    end = _falls(blocks.where("rest > 0"))
     quota = F.col("passes") * F.col("blocks") + F.when(F.col("gap").isNotNull(), F.col("end") + 1).otherwise(0)
     plan = materialize(plan.join(end, "rank", "left").select("rank", "end", "gap", quota.alias("quota")), "ends")
     quotas = plan.agg(F.sort_array(F.collect_list(F.struct("rank", "quota"))).alias("q")).select(
@@ -241,23 +278,41 @@ def plan_mix(docs: DataFrame, keys: list[str], source: str = "source", text: str
         number = k * F.col("blocks") + F.when(k == F.col("passes"), F.col("place")).otherwise(place(k))
         return _let(number, lambda d: F.struct(k.cast("int").alias("pass"), _shard(F.col("starts"), d, shards).alias("shard")))
 
-    # the draws of each block; the last block of a source tells its gap, and its rows take part in the last pass by fit
-    times = F.col("passes") + (F.col("gap").isNotNull() & (F.col("place") <= F.col("end"))).cast("long")
+    # the draws of each block; the last block of a source tells its gap, and its rows and those after it take part in
+    # the last pass by fit, with its draw as their extra one
+    times = F.col("passes") + (F.col("gap").isNotNull() & (F.col("place") < F.col("end"))).cast("long")
     blocks = materialize(blocks.join(plan, "rank").select(
-        "rank", "block", F.when(F.col("place") == F.col("end"), F.col("gap")).alias("gap"),
+        "rank", "block", "place", F.when(F.col("place") == F.col("end"), F.col("gap")).alias("gap"),
+        F.when(F.col("place") == F.col("end"), drawn(F.col("passes"))).alias("extra"),
         F.when(times > 0, F.transform(F.sequence(F.lit(0).cast("long"), times - 1), drawn)).otherwise(
             F.array().cast("array<struct<pass:int,shard:int>>")).alias("draws")), "draws")
-    rows = rows.join(blocks, ["rank", "block"], "left")
+    rows = rows.join(blocks.drop("extra"), ["rank", "block"], "left")
     last = F.col("gap").isNotNull() & (F.col("size") > 0)
-    picks = materialize(_fitting(rows.where(last).select("rank", "gap", "unit", "size")), "picks")
+    ends = blocks.where("gap is not null").select("rank", F.col("place").alias("end"), "gap", F.col("extra"))
+    given = _fitting(rows.where(last).select("rank", "gap", "unit", "size"))
+    given = materialize(ends.join(given, "rank", "left").select(
+        "rank", "end", F.coalesce("left", "gap").alias("left"),
+        F.coalesce("picks", F.array().cast("array<struct<unit:bigint,picked:bigint>>")).alias("picks")), "picks")
+    after = rows.join(ends.select("rank", "end"), "rank").where("place > end and size > 0")
+    picks, ranges = _carried(after.select("rank", "place", "blocks", "unit", "size"), given)
+    rows = rows.join(ends.select("rank", "end", "extra"), "rank", "left")
+    taken = F.lit(False)
+    if ranges is not None:
+        ranges = ranges.groupBy("rank").agg(F.collect_list(F.struct("after", "upto", "most")).alias("ranges"))
+        rows = rows.join(ranges, "rank", "left")
+        taken = F.coalesce(F.exists("ranges", lambda r: (F.col("place") > r["after"]) & (F.col("size") <= r["most"]) & (
+            r["upto"].isNull() | (F.col("place") < r["upto"]))), F.lit(False))
+    picks = materialize(picks.groupBy("rank", "unit").agg(F.sum("picked").alias("picked")), "picked")
+    rows = rows.join(picks, ["rank", "unit"], "left").withColumn("taken", taken)
     nth = F.row_number().over(Window.partitionBy("rank", "unit").orderBy("unit"))
-    fits = F.coalesce(nth <= F.col("picked"), F.lit(False))
     names = [*keys, "source", "size", "source_size", "target", "unit"]
-    tried = rows.where(last).join(picks, ["rank", "unit"], "left").select(*names, F.when(fits, F.col("draws")).otherwise(
-        F.slice("draws", F.lit(1), F.size("draws") - 1)).alias("draws"))
-    whole = F.when((F.col("size") > 0) & F.col("draws").isNotNull(), F.col("draws")).otherwise(
-        F.array().cast("array<struct<pass:int,shard:int>>"))
-    return rows.where(~last).select(*names, whole.alias("draws")).unionByName(tried)
+    none = F.array().cast("array<struct<pass:int,shard:int>>")
+    whole = F.when((F.col("size") > 0) & F.col("draws").isNotNull(), F.col("draws")).otherwise(none)
+    chosen = F.col("picked").isNotNull() & ~F.col("taken")
+    tried = rows.where(chosen).select(*names, F.when(nth <= F.col("picked"), F.concat("draws", F.array("extra"))).otherwise(
+        F.col("draws")).alias("draws"))
+    return rows.where(~chosen).select(*names, F.when((F.col("size") > 0) & F.col("taken"), F.concat(
+        "draws", F.array("extra"))).otherwise(whole).alias("draws")).unionByName(tried)
 
 
 def _shard(starts: Column, number: Column, shards: int) -> Column:

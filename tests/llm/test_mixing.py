@@ -109,3 +109,16 @@ def test_mix_returns_whole_rows_as_often_as_drawn(edge):
     mixed = mixing.mix(rows, row, shards=4)
     assert mixed.columns == rows.columns
     assert Counter(r[row] for r in mixed.collect()) == Counter({k: v for k, v in plan.items() if v})
+
+
+def test_a_huge_document_leaves_no_gap(spark):
+    # one document is a third of its source; wherever the target falls, small ones of other blocks fill it
+    for other in (600, 900):
+        rows = [(0, "w " * 500, "a")] + [(i, "w " * (1 + i % 7), "a") for i in range(1, 251)] + [(1000, "w " * other, "b")]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = mixing.plan_mix(frame, ["doc_id"], weights=(1, 3), block_words=100).collect()
+        mine = [r for r in got if r.source == "a"]
+        left = round(mine[0].target) - sum(r.size * len(r.draws) for r in mine)
+        most = max(len(r.draws) for r in mine)
+        untaken = [r.size for r in mine if len(r.draws) <= round(mine[0].target) // mine[0].source_size]
+        assert most <= 3 and 0 <= left < min(untaken, default=1 << 30), (other, left)
