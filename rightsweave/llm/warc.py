@@ -4,7 +4,9 @@ A response row has record_id, target_uri, date, headers (other named fields of
 the record) and block, the HTTP message.  Each derivative refers to the
 response by its identifier, URI and date; the metadata record repeats the
 source's status line, HTTP headers, record headers and digests, and the
-conversion holds the text of an HTML or plain-text payload.  Identifiers
+conversion holds the text of an HTML or plain-text payload, chunks and
+compression undone (digests and lengths are of the payload as it came; without
+a conversion if a coding is neither chunked, gzip nor deflate).  Identifiers
 follow from the response's identifier, so that reruns agree.
 """
 
@@ -16,6 +18,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +29,7 @@ from .common import ship
 
 CRLF = "\r\n"
 #: Elements whose content is not text.
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|title|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|title)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _HEAD = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 #: Elements that begin and end a line.
@@ -36,6 +39,8 @@ _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|d
 _TAG = re.compile(r"<[/!?a-zA-Z][^<>]*>")
 _BLANKS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
+#: The line before a chunk: its size, extensions.
+_CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]{1,15})[ \t]*(?:;[^\r\n]*)?\r\n")
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -54,6 +59,52 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return first, headers, payload
 
 
+def _unchunked(data: bytes) -> bytes:
+    """The content of a chunked body, as far as it goes; data that is not chunked stays."""
+    parts, at = [], 0
+    while True:
+        size = _CHUNK.match(data, at)
+        if not size:
+            return b"".join(parts) if parts else data
+        n = int(size[1], 16)
+        if not n:
+            return b"".join(parts)
+        parts.append(data[size.end():size.end() + n])
+        at = size.end() + n + 2
+
+
+def _unzipped(data: bytes, coding: str) -> bytes:
+    """``data`` without its gzip or deflate coding, as far as it goes; data in another form stays."""
+    out, rest = [], data
+    for bits in (31,) if coding != "deflate" else (15, -15):
+        try:
+            while rest:
+                one = zlib.decompressobj(bits)
+                out.append(one.decompress(rest))
+                if not one.eof:
+                    break
+                rest = one.unused_data
+        except zlib.error:
+            pass
+        if out:
+            return b"".join(out)
+    return data
+
+
+def content_of(payload: bytes, http: list[tuple[str, str]]) -> bytes | None:
+    """The payload with transfer and content codings undone, the last applied first; None for a coding not known here."""
+    for header in ("transfer-encoding", "content-encoding"):
+        codings = [c.strip().lower() for n, v in http if n.lower() == header for c in v.split(",")]
+        for coding in reversed(codings):
+            if coding == "chunked":
+                payload = _unchunked(payload)
+            elif coding in ("gzip", "x-gzip", "deflate"):
+                payload = _unzipped(payload, coding)
+            elif coding not in ("", "identity"):
+                return None
+    return payload
+
+
 def _decoded(payload: bytes, content_type: str) -> str:
     charset = re.search(r"charset=[\"']?([\w.:-]+)", content_type, re.I)
     try:
@@ -103,7 +154,8 @@ def derive(row: dict) -> Iterator[dict]:
     refers = [("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", source),
               ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date)]
     is_html = content_type.lower().startswith(("text/html", "application/xhtml"))
-    page = _decoded(payload, content_type) if is_html or content_type.lower().startswith("text/plain") else None
+    content = content_of(payload, http) if is_html or content_type.lower().startswith("text/plain") else None
+    page = _decoded(content, content_type) if content is not None else None
 
     def made(kind: str, content_kind: str, block: bytes, more: list[tuple[str, str | None]]) -> dict:
         record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, kind + ' ' + source)}>"

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import zlib
 
 from rightsweave.llm import warc
 from rightsweave.llm.queries import responses
@@ -63,3 +64,28 @@ def test_members_join_to_a_file_and_empty_table(spark):
     data = gzip.decompress(b"".join(warc.member(p) for p in parts))
     assert [b for _, b in warc.read_records(data)] == [b"", b"x", b"xx"]
     assert warc.derivatives(spark.createDataFrame([], SCHEMA), ["page_id"]).count() == 0
+
+
+def test_unclosed_heads_keep_the_page():
+    page = "<html><head><title>T</title><style>p{}</style><body><p>text</p></body></html>"
+    assert warc.text_of(page) == "text" and warc.title_of(page) == "T"
+    assert warc.text_of("<head><meta name=a><title>T</title><link rel=b><p>one<p>two") == "one\ntwo"
+    assert warc.text_of("<head><title>T</title></head><body>b") == "b" and warc.text_of("<header>h</header>") == "h"
+
+
+def test_chunked_and_compressed_payloads():
+    page = "<p>" + "caf\u00e9 " * 50
+    body = page.encode()
+    raw = zlib.compressobj(wbits=-15)
+    plain, zipped = "caf\u00e9 " * 49 + "caf\u00e9", gzip.compress(body)
+    chunked = b"".join(b"%x;a=b\r\n%s\r\n" % (len(p), p) for p in (zipped[:20], zipped[20:])) + b"0\r\nX: y\r\n\r\n"
+    for head, data in ((b"Content-Encoding: gzip", zipped), (b"Content-Encoding: gzip\r\nTransfer-Encoding: chunked", chunked),
+                       (b"Transfer-Encoding: gzip, chunked", chunked), (b"Content-Encoding: deflate", zlib.compress(body)),
+                       (b"Content-Encoding: deflate", raw.compress(body) + raw.flush()),
+                       (b"Content-Encoding: gzip\r\nTransfer-Encoding: chunked", body), (b"X: y", body)):
+        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + head + b"\r\n\r\n" + data
+        made = list(warc.derive({"record_id": "<urn:a>", "target_uri": "u", "date": "d", "headers": None, "block": block}))
+        (_, text), = warc.read_records(made[1]["record"])
+        assert text.decode() == plain and made[0]["payload_digest"] == sha1(data), head
+    block = b"HTTP/1.1 200 OK\r\nContent-Encoding: br\r\n\r\nxyz"
+    assert [m["type"] for m in warc.derive({"record_id": "", "target_uri": "", "date": "", "headers": None, "block": block})] == ["metadata"]
