@@ -12,10 +12,3 @@ from rightsweave.session import build_session  # noqa: E402
 def spark():
     s = build_session("local[4]", shuffle_partitions=4, app_name="rightsweave-tests")
     yield s
-
-
-def rows(df, *cols):
-    """Sorted tuples of the given columns (all columns when none given)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()),
-                  key=lambda t: tuple((x is not None, x) for x in t))

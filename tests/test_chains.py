@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from rightsweave.functions.arrays import key_string

@@ -1,7 +1,7 @@
 import uuid
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import AnalysisException
 
 from rightsweave import cli, registry

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import rows
+from helpers import rows
 
 from rightsweave.plans import jobs, restitution
 from rightsweave.sources.io import schema_from_words

@@ -1,7 +1,7 @@
 import uuid
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from rightsweave.operators.joins import salted_join

@@ -1,6 +1,6 @@
 import random
 
-from conftest import rows
+from helpers import rows
 
 from rightsweave.plans import territories as T
 
