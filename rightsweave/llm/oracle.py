@@ -77,9 +77,44 @@ select conv_id, count(*) as n_turns,
 from marked group by conv_id
 """
 
+OP11 = r"""
+with bodies as (
+  select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[ \t\n\v\f\r]', '', 'g') as body from documents),
+ranked as (
+  select doc_id, body, row_number() over w as nth, first_value(doc_id) over w as keep_id,
+         count(*) over (partition by body) as group_size
+  from bodies window w as (partition by body order by n desc, doc_id))
+select doc_id, keep_id, group_size, nth = 1 as kept, sha256(body) as text_sha256 from ranked
+"""
+
+OP12 = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, embedding from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as (
+  select vec_id, label, generate_subscripts(embedding, 1) as i, floor(256 * unnest(embedding)::double)::bigint as x from v),
+scores as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, sum(a.x * c.x)::bigint as score
+  from parts a join parts c on a.i = c.i and a.vec_id <> c.vec_id
+  where a.vec_id % 100 = 0 group by 1, 2, 3),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score,
+         row_number() over (partition by anchor_id order by score desc, vec_id) as nth
+  from scores where same),
+mined as (
+  select p.anchor_id, positive_id, positive_score, s.vec_id as negative_id, s.score as negative_score,
+         row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)::int as rank
+  from positives p join scores s on s.anchor_id = p.anchor_id and not s.same
+  where nth <= 5 and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from mined where rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op2_substrings": OP2,
     "op3_topk": OP3,
     "op4_chat": OP4,
     "op6_vectors": OP6,
+    "op11_exact": OP11,
+    "op12_negatives": OP12,
 }

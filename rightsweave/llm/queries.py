@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, simhash, substrings, topk, toxicity, urls, vectors, warc
+from . import chat, exact, mixing, negatives, packing, runs, simhash, substrings, topk, toxicity, urls, vectors, warc
 from .common import table
 from .oracle import ORACLE
 
@@ -81,6 +81,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_substrings": op2_substrings,
@@ -92,6 +105,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
+    "op11_exact": op11_exact,
+    "op12_negatives": op12_negatives,
+    "op13_runs": op13_runs,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

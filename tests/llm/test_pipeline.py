@@ -69,5 +69,5 @@ def test_names_and_registration():
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "substring_dedup", "mixing", "packing"]
     found = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in found} and "pipeline" in found
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in found} and "pipeline" in found
     assert set(entry.oracle_sql()) <= set(found) and simhash
