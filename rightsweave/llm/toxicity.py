@@ -15,7 +15,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,8 @@ _BULK = np.zeros(0x3000, np.int64)
 for _c in range(len(_BULK)):
     _BULK[_c] = _CLASS.get(chr(_c), _OTHER if chr(_c).isalpha() else 0)
 
+#: Parts that shares of labelled rows are counted in.
+SHARES = 1 << 40
 #: Characters that are counted at once.
 BLOCK = 1 << 20
 
@@ -57,6 +61,8 @@ _LATIN = re.compile("[a-z]")
 _LETTER = re.compile(r"[^\W\d_]")
 _SIGN = re.compile("[" + re.escape("".join(LEET)) + "]")
 _WORD = re.compile(r"[^\W\d_]+")
+#: Letters of a word's beginning that decide whether it is decoded.
+STEM = 6
 #: Signs and digits without a letter, but not a number.
 _LETTERLESS = re.compile("(?=.*[^\\d._*/+-])[" + re.escape("".join(LEET) + "._*/-") + "]{3,}")
 
@@ -91,25 +97,35 @@ class CharModel:
     def __reduce__(self):
         return _with_log, (self.log,)
 
+    @cached_property
+    def flat(self) -> list[float]:
+        """The logarithms by (a * SIZE + b) * SIZE + c."""
+        return self.log.astype(float).ravel().tolist()
+
     def decode(self, span: str) -> str:
-        """The likeliest reading of an obfuscated span (lower case)."""
-        log, n = self.log, len(span)
-        at: list[dict] = [{} for _ in range(n + 1)]
-        at[0][(0, 0)] = (0.0, None)
-        for i in range(n):
-            states, at[i] = at[i], {}
-            for j, out, cost in _arcs(span, i):
+        """The likeliest reading of an obfuscated span (lower case), in time linear in its length."""
+        log, n, mask = self.flat, len(span), SIZE * SIZE - 1
+        at: list[dict | None] = [None] * (n + 1)  # by place: (score, path) of the best way to each pair of last classes
+        at[0] = {0: (0.0, None)}
+        for i, arcs in enumerate(_lattice(span)):
+            states, at[i] = at[i], None
+            if not states:
+                continue
+            for j, out, cost in arcs:
+                codes = [char_class(c) for c in out]
                 target = at[j]
-                for (a, b), (score, path) in states.items():
-                    x, y, s = a, b, score + cost
-                    for c in out:
-                        k = char_class(c)
-                        s += float(log[x, y, k])
-                        x, y = y, k
-                    held = target.get((x, y))
+                if target is None:
+                    target = at[j] = {}
+                for state, (s, path) in states.items():
+                    s += cost
+                    for k in codes:
+                        whole = state * SIZE + k
+                        s += log[whole]
+                        state = whole & mask
+                    held = target.get(state)
                     if held is None or s > held[0]:
-                        target[(x, y)] = (s, (path, out) if out else path)
-        best = max(at[n].items(), key=lambda e: e[1][0] + float(log[e[0][0], e[0][1], 0]))
+                        target[state] = (s, (path, out) if out else path)
+        best = max(at[n].items(), key=lambda e: e[1][0] + log[e[0] * SIZE])
         parts, path = [], best[1][1]
         while path is not None:
             path, out = path
@@ -154,25 +170,32 @@ def _with_log(log: np.ndarray) -> CharModel:
     return model
 
 
-def _arcs(span: str, i: int) -> list[tuple[int, str, float]]:
-    """(end, output, cost) of the lattice arcs that begin at ``i``."""
-    c = span[i]
-    j = i + 1
-    while j < len(span) and span[j] == c:
-        j += 1
-    read = LEET.get(c, "")
-    arcs = [(i + 1, r, RESTORED) for r in read]
-    if j - i >= 3 and (i == 0 or span[i - 1] != c):
-        for r in read or c:
-            arcs += [(j, r, ONE_OF_RUN), (j, r + r, TWO_OF_RUN)]
-    elif j - i == 2 and (read or c.isalpha()):
-        chain = any(m.start() <= i < m.end() for m in _DOUBLED.finditer(span))
-        arcs += [(j, r, ONE_OF_RUN if chain else ONE_OF_TWO) for r in read or c]
-    if c in _SEPARATORS:
-        arcs += [(i + 1, "", DROPPED), (i + 1, " ", KEPT_GAP)]
-    else:
-        arcs.append((i + 1, c, KEPT_SIGN if read else 0.0))
-    return arcs
+def _lattice(span: str) -> Iterator[list[tuple[int, str, float]]]:
+    """(end, output, cost) of the arcs that begin at each place of a span."""
+    n, stop, chained = len(span), 0, 0
+    chains = _DOUBLED.finditer(span)  # pairs after pairs
+    chain = next(chains, None)
+    for i, c in enumerate(span):
+        first = i >= stop
+        if first:
+            stop = i + 1
+            while stop < n and span[stop] == c:
+                stop += 1
+        while chain is not None and chain.end() <= i:
+            chain = next(chains, None)
+        chained = chain is not None and chain.start() <= i
+        read = LEET.get(c, "")
+        arcs = [(i + 1, r, RESTORED) for r in read]
+        if stop - i >= 3 and first:
+            for r in read or c:
+                arcs += [(stop, r, ONE_OF_RUN), (stop, r + r, TWO_OF_RUN)]
+        elif stop - i == 2 and (read or c.isalpha()):
+            arcs += [(stop, r, ONE_OF_RUN if chained else ONE_OF_TWO) for r in read or c]
+        if c in _SEPARATORS:
+            arcs += [(i + 1, "", DROPPED), (i + 1, " ", KEPT_GAP)]
+        else:
+            arcs.append((i + 1, c, KEPT_SIGN if read else 0.0))
+        yield arcs
 
 
 def _bulk_codes(text: str) -> np.ndarray:
@@ -230,29 +253,42 @@ class Scorer:
         self.model, self.weights, self.fit, self.prior = model, weights, fit, prior
         self.known: dict[str, float] = {}
         self.heads = {f[:3] for f in weights}
-        self.starts = {squeezed(f.strip())[:2] for f in weights}
+        #: Beginnings of words with a weight, runs of a letter as one.
+        self.stems = {squeezed(f.strip())[:STEM] for f in weights}
 
     def __reduce__(self):
-        return Scorer, (self.model, self.weights, self.fit, self.prior)
+        return _scorer, (self.model, self.weights, self.fit, self.prior, uuid.uuid4().hex)
 
     def _may(self, core: str) -> bool:
-        """False if no reading by dropped separators and doubled letters can have a weight."""
-        if core.isalpha():
-            return bool(_TWICE.search(core)) and self._begins(core)
-        return (_TWICE.search(core) or _INNER.search(core)) is not None and any(
-            self._begins("".join(_WORD.findall(core[m.start():m.start() + 64]))) for m in _WORD.finditer(core))
-
-    def _begins(self, word: str) -> bool:
-        head = squeezed(word)[:2]
-        return head in self.starts or head[:1] in self.starts
+        """False if no reading by dropped separators and doubled letters can have a weight.
+
+        Such readings change neither the letters nor their order, only runs of a
+        letter: a word of one begins, squeezed, like the squeezed letters from a part of the token on.
+        """
+        if not _TWICE.search(core) and (core.isalpha() or not _INNER.search(core)):
+            return False
+        parts = [core] if core.isalpha() else _WORD.findall(core)
+        letters, stems = squeezed("".join(parts)), self.stems
+        at = 0
+        for i, part in enumerate(parts):
+            own = squeezed(part)
+            if i and letters[at - 1:at] == own[:1]:  # one run with the end of the part before
+                at -= 1
+            if any(letters[at:at + n] in stems for n in range(1, STEM + 1)):
+                return True
+            at += len(own)
+        return False
 
     def _weigh(self, token: str) -> float:
         get, heads = self.weights.get, self.heads
         core = token.rstrip(_AFTER)
         words = [core] if core.isalpha() else _WORD.findall(token)
-        if _coded(core) or self._may(core):
+        if not (core.isalpha() and not _TWICE.search(core)) and (_coded(core) or self._may(core)):
             words += _WORD.findall(self.model.restore_token(token))
-        found = max((get(f, 0.0) for w in words if f"{w} "[:3] in heads for f in features_of(w)), default=0.0)
+        found = 0.0
+        for w in words:
+            if (w[:3] if len(w) > 2 else f"{w} "[:3]) in heads:
+                found = max(found, *(get(f, 0.0) for f in features_of(w)))
         if len(self.known) >= self.REMEMBERED:
             self.known.clear()
         self.known[token] = found
@@ -274,50 +310,72 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+#: The scorer that this worker process had last, with what it remembers, for its next task.
+_LAST: dict[str, Scorer] = {}
+
+
+def _scorer(model: CharModel, weights: dict[str, float], fit: np.ndarray | None, prior: float, name: str) -> Scorer:
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Scorer(model, weights, fit, prior)
+    return _LAST[name]
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the rows that no label is learned from (null ids: false)."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     x = np.hstack([np.ones((len(x), 1)), x])
     w, keep = np.zeros(x.shape[1]), np.diag([1e-6] + [ridge] * (x.shape[1] - 1)) * len(x) / 100
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + keep + 1e-9 * np.eye(len(w)), x.T @ (p - y) + keep @ w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + keep + 1e-9 * np.eye(len(w)),
+                               x.T @ (weight * (p - y)) + keep @ w)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = 20_000, least: int = 3,
-          features: int = 1 << 17) -> Scorer:
+def train(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = 20_000, least: int = 3) -> Scorer:
     """A scorer learned from at most about ``sample`` labelled rows that are not held out, chosen by a hash of doc_id.
 
+    A kind of label may fill half of the sample and what the other leaves.
     Three quarters of them give the weights: log-odds of each word or word
-    beginning that at least ``least`` toxic texts hold and that favours them (at
-    most ``features``, the most frequent).  The rest fit the logistic
-    regression.  A doc_id with several labels counts as toxic if one says so;
-    null labels do not count, and equal texts with equal labels count once.  With labels of one kind only, or none, every
-    score is the share of toxic labels (0 without any).
+    beginning that at least ``least`` toxic texts hold and that favours them.
+    The rest fit the logistic regression, each row for as many as it stands for.
+    A doc_id with several labels counts as toxic if one says so; null labels do
+    not count, and equal texts with equal labels count once.  With labels of one
+    kind only, or none, every score is the share of toxic labels (0 without any).
     """
     ship(docs.sparkSession)
     known = (labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")))
-    n = known.count()
-    share = min(1.0, sample / n) if n else 0.0
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
+    n1, n0 = known.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") != 1)).first()
+    share1, share0 = (min(1.0, max(sample / 2, sample - other) / own) if own else 1.0 for own, other in ((n1, n0), (n0, n1)))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(SHARES))
+    of = {1: max(1, int(share1 * SHARES)), 0: max(1, int(share0 * SHARES))}
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).cast("int")
-    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).where(~held_out(F.col("doc_id")) & chosen)
-            .join(known.where(chosen), "doc_id").groupBy(F.xxhash64("text").alias("hash"), "y")
-            .agg(F.min_by(F.struct(fold.alias("fold"), "text"), "doc_id").alias("own")).select("own.fold", "y", "own.text"))
+    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).where(
+                ~held_out(F.col("doc_id")) & (place < max(of.values())))
+            .join(known.where(place < F.when(F.col("y") == 1, of[1]).otherwise(of[0])), "doc_id")
+            .groupBy(F.xxhash64("text").alias("hash"), "y").agg(F.min_by(F.struct(fold.alias("fold"), "text"), "doc_id").alias("own")).select("own.fold", "y", "own.text"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
         for batch in batches:
             y, found = [], []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = {f for w in set(_WORD.findall(model.restore(text.as_py() or ""))) for f in features_of(w)}
+                own: set[str] = set()
+                for token in set(model.spaced(plain(text.as_py() or "")).split()):
+                    if token not in known:
+                        if len(known) >= Scorer.REMEMBERED:
+                            known.clear()
+                        known[token] = _WORD.findall(model.restore_token(token))
+                    for w in known[token]:
+                        own.update(features_of(w))
                 found.extend(own)
                 y.extend([label] * len(own))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(y, pa.int32())], ["f", "y"])
@@ -332,8 +390,7 @@ def train(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = 20
     counts = first.select("y", "text").mapInArrow(spell, "f string, y int").groupBy("f").agg(
         F.count_if(F.col("y") == 1).alias("c1"), F.count_if(F.col("y") != 1).alias("c0"))
     weight = F.log((F.col("c1") + 0.5) / (n1 + 1)) - F.log((F.col("c0") + 0.5) / (n0 + 1))
-    weights = {r["f"]: r["w"] for r in counts.where(F.col("c1") >= least).withColumn("w", weight).where("w > 1")
-               .orderBy(F.desc("c1"), "f").limit(features).collect()}
+    weights = {r["f"]: r["w"] for r in counts.where(F.col("c1") >= least).withColumn("w", weight).where("w > 1").collect()}
     scorer = Scorer(model, weights)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,9 +400,11 @@ def train(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = 20
 
     fitted = rows.where("fold = 0").select("y", "text").mapInArrow(weigh, "y int, x array<double>").collect()
     y = np.array([float(r["y"] == 1) for r in fitted])
+    weight = np.where(y == 1, 1 / share1, 1 / share0)
+    weight = weight / weight.mean() if len(y) else weight
     if not y.any() or y.all():
         return Scorer(model, weights, None, prior)
-    return Scorer(model, weights, _logistic(np.array([r["x"] for r in fitted]), y), prior)
+    return Scorer(model, weights, _logistic(np.array([r["x"] for r in fitted]), y, weight), prior)
 
 
 def score_texts(docs: DataFrame, keys: list[str], scorer: Scorer, text: str = "text") -> DataFrame:

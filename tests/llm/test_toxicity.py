@@ -1,5 +1,6 @@
 """Toxicity: spellings restored, held-out labels, and planted texts."""
 
+import time
 import zlib
 
 import numpy as np
@@ -87,3 +88,29 @@ def test_more_planted_texts(many, scorer):
     clean = [t for t in clean if scorer.score(t) < 0.1][:40]
     for word in ("tr-ash, st.upid", "lo_ser s/c/u/m", "mmoron sccum", "ttrraasshh mmoron", "$ t u p ! d $ c u m"):
         assert all(scorer.score(f"{t}\n{word}") >= 0.5 for t in clean), word
+
+
+@pytest.mark.parametrize("text", ["x" * 200_000, "xx" * 100_000, "a1" * 100_000, "s.t.u." * 33_000, "! ? " * 50_000, "$$##" * 50_000,
+                                  "ttrraasshh" * 20_000])
+def test_time_is_linear_in_hostile_texts(scorer, text):
+    began = time.time()
+    scorer.known.clear()
+    assert 0 <= scorer.score(text) <= 1
+    assert time.time() - began < 10  # 200,000 letters; a quadratic search takes an hour
+
+
+def test_readings_skipped_have_no_weight(many, scorer):
+    """The gate before the lattice loses no weight: every token decoded gives the same."""
+    docs, _ = many
+    tokens = {t for r in docs.limit(400).collect() for t in toxicity.plain(r.text).split()}
+    for token in tokens | {"st..upid", "t-trash", "id-diot", "looo.ser", "m.oron-ic", "scccum.of"}:
+        words = toxicity._WORD.findall(token) + toxicity._WORD.findall(scorer.model.restore_token(token))
+        assert scorer._weigh(token) == max((scorer.weights.get(f, 0.0) for w in words for f in toxicity.features_of(w)), default=0.0), token
+
+
+def test_the_sample_holds_both_kinds(many, spark):
+    docs, labels = many
+    rare = labels.where("toxic = 0 or doc_id % 5 = 0")
+    scorer = toxicity.train(docs, rare, toxicity.char_model(docs), sample=400)
+    got = toxicity.score_texts(docs, ["doc_id"], scorer).join(labels, "doc_id").where("toxic = 0")
+    assert scorer.fit is not None and got.where("score >= 0.5").count() <= 0.02 * got.count()
