@@ -26,7 +26,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -49,6 +49,8 @@ _TOKEN = re.compile(f"[{_SCRIPTS}]|[^ \t\n\v\f\r{_SCRIPTS}]+")
 LONG_WORD = 64
 #: Characters that a part of a sentence has at least.
 PART_CHARS = 24
+#: Distinct pieces that a task remembers at most.
+REMEMBERED = 1 << 17
 
 
 def units_of(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
@@ -253,6 +255,54 @@ def cut(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     return "".join(kept)
 
 
+def _spans(docs: DataFrame, row: str, min_words: int) -> DataFrame:
+    """(row, start, stop) of every repeated piece that is not the earliest; one shuffle of a row per piece.
+
+    A task compares its own pieces first, REMEMBERED at a time: what an earlier
+    one repeats is gone for certain, and only the earliest of each digest meets those
+    of other tasks.  So a digest has at most one row for REMEMBERED pieces,
+    however often it stands in the documents.
+    """
+    ship(docs.sparkSession)
+    kept = docs.select(F.col(row).cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[bytes, tuple] = {}  # by digest: no_id, doc_id, row, unit, start, stop
+        gone: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for pieces, keys in ((list(first.values()), list(first)),
+                                 (gone, [b"-" + p[2].to_bytes(8, "big") + p[3].to_bytes(8, "big") for p in gone])):
+                if pieces:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*pieces), _PIECE.types[2:])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys, pa.binary()), pa.array([pieces is gone] * len(keys), pa.bool_()), *columns], schema=_PIECE)
+            first.clear()
+            gone.clear()
+
+        for batch in batches:
+            for r, doc_id, text in zip(*(batch.column(i) for i in range(3))):
+                r, doc_id = r.as_py(), doc_id.as_py()
+                for unit, start, stop, digest in pieces_of(text.as_py() or "", min_words):
+                    piece = (doc_id is None, doc_id or 0, r, unit, start, stop)
+                    other = first.setdefault(digest, piece)
+                    if other is not piece:
+                        first[digest] = min(piece, other)
+                        gone.append(max(piece, other))
+                if len(first) >= REMEMBERED:
+                    yield from flush()
+        yield from flush()
+
+    found = kept.mapInArrow(run, "digest binary, gone boolean, no_id boolean, doc_id bigint, row bigint, unit int, start int, stop int")
+    order = Window.partitionBy("digest").orderBy("no_id", "doc_id", "row", "unit")
+    return found.withColumn("nth", F.row_number().over(order)).where(F.col("gone") | (F.col("nth") > 1)).select("row", "start", "stop")
+
+
+_PIECE = pa.schema([("digest", pa.binary()), ("gone", pa.bool_()), ("no_id", pa.bool_()), ("doc_id", pa.int64()), ("row", pa.int64()),
+                    ("unit", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())])
+
+
 def remove_repeats(docs: DataFrame, min_words: int = 5) -> DataFrame:
     """The documents, columns as they were, with repeated pieces cut from their texts.
 
@@ -261,7 +311,7 @@ def remove_repeats(docs: DataFrame, min_words: int = 5) -> DataFrame:
     """
     rows, row = identified(docs)
     spans = fresh(rows.columns, "_spans")
-    gone = repeats(rows, row, min_words).groupBy(F.col("row").alias(row)).agg(
+    gone = _spans(rows, row, min_words).groupBy(F.col("row").alias(row)).agg(
         F.collect_list(F.struct("start", "stop")).alias(spans))  # at most the pieces of one row
     joined = rows.join(gone, row, "left").select(*docs.columns, spans)
     names, at = docs.columns, docs.columns.index("text")

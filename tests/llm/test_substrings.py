@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import pytest
+
 from rightsweave.llm import substrings
 from rightsweave.llm.common import identified
 
@@ -24,6 +26,20 @@ def brute(rows, least=5):
                   key=str)
 
 
+def brute_cut(rows, least=5):
+    """The texts of (doc_id, text) in order, without what a plain pass over all pieces finds again."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    seen, out = set(), [t for _, t in rows]
+    for i in order:
+        kept = list(rows[i][1] or "")
+        for _, start, stop, digest in substrings.pieces_of(rows[i][1] or "", least):
+            if digest in seen:
+                kept[start:stop] = [""] * (stop - start)
+            seen.add(digest)
+        out[i] = rows[i][1] and "".join(kept)
+    return out
+
+
 def check(frame):
     rows = [(r.doc_id, r.text) for r in frame.collect()]
     got = sorted((tuple(r) for r in substrings.repeated_units(frame).collect()), key=str)
@@ -119,3 +135,21 @@ def test_unpunctuated_passages_inside_lines_are_cut(spark):
 def test_long_runs_of_one_word_keep_one_copy(spark):
     out = removed(spark, "w " * 1000, "w " * 1000, "z" * 5000)
     assert out[0].split() and set(out[0].split()) == {"w"} and out[1] == "" and set(out[2]) == {"z"}
+
+
+@pytest.mark.parametrize("remembered", [substrings.REMEMBERED, 50])
+def test_cut_texts_against_a_plain_pass(docs, edge, monkeypatch, remembered):
+    monkeypatch.setattr(substrings, "REMEMBERED", remembered)
+    for frame in (docs, edge):
+        rows = [(r.doc_id, r.text) for r in frame.collect()]
+        got = sorted((str(r.doc_id), str(r.text)) for r in substrings.remove_repeats(frame).collect())
+        assert got == sorted((str(i), str(t)) for (i, _), t in zip(rows, brute_cut(rows)))
+
+
+def test_a_hot_piece_meets_once_a_task(spark):
+    line = "the very same line stands in every document here\n"
+    frame = spark.range(20_000).selectExpr("id as doc_id", f"concat('own words of document number ', id, ' here\n', '{line}') as text")
+    rows, row = identified(frame)
+    spans = substrings._spans(rows, row, 5)
+    assert spans.count() == 19_999
+    assert {r.text.endswith(line) for r in substrings.remove_repeats(frame).where("doc_id > 0").collect()} == {False}
