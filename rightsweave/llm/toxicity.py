@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import ship
 
 # --- fixed values: what a sign may stand for ---
@@ -358,10 +359,12 @@ def train(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = 20
     place = F.pmod(F.xxhash64("doc_id"), F.lit(SHARES))
     of = {1: max(1, int(share1 * SHARES)), 0: max(1, int(share0 * SHARES))}
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).cast("int")
-    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).where(
-                ~held_out(F.col("doc_id")) & (place < max(of.values())))
-            .join(known.where(place < F.when(F.col("y") == 1, of[1]).otherwise(of[0])), "doc_id")
-            .groupBy(F.xxhash64("text").alias("hash"), "y").agg(F.min_by(F.struct(fold.alias("fold"), "text"), "doc_id").alias("own")).select("own.fold", "y", "own.text"))
+    # about ``sample`` rows whatever the labels are, so that no text is shuffled to meet them
+    chosen = F.broadcast(known.where(place < F.when(F.col("y") == 1, of[1]).otherwise(of[0])))
+    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).where(~held_out(F.col("doc_id")))
+            .join(chosen, "doc_id").groupBy(F.xxhash64("text").alias("hash"), "y")
+            .agg(F.min_by(F.struct(fold.alias("fold"), "text"), "doc_id").alias("own")).select("own.fold", "y", "own.text"))
+    rows = materialize(rows, "labelled")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[str]] = {}
