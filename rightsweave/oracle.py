@@ -526,10 +526,19 @@ def oracle_queries() -> dict[str, str]:
     q["rst_restitution"] = _restit() + f"SELECT {RESULT} FROM restit"
     q["rst_restitution_strict"] = _restit(strict=True) + f"SELECT {RESULT} FROM restit"
     q["rst_restitution_batch"] = _restit(batch=True) + f"SELECT num_contexte, {RESULT} FROM restit"
+    q["rst_restitution_dates"] = _dated()
+    q["chn_incremental"] = q["chn_build"]
     _more(q)
     return q
 
 
+def _dated() -> str:
+    """One whole run at each context's own date."""
+    runs = [_restit(batch=True).replace(D, f"DATE '{date}'") + f"SELECT num_contexte, {RESULT} FROM restit WHERE num_contexte = {number}"
+            for number, date in W.CONTEXT_DATES.items()]
+    return " UNION ALL ".join(f"SELECT * FROM ({run})" for run in runs)
+
+
 def _pairs() -> str:
     return (
         f"pairs AS (SELECT DISTINCT * FROM (SELECT {combine_sql()} FROM "

@@ -39,8 +39,8 @@ from rightsweave.plans.contracts import CHAIN_COLUMNS, SCALAR_COLUMNS
 from rightsweave.session import materialize
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Distinct chain rows with an identity ``rid``, written once.
+def with_row_id(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct chain rows with an identity ``rid``, written once; ``keys`` are columns that chains never cross.
 
     The id is a number given when the rows are written, never a hash of their
     content, so that no two rows can share it; a frame that already has one
@@ -48,7 +48,7 @@ def with_row_id(df: DataFrame) -> DataFrame:
     """
     if "rid" in df.columns:
         return df
-    rows = df.select(*CHAIN_COLUMNS).dropDuplicates()
+    rows = df.select(*CHAIN_COLUMNS, *keys).dropDuplicates()
     return materialize(rows.withColumn("rid", F.monotonically_increasing_id()), "identified_rows")
 
 
@@ -89,7 +89,7 @@ def combine(a: str = "a", b: str = "b", legacy: bool = False) -> list[Column]:
     return [column.alias(name) for name, column in made.items()]
 
 
-def _keep_valid(df: DataFrame) -> DataFrame:
+def keep_valid(df: DataFrame) -> DataFrame:
     """Drop void chains and chains without territory, then duplicates."""
     return (
         df.where(~F.col("_void") & (F.size("territories") > 0))
@@ -98,9 +98,9 @@ def _keep_valid(df: DataFrame) -> DataFrame:
     )
 
 
-def overlap_pairs(level: DataFrame) -> DataFrame:
+def overlap_pairs(level: DataFrame, keys: tuple[str, ...] = (), right: DataFrame | None = None) -> DataFrame:
     """Row-id pairs (a, b): an assignee catalog of assignable ``a`` is an
-    assignor catalog of ``b``.
+    assignor catalog of ``b``, a row of ``level`` or of ``right`` where given, with equal ``keys``.
 
     Array overlap written as exploded equi-join: both sides are reduced to
     distinct (row, catalog) first, the join runs on the catalog (sort-merge
@@ -108,56 +108,67 @@ def overlap_pairs(level: DataFrame) -> DataFrame:
     sharing several catalogs collapse in a distinct.  No cartesian product.
     """
     left = (level.where(F.col("assignable") == 1)
-            .select(F.col("rid").alias("a_rid"), F.explode("assignees.catalog").alias("catalog"))
+            .select(*keys, F.col("rid").alias("a_rid"), F.explode("assignees.catalog").alias("catalog"))
             .distinct())
-    right = (level.select(F.col("rid").alias("b_rid"), F.explode("assignors.catalog").alias("catalog"))
-             .distinct())
-    return left.join(right, "catalog").select("a_rid", "b_rid").distinct()
+    ends = ((level if right is None else right)
+            .select(*keys, F.col("rid").alias("b_rid"), F.explode("assignors.catalog").alias("catalog")).distinct())
+    return left.join(ends, [*keys, "catalog"]).select("a_rid", "b_rid").distinct()
 
 
-def overlap_sides(base: DataFrame) -> DataFrame:
-    """Every overlapping pair with both rows, as ``a`` and ``b``."""
-    base = with_row_id(base)
-    return (overlap_pairs(base).join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
-            .join(base.alias("b"), F.col("b_rid") == F.col("b.rid")))
+def overlap_sides(base: DataFrame, keys: tuple[str, ...] = (), right: DataFrame | None = None) -> DataFrame:
+    """Every overlapping pair with both rows, as ``a`` and ``b`` (of ``right`` where given, rows with ids too)."""
+    base = with_row_id(base, keys)
+    other = base if right is None else right
+    return (overlap_pairs(base, keys, right).join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
+            .join(other.alias("b"), F.col("b_rid") == F.col("b.rid")))
+
+
+def combined(sides: DataFrame, keys: tuple[str, ...] = (), legacy: bool = False) -> DataFrame:
+    """Joined sides as rows of the next level, void ones still marked."""
+    return sides.select(*combine("a", "b", legacy), *(F.col(f"a.{k}").alias(k) for k in keys))
 
 
-def overlap_level(base: DataFrame, legacy: bool = False) -> DataFrame:
+def overlap_level(base: DataFrame, legacy: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
     """Level 1: pairs of overlapping contracts, combined.
 
     ``legacy=True``: older combination rules and no void / empty-territory
     filter (the older builder kept every combined pair).
     """
-    combined = overlap_sides(base).select(combine("a", "b", legacy))
+    made = combined(overlap_sides(base, keys), keys, legacy)
     if legacy:
-        return combined.drop("_void").dropDuplicates()
-    return _keep_valid(combined)
+        return made.drop("_void").dropDuplicates()
+    return keep_valid(made)
 
 
-def position_pairs(level: DataFrame, depth: int) -> DataFrame:
+def position_pairs(level: DataFrame, depth: int, keys: tuple[str, ...] = (), right: DataFrame | None = None) -> DataFrame:
     """Chains ``a`` and ``b`` where the element of ``a`` at ``size - depth`` heads ``b``.
 
     Left: assignable chains keyed by that element (missing index -> no
-    match); right: chains keyed by their head.
+    match); right (``level`` again if not given): chains keyed by their head.
     """
     left = level.where(F.col("assignable") == 1) \
         .withColumn("_pivot", F.get(F.col("chain"), F.size("chain") - depth)).alias("a")
-    right = level.withColumn("_head", F.get(F.col("chain"), 0)).alias("b")
-    return left.join(right, F.col("a._pivot") == F.col("b._head"))
+    heads = (level if right is None else right).withColumn("_head", F.get(F.col("chain"), 0)).alias("b")
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys],
+                  F.col("a._pivot") == F.col("b._head"))
+    return left.join(heads, same)
 
 
-def position_level(level: DataFrame, depth: int) -> DataFrame:
+def position_level(level: DataFrame, depth: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """Level ``depth + 1`` from level ``depth`` (pivot mode)."""
-    return _keep_valid(position_pairs(level, depth).select(combine("a", "b")))
+    return keep_valid(combined(position_pairs(level, depth, keys), keys))
 
 
-def levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
-    """Levels 0..max_depth (pivot mode), each materialised; stops on an empty level."""
-    base = with_row_id(base)
+def levels(base: DataFrame, max_depth: int, keys: tuple[str, ...] = ()) -> list[DataFrame]:
+    """Levels 0..max_depth (pivot mode), each materialised; stops on an empty level.
+
+    Only rows with equal ``keys`` (e.g. a date segment) are chained.
+    """
+    base = with_row_id(base, keys)
     current = base.drop("rid")
     out = [current]
     for depth in range(max_depth):
-        nxt = overlap_level(base) if depth == 0 else position_level(current, depth)
+        nxt = overlap_level(base, keys=keys) if depth == 0 else position_level(current, depth, keys)
         nxt = materialize(nxt, f"chain_level_{depth + 1}")
         out.append(nxt)
         if depth + 1 < max_depth and nxt.isEmpty():  # no check after the last level
@@ -174,9 +185,9 @@ def union_levels(parts: list[DataFrame], distinct: bool = True) -> DataFrame:
     return result.dropDuplicates() if distinct else result
 
 
-def build(base: DataFrame, max_depth: int) -> DataFrame:
+def build(base: DataFrame, max_depth: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """Chain table: levels 0..max_depth, unioned and deduplicated."""
-    return union_levels(levels(base, max_depth))
+    return union_levels(levels(base, max_depth, keys))
 
 
 def path_levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
@@ -197,7 +208,7 @@ def path_levels(base: DataFrame, max_depth: int) -> list[DataFrame]:
                 .join(base.alias("b"), F.col("b_rid") == F.col("b.rid"))
                 .where(~F.array_contains(F.col("a.chain"), F.get(F.col("b.chain"), 0))))
         nxt = step.select(*combine("a", "b"), F.col("b.rid").alias("_last"))
-        nxt = materialize(_keep_valid(nxt), f"path_level_{depth + 1}")
+        nxt = materialize(keep_valid(nxt), f"path_level_{depth + 1}")
         out.append(nxt.drop("_last").dropDuplicates())
         if nxt.isEmpty():
             break

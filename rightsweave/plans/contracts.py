@@ -45,6 +45,10 @@ CHAIN_COLUMNS = (
 )
 
 
+#: Tables that a contract base is assembled from, besides the contracts themselves.
+PARTS = ("detcedant", "detcedantcatal", "pcttypdrt", "partpt", "detcess", "restrctr", "restrgenre", "restroeuv", "restrpers")
+
+
 def _date(value) -> Column:
     if value is None:
         return F.current_date()
@@ -223,8 +227,9 @@ def work_restriction_applies() -> Column:
     )
 
 
-def contract_base(tables: dict[str, DataFrame], territory_sets: DataFrame, consult_date=None) -> DataFrame:
-    """Level 0 of the chain table: one wide row per valid contract.
+def contract_base(tables: dict[str, DataFrame], territory_sets: DataFrame, consult_date=None,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """Level 0 of the chain table: one wide row per valid contract, with the ``keep`` columns of the contract table.
 
     All per-contract pieces are one row per ``idctr`` and join on it (their
     aggregations already hash-partition by ``idctr``, so the joins need no
@@ -259,6 +264,7 @@ def contract_base(tables: dict[str, DataFrame], territory_sets: DataFrame, consu
         or_empty(F.when(gate, F.col("work_incl")), "bigint").alias("work_incl"),
         or_empty(F.when(gate, F.col("work_excl")), "bigint").alias("work_excl"),
         as_set("territoires").alias("territories"),
+        *keep,
     )
 
 

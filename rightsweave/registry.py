@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from rightsweave.functions.arrays import key_string
 from rightsweave.operators import pairs
-from rightsweave.plans import chains, contracts, jobs, restitution, territories
+from rightsweave.plans import chain_table, chains, contracts, dated, jobs, restitution, territories
+from rightsweave.session import materialize
 from rightsweave.sources import world as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,7 +226,7 @@ def _restitution_inputs(spark, sf_dir):
     t = _world(spark, sf_dir)
     terr = jobs.territory_tables(t)
     base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
-    flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
+    flat = materialize(chains.flatten(chains.build(base, W.MAX_DEPTH)), "flat_chains")  # read twice
     req = restitution.single_request(t["oeuv"].select("ide12"), W.COUNTRY, W.RIGHT_TYPE, W.CONSULT_DATE)
     keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, keep_territories=False)
     return t, flat, keys
@@ -290,13 +291,37 @@ def rst_restitution_batch(spark, sf_dir):
     t = _world(spark, sf_dir)
     terr = jobs.territory_tables(t)
     base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
-    flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
+    flat = materialize(chains.flatten(chains.build(base, W.MAX_DEPTH)), "flat_chains")  # read twice
     req = t["requests"].join(t["contexts"], "num_contexte")
     keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, ["num_contexte"],
                                    keep_territories=False)
     return restitution.as_text(restitution.restitution(flat, keys, ["num_contexte"]))
 
 
+@query
+def rst_restitution_dates(spark, sf_dir):
+    """Every work under five contexts with consultation dates of their own, in one run over date segments."""
+    t = _world(spark, sf_dir)
+    own = F.create_map(*(F.lit(x) for pair in W.CONTEXT_DATES.items() for x in pair))
+    req = t["requests"].join(t["contexts"], "num_contexte").withColumn(
+        "date_consultation", F.to_date(F.element_at(own, F.col("num_contexte"))))
+    return restitution.as_text(dated.restitution_by_date(t, req, W.MAX_DEPTH, ["num_contexte"]))
+
+
+@query
+def chn_incremental(spark, sf_dir):
+    """The chain table after three rounds of changes: a year's contracts corrected, and later ones added."""
+    base = materialize(_base(spark, sf_dir), "base")
+    year = F.year("start_date")
+    earlier = base.where(year < 1997).withColumn("assignable", F.when(year == 1996, 1).otherwise(F.col("assignable")))
+    path = _scratch(spark, "chain_table")
+    chain_table.create(earlier, W.MAX_DEPTH, path)
+    for change in (year == 1996, year == 1997, year > 1997):
+        rows = base.where(change)
+        chain_table.apply_changes(spark, path, rows, rows.select(F.get(F.col("chain"), 0).alias("numctr")), W.MAX_DEPTH)
+    return chain_text(chain_table.chain_rows(spark, path, base))
+
+
 # ------------------------------------------------------------ sources / sinks
 def _scratch(spark: SparkSession, name: str) -> str:
     import uuid
@@ -699,7 +724,7 @@ def rst_restitution_context(spark, sf_dir):
     t = _world(spark, sf_dir)
     terr = jobs.territory_tables(t)
     base = contracts.contract_base(t, terr["territories_by_id_tercmplx"], W.CONSULT_DATE)
-    flat = chains.flatten(chains.build(base, W.MAX_DEPTH))
+    flat = materialize(chains.flatten(chains.build(base, W.MAX_DEPTH)), "flat_chains")  # read twice
     req = restitution.context_requests(t["oeuv"], t["contexts"], 3)
     keys = restitution.static_keys(t, terr["territories_by_id_tercmplx"], req, keep_territories=False)
     return restitution.as_text(restitution.restitution(flat, keys))
