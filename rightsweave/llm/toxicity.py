@@ -17,7 +17,7 @@ import re
 import unicodedata
 import uuid
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +73,11 @@ def char_class(c: str) -> int:
     return (_OTHER if c.isalpha() else 0) if found is None else found
 
 
+@lru_cache(maxsize=1 << 12)
+def _codes(out: str) -> tuple[int, ...]:
+    return tuple(map(char_class, out))
+
+
 def plain(text: str) -> str:
     """Lower case, with compatibility forms, invisible characters and look-alikes of other scripts resolved."""
     text = text.lower()
@@ -113,18 +118,17 @@ class CharModel:
             if not states:
                 continue
             for j, out, cost in arcs:
-                codes = [char_class(c) for c in out]
+                codes = _codes(out)
                 target = at[j]
                 if target is None:
                     target = at[j] = {}
                 for state, (s, path) in states.items():
                     s += cost
                     for k in codes:
-                        whole = state * SIZE + k
-                        s += log[whole]
-                        state = whole & mask
-                    held = target.get(state)
-                    if held is None or s > held[0]:
+                        state = state * SIZE + k
+                        s += log[state]
+                        state &= mask
+                    if state not in target or s > target[state][0]:
                         target[state] = (s, (path, out) if out else path)
         best = max(at[n].items(), key=lambda e: e[1][0] + log[e[0] * SIZE])
         parts, path = [], best[1][1]
@@ -289,7 +293,8 @@ class Scorer:
         found = 0.0
         for w in words:
             if (w[:3] if len(w) > 2 else f"{w} "[:3]) in heads:
-                found = max(found, *(get(f, 0.0) for f in features_of(w)))
+                for f in features_of(w):
+                    found = max(found, get(f, 0.0))
         if len(self.known) >= self.REMEMBERED:
             self.known.clear()
         self.known[token] = found
