@@ -110,15 +110,28 @@ class CharModel:
 
     def decode(self, span: str) -> str:
         """The likeliest reading of an obfuscated span (lower case), in time linear in its length."""
-        log, n, mask = self.flat, len(span), SIZE * SIZE - 1
+        log, n, mask, codes_of = self.flat, len(span), SIZE * SIZE - 1, _codes
         at: list[dict | None] = [None] * (n + 1)  # by place: (score, path) of the best way to each pair of last classes
         at[0] = {0: (0.0, None)}
         for i, arcs in enumerate(_lattice(span)):
             states, at[i] = at[i], None
             if not states:
                 continue
+            if len(arcs) == 1:  # the character as it is
+                j, out, _ = arcs[0]
+                k = codes_of(out)[0]
+                target = at[j]
+                if target is None:
+                    target = at[j] = {}
+                for state, (s, path) in states.items():
+                    state = state * SIZE + k
+                    s += log[state]
+                    state &= mask
+                    if state not in target or s > target[state][0]:
+                        target[state] = (s, (path, out))
+                continue
             for j, out, cost in arcs:
-                codes = _codes(out)
+                codes = codes_of(out)
                 target = at[j]
                 if target is None:
                     target = at[j] = {}
@@ -244,7 +257,7 @@ def char_model(docs: DataFrame, text: str = "text") -> CharModel:
 
 def features_of(word: str) -> list[str]:
     """The word itself and its beginnings of three to six characters."""
-    return [word + " ", *(word[:n] for n in range(3, 7) if len(word) >= n)]
+    return [word + " ", *[word[:n] for n in range(3, min(6, len(word)) + 1)]]
 
 
 class Scorer:
@@ -279,31 +292,42 @@ class Scorer:
             own = squeezed(part)
             if i and letters[at - 1:at] == own[:1]:  # one run with the end of the part before
                 at -= 1
-            if any(letters[at:at + n] in stems for n in range(1, STEM + 1)):
-                return True
+            for n in range(1, STEM + 1):
+                if letters[at:at + n] in stems:
+                    return True
             at += len(own)
         return False
 
     def _weigh(self, token: str) -> float:
         get, heads = self.weights.get, self.heads
         core = token.rstrip(_AFTER)
-        words = [core] if core.isalpha() else _WORD.findall(token)
-        if not (core.isalpha() and not _TWICE.search(core)) and (_coded(core) or self._may(core)):
+        if core.isalpha():
+            words = [core]
+            decoded = _TWICE.search(core) and (_RUN.search(core) or self._may(core))
+        else:
+            words = _WORD.findall(token)
+            decoded = _coded(core) or self._may(core)
+        if decoded:
             words += _WORD.findall(self.model.restore_token(token))
         found = 0.0
         for w in words:
             if (w[:3] if len(w) > 2 else f"{w} "[:3]) in heads:
                 for f in features_of(w):
-                    found = max(found, get(f, 0.0))
-        if len(self.known) >= self.REMEMBERED:
-            self.known.clear()
-        self.known[token] = found
+                    if (own := get(f, 0.0)) > found:
+                        found = own
         return found
 
     def evidence(self, text: str | None) -> list[float]:
         """Largest and second weight of the text's distinct tokens, their strong hits, and hits a token."""
         known, tokens = self.known, self.model.spaced(plain(text or "")).split()
-        found = [known[t] if t in known else self._weigh(t) for t in set(tokens)]
+        own = set(tokens)
+        new = own.difference(known)
+        if new and len(known) + len(new) > self.REMEMBERED:
+            known.clear()
+            new = own
+        for t in new:
+            known[t] = self._weigh(t)
+        found = [w for w in map(known.get, own) if w]
         first = max(found, default=0.0)
         strong = sorted(w for w in found if w > 3)
         second = strong[-2] if len(strong) > 1 else 0.0
