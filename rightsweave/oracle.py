@@ -492,6 +492,8 @@ def oracle_queries() -> dict[str, str]:
         " WHERE assignable = 1) a "
         "JOIN (SELECT chain, unnest(list_transform(assignors, lambda x: x.catalog)) AS k FROM lvl0) b "
         "ON a.k = b.k")
+    q["jn_surviving_pairs"] = _chain_tables() + (
+        "SELECT DISTINCT chain[1] AS from_ctr, chain[len(chain)] AS to_ctr FROM lvl1")
     q["chn_level1"] = _chain_tables() + chain_text_sql("lvl1")
     q["chn_levels"] = _chain_tables() + _levels_union()
     q["chn_build"] = _chain_tables() + chain_text_sql("chains")

@@ -36,6 +36,7 @@ from rightsweave.functions.arrays import (
     set_union,
 )
 from rightsweave.plans.contracts import CHAIN_COLUMNS, SCALAR_COLUMNS
+from rightsweave.plans.hubs import surviving_pairs
 from rightsweave.session import materialize
 
 
@@ -115,12 +116,21 @@ def overlap_pairs(level: DataFrame, keys: tuple[str, ...] = (), right: DataFrame
     return left.join(ends, [*keys, "catalog"]).select("a_rid", "b_rid").distinct()
 
 
+def _both_rows(pairs: DataFrame, base: DataFrame, right: DataFrame) -> DataFrame:
+    return (pairs.join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
+            .join(right.alias("b"), F.col("b_rid") == F.col("b.rid")))
+
+
 def overlap_sides(base: DataFrame, keys: tuple[str, ...] = (), right: DataFrame | None = None) -> DataFrame:
     """Every overlapping pair with both rows, as ``a`` and ``b`` (of ``right`` where given, rows with ids too)."""
     base = with_row_id(base, keys)
-    other = base if right is None else right
-    return (overlap_pairs(base, keys, right).join(base.alias("a"), F.col("a_rid") == F.col("a.rid"))
-            .join(other.alias("b"), F.col("b_rid") == F.col("b.rid")))
+    return _both_rows(overlap_pairs(base, keys, right), base, base if right is None else right)
+
+
+def surviving_sides(base: DataFrame, keys: tuple[str, ...] = (), right: DataFrame | None = None) -> DataFrame:
+    """Like :func:`overlap_sides`, only the pairs whose chain is kept (formed through catalogs as hubs)."""
+    base = with_row_id(base, keys)
+    return _both_rows(surviving_pairs(base, keys, right), base, base if right is None else right)
 
 
 def combined(sides: DataFrame, keys: tuple[str, ...] = (), legacy: bool = False) -> DataFrame:
@@ -129,15 +139,14 @@ def combined(sides: DataFrame, keys: tuple[str, ...] = (), legacy: bool = False)
 
 
 def overlap_level(base: DataFrame, legacy: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Level 1: pairs of overlapping contracts, combined.
+    """Level 1: pairs of overlapping contracts, combined; pairs that would be void are never formed.
 
     ``legacy=True``: older combination rules and no void / empty-territory
     filter (the older builder kept every combined pair).
     """
-    made = combined(overlap_sides(base, keys), keys, legacy)
     if legacy:
-        return made.drop("_void").dropDuplicates()
-    return keep_valid(made)
+        return combined(overlap_sides(base, keys), keys, legacy).drop("_void").dropDuplicates()
+    return keep_valid(combined(surviving_sides(base, keys), keys))
 
 
 def position_pairs(level: DataFrame, depth: int, keys: tuple[str, ...] = (), right: DataFrame | None = None) -> DataFrame:

@@ -167,6 +167,13 @@ def jn_array_overlap(spark, sf_dir):
     return chains.contract_links(_base(spark, sf_dir))
 
 
+@query
+def jn_surviving_pairs(spark, sf_dir):
+    """Contract pairs linked through a catalog whose chain is neither void nor without territory."""
+    sides = chains.surviving_sides(_base(spark, sf_dir))
+    return sides.select(F.get("a.chain", F.lit(0)).alias("from_ctr"), F.get("b.chain", F.lit(0)).alias("to_ctr")).distinct()
+
+
 @query
 def chn_level1(spark, sf_dir):
     """Level 1 chains (overlap join, combined, void chains dropped)."""
