@@ -582,6 +582,13 @@ def _more(q: dict[str, str]) -> None:
         "l_suppkey AS numcatal_ayant_droit_final, l_linestatus AS role_ad_final, "
         "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_orderkey + l_linenumber AS VARCHAR) AS chain_key, "
         "CAST(2 AS INTEGER) AS chain_len, l_quantity AS cle FROM lineitem")
+    q["src_csv_rejects"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN reasons IS NULL THEN CAST(o_custkey AS BIGINT) END AS o_custkey,
+       CASE WHEN reasons IS NULL THEN CAST(o_orderdate AS DATE) END AS o_orderdate, reasons
+FROM (SELECT *, CASE WHEN o_orderkey % 97 = 0 THEN '2 fields instead of 3'
+                     WHEN o_orderkey % 89 = 0 THEN '4 fields instead of 3'
+                     WHEN o_orderkey % 83 = 0 THEN 'o_custkey is not bigint; o_orderdate is not date' END AS reasons
+      FROM orders)"""
     q["snk_partitioned_roundtrip"] = ctes() + (
         "SELECT idpcttypdrt, idclauspartcl, pct, cdetypdrtsacem FROM pcttypdrt")
     q["snk_csv_to_parquet"] = (

@@ -372,6 +372,25 @@ def src_parse_pipe_array(spark, sf_dir):
     )
 
 
+@query
+def src_csv_rejects(spark, sf_dir):
+    """Orders as CSV lines, some short, long or badly typed, loaded with the declared schema: good rows and rejects."""
+    from rightsweave.sources import io
+    key, day = F.col("o_orderkey"), F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd")
+    line = (F.when(key % 97 == 0, F.concat_ws(",", key, "o_custkey"))
+            .when(key % 89 == 0, F.concat_ws(",", key, "o_custkey", day, F.lit("more")))
+            .when(key % 83 == 0, F.concat_ws(",", key, F.lit("x"), F.lit("never")))
+            .otherwise(F.concat_ws(",", key, "o_custkey", day)))
+    path = _scratch(spark, "orders_lines")
+    spark.read.parquet(f"{sf_dir}/orders.parquet").select(line.alias("line")).write.text(path)
+    loaded = io.load_csv(spark, path, _scratch(spark, "orders_typed"),
+                         {"o_orderkey": "long", "o_custkey": "long", "o_orderdate": "date"}, header=False)
+    rejected = loaded.rejects.select(
+        F.substring_index("line", ",", 1).cast("long").alias("o_orderkey"), F.lit(None).cast("long").alias("o_custkey"),
+        F.lit(None).cast("date").alias("o_orderdate"), F.array_join("reasons", "; ").alias("reasons"))
+    return loaded.rows.withColumn("reasons", F.lit(None).cast("string")).unionByName(rejected)
+
+
 @query
 def snk_partitioned_roundtrip(spark, sf_dir):
     """Percent table written partitioned by right type and read back, every partition."""
@@ -490,7 +509,7 @@ def jn_creator_pct_left(spark, sf_dir):
 
 @query
 def jn_salted_equals_plain(spark, sf_dir):
-    """Assignor rows through the salted role join (16 buckets); equals the plain join."""
+    """Assignor rows through the role join with heavy keys salted (16 shares); equals the plain join."""
     t = _world(spark, sf_dir)
     rows = contracts.assignor_rows(t["detcedant"], t["detcedantcatal"], t["pcttypdrt"], t["partpt"],
                                    salt_buckets=16)

@@ -2,6 +2,7 @@
 
 * typed CSV with header (columns matched by position), CSV with inferred
   schema, Parquet;
+* typed CSV with a reject row for every line that does not fit the schema;
 * registry-driven reads: ``{name: {"path": ..., "columns": [...]}}`` →
   projection + dedup per table (JDBC entries read through Spark's JDBC
   source, projection pruned by Catalyst);
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +76,72 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | Mapping[str,
     return reader.csv(path)
 
 
+class CheckedCsv(NamedTuple):
+    """Rows that fit their schema, and the others as ``(file, line, reasons)``."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+#: Column that holds a line which does not fit the schema while it is read.
+_LINE = "_rejected_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | Mapping[str, str],
+                     header: bool = True) -> CheckedCsv:
+    """Typed CSV whose rows fit the schema, and a reject row for every line that does not.
+
+    A line with fewer or more fields than columns, with a value that is not of
+    its column's type, or with a quote left open is rejected whole instead of
+    giving nulls; empty fields are null and fit.  ``reasons`` names the number
+    of fields, or each column with its value's type.  With a ``header`` its names must be
+    the schema's in the same order (case as the session says), else the read
+    fails and names the file.  Empty files give neither rows nor rejects.
+    Spark refuses to count either frame without reading a column; the tables of
+    :func:`load_csv` can be counted.
+    """
+    if not isinstance(schema, T.StructType):
+        schema = schema_from_words(schema)
+    lines = (spark.read.schema(T.StructType([*schema.fields, T.StructField(_LINE, T.StringType())]))
+             .option("header", header).option("enforceSchema", not header).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", _LINE).csv(path))
+    rows = lines.where(F.col(_LINE).isNull()).drop(_LINE)
+
+    # only rejected lines are parsed a second time, as text
+    n = len(schema.fields)
+    names = [f"c{i}" for i in range(n)]
+    text = F.from_csv(_LINE, ", ".join(f"{name} string" for name in names))
+    outside = F.regexp_replace(_LINE, r'"(?:[^"\\]|\\.|"")*"', "")
+    fields = F.length(outside) - F.length(F.replace(outside, F.lit(","))) + 1
+    reasons = [F.when(fields != n, F.concat(fields.cast("string"), F.lit(f" fields instead of {n}")))]
+    for name, field in zip(names, schema.fields):
+        unread = F.col(f"_text.{name}").isNotNull() & F.col(f"`{field.name}`").isNull()
+        reasons.append(F.when((fields == n) & unread, F.lit(f"{field.name} is not {field.dataType.simpleString()}")))
+    named = F.array_compact(F.array(*reasons))
+    rejects = (lines.where(F.col(_LINE).isNotNull())
+               .withColumns({"_file": F.col("_metadata.file_path"), "_text": text})
+               .select(F.col("_file").alias("file"), F.col(_LINE).alias("line"),
+                       F.when(F.size(named) > 0, named).otherwise(F.array(F.lit("malformed"))).alias("reasons")))
+    return CheckedCsv(rows, rejects)
+
+
+def load_csv(spark: SparkSession, csv_path: str, table_path: str, schema: T.StructType | Mapping[str, str],
+             header: bool = True, mode: str = "errorifexists") -> CheckedCsv:
+    """CSV written as a typed Parquet table, its rejects in ``<table_path>_rejects`` beside it; both read back."""
+    checked = read_csv_checked(spark, csv_path, schema, header)
+    rejects_path = f"{table_path.rstrip('/')}_rejects"
+    write_parquet(checked.rejects, rejects_path, mode=mode)
+    write_parquet(checked.rows, table_path, mode=mode)
+    return CheckedCsv(spark.read.schema(checked.rows.schema).parquet(table_path),
+                      spark.read.schema(checked.rejects.schema).parquet(rejects_path))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """``(file, reason, lines)``: a line with several reasons counts for each."""
+    return rejects.select("file", F.explode("reasons").alias("reason")).groupBy("file", "reason").agg(
+        F.count("*").alias("lines"))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

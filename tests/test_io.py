@@ -4,7 +4,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from rightsweave.operators.joins import salted_join
+from rightsweave.operators.joins import heavy_keys, salted_join
 from rightsweave.operators.projections import prefix_columns, suffix_columns
 from rightsweave.session import scratch_dir
 from rightsweave.sources import io
@@ -148,3 +148,53 @@ def test_tracked_intermediates_can_be_discarded(spark):
     assert len(paths) == 1 and io.exists(spark, paths[0])
     discard(spark, paths)
     assert not io.exists(spark, paths[0]) and kept.count() == 3
+
+
+def test_only_heavy_keys_are_salted(spark):
+    # a third of the rows on one key, a thirtieth nulls, the rest on 400 keys
+    big = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 30 == 1, None)
+                                   .otherwise(F.col("id") % 400).cast("int").alias("k"), F.col("id").alias("v"))
+    small = spark.range(-1, 400).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("w"))
+    heavy = rows(heavy_keys(big, ["k"], 16))
+    assert heavy == rows(spark.range(1).select(F.xxhash64(F.lit(-1)).alias("_key"), F.lit(6).alias("salts")))
+    for how in ("inner", "left"):
+        joined = salted_join(big, small, ["k"], 16, how)
+        assert joined.columns == ["k", "v", "w"] and rows(joined) == rows(big.join(small, ["k"], how))
+    assert rows(heavy_keys(big.limit(0), ["k"], 16)) == []
+    assert salted_join(big.limit(0), small, ["k"]).count() == 0
+    with pytest.raises(ValueError):
+        salted_join(big, small.withColumn("k", F.col("k").cast("long")), ["k"])
+
+
+def _text(spark, name, *lines):
+    path = _path(spark, name)
+    spark.createDataFrame([("\n".join(lines),)], "s string").coalesce(1).write.text(path)
+    return path
+
+
+def test_lines_that_do_not_fit_are_rejected_with_reasons(spark):
+    columns = {"id": "integer", "name": "string", "day": "date", "pct": "double"}
+    path = _text(spark, "table", "id,name,day,pct", "1,a,2001-02-03,1.5", "2,,,", '3,"x,y",2001-02-03,7', "4,b,2001-02-03",
+                 "5,c,2001-02-03,1,9", "x,d,2001-02-03,oops", "7,e,2001-02-33,1", '8,"f,""g""",never,2')
+    good, rejects = io.load_csv(spark, path, _path(spark, "typed"), columns)
+    assert [r[0] for r in rows(good)] == [1, 2, 3] and good.schema["day"].dataType.simpleString() == "date"
+    got = {r.line: r.reasons for r in rejects.collect()}
+    assert got == {
+        "4,b,2001-02-03": ["3 fields instead of 4"], "5,c,2001-02-03,1,9": ["5 fields instead of 4"],
+        "x,d,2001-02-03,oops": ["id is not int", "pct is not double"], "7,e,2001-02-33,1": ["day is not date"],
+        '8,"f,""g""",never,2': ["day is not date"]}
+    counts = {r.reason: r.lines for r in io.reject_counts(rejects).collect()}
+    assert counts == {"3 fields instead of 4": 1, "5 fields instead of 4": 1, "id is not int": 1, "pct is not double": 1,
+                      "day is not date": 2}
+
+
+def test_header_must_name_the_columns_in_order(spark):
+    path = _text(spark, "swapped", "b,a", "1,2")
+    with pytest.raises(Exception, match="header does not conform"):
+        io.read_csv_checked(spark, path, {"a": "long", "b": "long"}).rows.collect()
+    plain = _text(spark, "plain", "1,2", "3")
+    good, rejects = io.read_csv_checked(spark, plain, {"a": "long", "b": "long"}, header=False)
+    assert rows(good) == [(1, 2)] and [r.line for r in rejects.collect()] == ["3"]
+    empty = _text(spark, "empty", "")
+    good, rejects = io.read_csv_checked(spark, empty, {"a": "long"}, header=False)
+    assert good.collect() == [] and rejects.collect() == []
