@@ -5,9 +5,11 @@ the record) and block, the HTTP message.  Each derivative refers to the
 response by its identifier, URI and date; the metadata record repeats the
 source's status line, HTTP headers, record headers and digests, and the
 conversion holds the text of an HTML or plain-text payload, chunks and
-compression undone (digests and lengths are of the payload as it came; without
-a conversion if a coding is neither chunked, gzip nor deflate).  Identifiers
-follow from the response's identifier, so that reruns agree.
+compression undone (digests and lengths are of the payload as it came).  A
+coding that is neither chunked, gzip nor deflate, or content of more than
+``LARGEST`` bytes, leaves no conversion, and the metadata says so; a given
+payload digest is passed on, with the computed one beside it where they differ.
+Identifiers follow from the response's identifier, so that reruns agree.
 """
 
 from __future__ import annotations
@@ -29,9 +31,13 @@ from .common import ship
 
 CRLF = "\r\n"
 #: Elements whose content is not text.
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|title)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_HEAD = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_HIDDEN = ("script", "style", "template", "noscript", "title")
+_CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in _HIDDEN}
+_TITLE = re.compile(r"<title\b", re.I)
+#: Bytes that the content of a payload may have; one that inflates to more has no conversion.
+LARGEST = 1 << 28
+#: Bytes that are inflated at once.
+_STEP = 4096
 #: Elements that begin and end a line.
 _BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]"
                     r"|header|hr|html|li|main|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|tr|ul)"
@@ -73,33 +79,48 @@ def _unchunked(data: bytes) -> bytes:
         at = size.end() + n + 2
 
 
-def _unzipped(data: bytes, coding: str) -> bytes:
-    """``data`` without its gzip or deflate coding, as far as it goes; data in another form stays."""
-    out, rest = [], data
-    for bits in (31,) if coding != "deflate" else (15, -15):
-        try:
+def _inflated(data: bytes, bits: int, largest: int) -> bytes | None:
+    """The members in ``data``, joined, as far as they go; None if they hold more than ``largest`` bytes."""
+    parts, room, one = [], largest, zlib.decompressobj(bits)
+    try:
+        for at in range(0, len(data), _STEP):
+            rest = data[at:at + _STEP]
             while rest:
-                one = zlib.decompressobj(bits)
-                out.append(one.decompress(rest))
-                if not one.eof:
-                    break
-                rest = one.unused_data
-        except zlib.error:
-            pass
-        if out:
-            return b"".join(out)
+                parts.append(one.decompress(rest, room + 1))
+                room -= len(parts[-1])
+                if room < 0:
+                    return None
+                rest = one.unconsumed_tail
+                if one.eof:
+                    rest, one = one.unused_data, zlib.decompressobj(bits)
+    except zlib.error:
+        pass
+    return b"".join(parts)
+
+
+def _unzipped(data: bytes, coding: str, largest: int) -> bytes | None:
+    """``data`` without its gzip or deflate coding; data in another form stays, None for more than ``largest`` bytes."""
+    for bits in (31,) if coding != "deflate" else (15, -15):
+        out = _inflated(data, bits, largest)
+        if out != b"":
+            return out
     return data
 
 
-def content_of(payload: bytes, http: list[tuple[str, str]]) -> bytes | None:
-    """The payload with transfer and content codings undone, the last applied first; None for a coding not known here."""
+def content_of(payload: bytes, http: list[tuple[str, str]], largest: int = LARGEST) -> bytes | None:
+    """The payload with transfer and content codings undone, the last applied first.
+
+    None for a coding not known here, and if it inflates to more than ``largest`` bytes.
+    """
     for header in ("transfer-encoding", "content-encoding"):
         codings = [c.strip().lower() for n, v in http if n.lower() == header for c in v.split(",")]
         for coding in reversed(codings):
             if coding == "chunked":
                 payload = _unchunked(payload)
             elif coding in ("gzip", "x-gzip", "deflate"):
-                payload = _unzipped(payload, coding)
+                payload = _unzipped(payload, coding, largest)
+                if payload is None:
+                    return None
             elif coding not in ("", "identity"):
                 return None
     return payload
@@ -113,16 +134,44 @@ def _decoded(payload: bytes, content_type: str) -> str:
         return payload.decode("utf-8", "replace")
 
 
+def _shown(page: str, hidden: tuple[str, ...]) -> str:
+    """``page`` with a blank for each comment and each element of the names ``hidden``, in linear time.
+
+    What is not closed goes to the end; a tag without its ``>`` is text.
+    """
+    opening = re.compile(rf"<!--|<({'|'.join(hidden)})\b", re.I)
+    parts, at, look = [], 0, 0
+    while found := opening.search(page, look):
+        if found[0] == "<!--":
+            close = page.find("-->", found.end())
+            end = close + 3 if close >= 0 else len(page)
+        else:
+            bracket = page.find(">", found.end())
+            if bracket < 0:  # no later tag ends either
+                opening = re.compile("<!--")
+                look = found.end()
+                continue
+            closing = _CLOSING[found[1].lower()].search(page, bracket + 1)
+            end = closing.end() if closing else len(page)
+        parts.append(page[at:found.start()])
+        at = look = end
+    return " ".join([*parts, page[at:]])
+
+
 def text_of(page: str) -> str:
     """The text of an HTML page: no markup, scripts or styles, entities resolved, a line per block element."""
-    shown = _BREAK.sub("\n", _HIDDEN.sub(" ", page))
+    shown = _BREAK.sub("\n", _shown(page, _HIDDEN))
     shown = html.unescape(_TAG.sub("", shown)).replace("\r", "\n")
     return _LINES.sub("\n", _BLANKS.sub(" ", shown)).strip()
 
 
 def title_of(page: str) -> str:
-    found = _TITLE.search(_HEAD.sub(" ", page))
-    return " ".join(html.unescape(_TAG.sub("", found[1])).split()) if found else ""
+    """The first title outside comments and other hidden elements; without its end tag it is none."""
+    shown = _shown(page, tuple(n for n in _HIDDEN if n != "title"))
+    opening = _TITLE.search(shown)
+    start = shown.find(">", opening.end()) + 1 if opening else 0
+    closing = _CLOSING["title"].search(shown, start) if start else None
+    return " ".join(html.unescape(_TAG.sub("", shown[start:closing.start()])).split()) if closing else ""
 
 
 def _field(value: str) -> str:
@@ -150,21 +199,27 @@ def derive(row: dict) -> Iterator[dict]:
     status, http, payload = split_http(row["block"] or b"")
     kinds = [v for n, v in http if n.lower() == "content-type"]
     content_type = kinds[-1] if kinds else "text/html"
-    payload_digest = given.get("warc-payload-digest") or digest(payload)
+    own_digest = digest(payload)
+    payload_digest = given.get("warc-payload-digest") or own_digest
     refers = [("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", source),
               ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date)]
     is_html = content_type.lower().startswith(("text/html", "application/xhtml"))
-    content = content_of(payload, http) if is_html or content_type.lower().startswith("text/plain") else None
+    is_text = is_html or content_type.lower().startswith("text/plain")
+    content = content_of(payload, http) if is_text else None
     page = _decoded(content, content_type) if content is not None else None
 
     def made(kind: str, content_kind: str, block: bytes, more: list[tuple[str, str | None]]) -> dict:
         record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, kind + ' ' + source)}>"
-        return {"type": kind, "record_id": record_id, "refers_to": row["record_id"], "target_uri": row["target_uri"],
+        return {"type": kind, "record_id": record_id, "refers_to": source if row["record_id"] is not None else None, "target_uri": row["target_uri"],
                 "content_type": content_kind, "payload_digest": payload_digest, "block_digest": digest(block),
                 "length": len(block), "record": record(kind, record_id, refers + more, content_kind, block)}
 
     lines = [("source-record", source), ("status", status), ("payload-digest", payload_digest),
              ("payload-length", str(len(payload))), ("title", title_of(page) if is_html and page is not None else "")]
+    if payload_digest != own_digest:
+        lines.append(("computed-payload-digest", own_digest))
+    if is_text and page is None:
+        lines.append(("conversion", "none"))
     lines += [(f"http-{n}", _field(v)) for n, v in http]
     lines += [(f"source-{n}", v) for n, v in sorted(given.items())]
     fields = "".join(f"{n}: {v}{CRLF}" for n, v in lines if v)

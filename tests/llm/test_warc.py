@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import time
 import zlib
 
 from rightsweave.llm import warc
@@ -89,3 +90,45 @@ def test_chunked_and_compressed_payloads():
         assert text.decode() == plain and made[0]["payload_digest"] == sha1(data), head
     block = b"HTTP/1.1 200 OK\r\nContent-Encoding: br\r\n\r\nxyz"
     assert [m["type"] for m in warc.derive({"record_id": "", "target_uri": "", "date": "", "headers": None, "block": block})] == ["metadata"]
+
+
+def test_hostile_pages_take_linear_time():
+    begun = time.monotonic()
+    for unit in ("<title>", "<title ", "<script ", "<script>", "<!--", "<style x", "</script ", "<p", "&", "<title></title"):
+        page = "<b>seen</b>" + unit * (1_000_000 // len(unit))
+        assert warc.text_of(page).startswith("seen") and warc.title_of(page) == ""
+    assert time.monotonic() - begun < 20  # 10 pages of a megabyte
+
+
+def test_hidden_elements_by_hand():
+    for page, text, title in [
+            ("a<!-- <script> -->b<script>x</script >c", "a b c", ""), ("a<SCRIPT x>1</Script>b<!-- open", "a b", ""),
+            ("a<script b <!-- c", "a<script b", ""), ("a<scripts>b</scripts>", "ab", ""), ("<!-->x-->y", "y", ""),
+            ("<script><title>no</title></script><Title a=1>T <i>u</i></title>z", "z", "T u"),
+            ("<title>open<p>z", "", ""), ("<!--<title>no</title>--><title>a</title><title>b</title>", "", "a")]:
+        assert (warc.text_of(page), warc.title_of(page)) == (text, title)
+
+
+def test_inflating_is_bounded_and_goes_through_members():
+    many = b"".join(gzip.compress(b"%d " % i) for i in range(20_000))
+    assert warc.content_of(many, [("Content-Encoding", "gzip")]) == b"".join(b"%d " % i for i in range(20_000))
+    bomb = zlib.compress(bytes(64 << 20))
+    deflate = [("content-encoding", "deflate")]
+    assert warc.content_of(bomb, deflate) == bytes(64 << 20)
+    assert warc.content_of(bomb, deflate, (64 << 20) - 1) is None
+    raw = zlib.compressobj(wbits=-15)
+    data = raw.compress(b"abc" * 9000) + raw.flush()
+    assert warc.content_of(data, deflate) == b"abc" * 9000 and warc.content_of(b"plain", deflate) == b"plain"
+    cut = gzip.compress(b"x" * 100_000)[:-20]
+    assert set(warc.content_of(cut, [("content-encoding", "gzip")])) == set(b"x")
+
+
+def test_metadata_tells_of_wrong_digests_and_missing_conversions():
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Encoding: br\r\n\r\nabc"
+    row = {"record_id": " <urn:a> ", "target_uri": "u", "date": "d", "headers": {"WARC-Payload-Digest": "sha1:WRONG"}, "block": http}
+    (made,) = warc.derive(row)
+    text = made["record"].decode()
+    assert made["payload_digest"] == "sha1:WRONG" and f"computed-payload-digest: {sha1(b'abc')}" in text
+    assert "conversion: none" in text and made["refers_to"] == "<urn:a>"
+    right = {**row, "headers": {"WARC-Payload-Digest": sha1(b"abc")}}
+    assert "computed-payload-digest" not in next(warc.derive(right))["record"].decode()
