@@ -24,6 +24,8 @@ from .components import connected_components
 
 #: Members of a bucket that one side of a tile holds at most (on average; buckets are cut by hash).
 TILE = 512
+#: Linked pairs of a tile whose earlier tables are compared at once.
+PAIRS = 32768
 
 
 def tables_for(n: int, cosine: float, miss: float = 1e-6) -> tuple[int, int]:
@@ -40,27 +42,42 @@ def _signs(vectors: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray
     return on @ (1 << np.arange(bits, dtype=np.int64))
 
 
-def _unit(values: pa.Array) -> list[np.ndarray]:
-    return [np.array(v, np.float64) for v in values.to_pylist()]
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors (rows) in double precision, each by the power of two that brings its largest component to 0.5 to 1.
+
+    Directions stay as they are, to the bit; squares can neither overflow nor vanish.
+    """
+    vectors = vectors.astype(np.float64)
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
+
+
+def _packing(reps: DataFrame) -> str:
+    """How numpy reads packed vectors: floats as they come, other numbers as doubles."""
+    return "<f4" if reps.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
 
 
 def signed(reps: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
-    """``reps`` (rep, label, vector, copies) with the bucket numbers as binary longs."""
-    names = ["rep", "label", "vector", "copies"]
+    """(rep, label, dim, copies, packed, signs) of ``reps`` (rep, label, vector, copies).
+
+    ``packed`` is the vector as binary numbers, ``signs`` its bucket numbers as binary longs.
+    """
+    packing = _packing(reps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = _unit(batch.column(2))
+            vectors = [np.array(v, packing) for v in batch.column(4).to_pylist()]
             signs: list[bytes] = [b""] * len(vectors)
             for dim in {len(v) for v in vectors}:
                 at = [i for i, v in enumerate(vectors) if len(v) == dim]
-                for i, row in zip(at, _signs(np.array([vectors[i] for i in at]), bits, tables, seed)):
+                for i, row in zip(at, _signs(_scaled(np.array([vectors[i] for i in at])), bits, tables, seed)):
                     signs[i] = row.astype("<i8").tobytes()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signs, pa.binary())], [*names, "signs"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(signs, pa.binary())],
+                ["rep", "label", "dim", "copies", "packed", "signs"])
 
-    kept = reps.select(*names)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, schema + ", signs binary")
+    kept = reps.select("rep", "label", F.size("vector").alias("dim"), "copies", "vector")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields[:4])
+    return kept.mapInArrow(run, schema + ", packed binary, signs binary")
 
 
 def _buckets(reps: DataFrame, tables: int) -> DataFrame:
@@ -76,7 +93,7 @@ def _buckets(reps: DataFrame, tables: int) -> DataFrame:
                      pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(signs)],
                     ["label", "dim", "rep", "table", "bucket"])
 
-    kept = reps.select("label", F.size("vector").alias("dim"), "rep", "signs")
+    kept = reps.select("label", "dim", "rep", "signs")
     label = kept.schema["label"].dataType.simpleString()
     return kept.mapInArrow(run, f"label {label}, dim int, rep bigint, table int, bucket bigint")
 
@@ -100,15 +117,19 @@ def _tiles(buckets: DataFrame) -> DataFrame:
 def _compare(reps: np.ndarray, copies: np.ndarray, vectors: np.ndarray, signs: np.ndarray, table: int, cross: bool,
              side: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rep, links, root) of the members with links in a tile; root is the smallest member reached in it."""
+    vectors = _scaled(vectors)
     unit = vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
     linked = unit @ unit.T >= cosine
     np.fill_diagonal(linked, False)
     if cross:
         linked &= side[:, None] != side[None, :]
     if table and linked.any():
-        for i, j in zip(*np.nonzero(np.triu(linked))):
-            if (signs[i, :table] == signs[j, :table]).any():  # met in an earlier table
-                linked[i, j] = linked[j, i] = False
+        before = signs[:, :table]
+        pairs = np.argwhere(np.triu(linked))
+        for at in range(0, len(pairs), PAIRS):
+            i, j = pairs[at:at + PAIRS].T
+            met = (before[i] == before[j]).any(1)  # in an earlier table
+            linked[i[met], j[met]] = linked[j[met], i[met]] = False
     links = linked @ copies
     root = reps.copy()
     while True:
@@ -120,19 +141,19 @@ def _compare(reps: np.ndarray, copies: np.ndarray, vectors: np.ndarray, signs: n
     return reps[at], links[at], root[at]
 
 
-def tile_links(tiles: DataFrame, reps: DataFrame, cosine: float) -> DataFrame:
-    """(rep, links, root) of every tile's members with links."""
+def tile_links(tiles: DataFrame, reps: DataFrame, cosine: float, packing: str) -> DataFrame:
+    """(rep, links, root) of every tile's members with links; ``reps`` as :func:`signed` gives them."""
     number = F.xxhash64("tile")
-    rows = (tiles.join(reps.select("rep", "copies", "vector", "signs"), "rep")
-            .select(number.alias("number"), F.to_json("tile").alias("tile"), "table", "cross", "side", "rep", "copies", "vector",
+    rows = (tiles.join(reps.select("rep", "copies", "packed", "signs"), "rep")
+            .select(number.alias("number"), F.to_json("tile").alias("tile"), "table", "cross", "side", "rep", "copies", "packed",
                     "signs").repartition("number", "tile").sortWithinPartitions("number", "tile", "rep", "side"))
 
     def flush(held: list[tuple]) -> pa.RecordBatch | None:
         if len(held) < 2:
             return None
         table, cross, side, reps_, copies, vectors, signs = zip(*held)
-        found = _compare(np.array(reps_, np.int64), np.array(copies, np.int64), np.array(vectors, np.float64),
-                         np.frombuffer(b"".join(signs), "<i8").reshape(len(held), -1), table[0], cross[0],
+        found = _compare(np.array(reps_, np.int64), np.array(copies, np.int64),
+                         np.frombuffer(b"".join(vectors), packing).reshape(len(held), -1), np.frombuffer(b"".join(signs), "<i8").reshape(len(held), -1), table[0], cross[0],
                          np.array(side), cosine)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["rep", "links", "root"])
 
@@ -175,7 +196,8 @@ def near_vectors(table: DataFrame, cosine: float = 0.98, seed: int = 1, vec_id:
     auto = tables_for(reps.count(), cosine)
     bits, tables = bits or auto[0], tables or auto[1]
     marked = materialize(signed(reps, bits, tables, seed), "signs")
-    found = materialize(tile_links(_tiles(materialize(_buckets(marked, tables), "buckets")), marked, cosine), "links")
+    found = materialize(tile_links(_tiles(materialize(_buckets(marked, tables), "buckets")), marked, cosine,
+                                   _packing(reps)), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("rep").alias("src"), F.col("root").alias("dst")))
     whole = (reps.join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")

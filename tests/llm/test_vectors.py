@@ -111,3 +111,12 @@ def test_tables_reach_the_recall_they_promise():
         bits, tables = vectors.tables_for(n, 0.98)
         same = (1 - math.acos(0.98) / math.pi) ** bits
         assert (1 - same) ** tables <= 1e-6 and 2 ** bits >= n
+
+
+def test_vectors_of_extreme_length_link(spark):
+    pairs = [([1e200, 1.0], [1e200, 2.0]), ([1e-200, 0.0], [2e-200, 0.0]), ([1e308, 1e308], [1.0, 1.0]), ([5e-324, 0.0], [3.0, 0.1]),
+             ([1e200, 1.0], [1.0, 1e200])]
+    rows = [(10 * i + j, v, i) for i, pair in enumerate(pairs) for j, v in enumerate(pair)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {10 * i + j: (1, 10 * i) if i < 4 else (0, 10 * i + j) for i in range(5) for j in range(2)}
