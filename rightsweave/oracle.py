@@ -591,6 +591,10 @@ FROM (SELECT *, CASE WHEN o_orderkey % 97 = 0 THEN '2 fields instead of 3'
       FROM orders)"""
     q["snk_partitioned_roundtrip"] = ctes() + (
         "SELECT idpcttypdrt, idclauspartcl, pct, cdetypdrtsacem FROM pcttypdrt")
+    q["snk_snapshots"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus AS status, CAST(1 AS INTEGER) AS version FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(2 AS INTEGER) FROM orders"""
     q["snk_csv_to_parquet"] = (
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
         "c_mktsegment FROM customer")

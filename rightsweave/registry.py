@@ -401,6 +401,22 @@ def snk_partitioned_roundtrip(spark, sf_dir):
     return back.select("idpcttypdrt", "idclauspartcl", "pct", "cdetypdrtsacem")
 
 
+@query
+def snk_snapshots(spark, sf_dir):
+    """Orders by two interleaved writers and a cut-off one: what each committed version holds."""
+    from rightsweave.sources import snapshots
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"))
+    root = _scratch(spark, "orders_snapshots")
+    late = snapshots.stage(orders, root, "status")
+    early = snapshots.stage(orders.where("o_orderkey % 2 = 0"), root, "status")
+    snapshots.stage(orders.where("o_orderkey % 3 = 0"), root, "status")  # never committed
+    versions = [snapshots.commit(spark, root, s).version for s in (early, late)]
+    assert snapshots.newest(spark, root).snapshot == late.snapshot
+    return snapshots.read(spark, root, versions[0]).withColumn("version", F.lit(versions[0])).unionByName(
+        snapshots.read(spark, root).withColumn("version", F.lit(versions[1])))
+
+
 @query
 def snk_csv_to_parquet(spark, sf_dir):
     """Customer rows through CSV (untyped) into an appended Parquet folder."""
