@@ -31,12 +31,20 @@ if __package__ in (None, ""):
 
 from rightsweave.plans import chains, jobs, restitution, territories  # noqa: E402
 from rightsweave.session import build_session, discard_intermediates  # noqa: E402
-from rightsweave.sources import io  # noqa: E402
+from rightsweave.sources import io, snapshots  # noqa: E402
 from rightsweave.sources.schemas import CHAIN_TABLES, RESTITUTION_TABLES, SCHEMAS  # noqa: E402
 
 
-def _read(spark, root: str, names, fmt: str, dedup: bool = False):
-    return io.read_tables(spark, root, list(names), SCHEMAS, file_type=fmt, dedup=dedup)
+def _read(spark, args, names, dedup: bool = False):
+    return io.read_tables(spark, args.tables, list(names), SCHEMAS, file_type=args.format, dedup=dedup, use_case=args.use_case)
+
+
+def _write(df, path: str, args, partition_by: str, mode: str) -> None:
+    """A plain Parquet folder, or with ``--snapshots`` one more version of a snapshot table."""
+    if args.snapshots:
+        snapshots.write(df, path, partition_by)
+    else:
+        io.write_parquet(df, path, partition_by=partition_by, mode=mode)
 
 
 def _read_one(spark, path: str, name: str):
@@ -46,31 +54,31 @@ def _read_one(spark, path: str, name: str):
 
 
 def run_chains(spark, args) -> str:
-    tables = _read(spark, args.tables, CHAIN_TABLES, args.format)
+    tables = _read(spark, args, CHAIN_TABLES)
     date = args.date or dt.date.today().isoformat()
     computed = f"{args.out.rstrip('/')}/computed/{date}"
-    sets = io.read_or_compute(spark, f"{computed}/territories",
-                              lambda: territories.leaf_sets(tables["gpeter"]))
-    by_id = io.read_or_compute(spark, f"{computed}/territories_by_id_tercmplx",
-                               lambda: territories.fold(tables["eltter"], sets))
+    sets = snapshots.read_or_compute(spark, f"{computed}/territories",
+                                     lambda: territories.leaf_sets(tables["gpeter"]))
+    by_id = snapshots.read_or_compute(spark, f"{computed}/territories_by_id_tercmplx",
+                                      lambda: territories.fold(tables["eltter"], sets))
     base = jobs.contract_base_of_day(tables, computed, date, {"territories_by_id_tercmplx": by_id})
     table = jobs.chain_table(tables, date, args.max_depth, mode=args.mode, base=base)
     out = io.dated_path(args.out, "chains", args.max_depth, date)
-    io.write_parquet(chains.flatten(table), out, partition_by="right_type")
+    _write(chains.flatten(table), out, args, "right_type", "overwrite")
     return out
 
 
 def run_restitution(spark, args) -> str:
-    tables = _read(spark, args.tables, RESTITUTION_TABLES, args.format, dedup=True)
-    flat = spark.read.parquet(args.chains)
-    by_id = spark.read.parquet(args.territories)
+    tables = _read(spark, args, RESTITUTION_TABLES, dedup=True)
+    flat = snapshots.read_any(spark, args.chains)
+    by_id = snapshots.read_any(spark, args.territories)
     contexts = _read_one(spark, args.contexts, "contexts")
     requests = _read_one(spark, args.requests, "requests").select("ide12", "num_contexte")
     req = requests.join(contexts, "num_contexte")
     keys = restitution.static_keys(tables, by_id, req, ["num_contexte"], keep_territories=False)
     result = restitution.restitution(flat, keys, ["num_contexte"], strict=args.strict)
     out = f"{args.out.rstrip('/')}/{args.name}_{args.date or dt.date.today().isoformat()}"
-    io.write_parquet(result, out, partition_by="num_contexte", mode="overwrite" if args.overwrite else "errorifexists")
+    _write(result, out, args, "num_contexte", "overwrite" if args.overwrite else "errorifexists")
     return out
 
 
@@ -96,6 +104,9 @@ def main(argv: list[str] | None = None, spark=None) -> str:
     r.add_argument("--date")
     r.add_argument("--overwrite", action="store_true")
     r.add_argument("--strict", action="store_true")
+    for job in (c, r):
+        job.add_argument("--use-case", help="folder below --tables that holds the tables of one case")
+        job.add_argument("--snapshots", action="store_true", help="write versions of a snapshot table, never replace one")
     args = p.parse_args(argv)
     own = spark is None
     spark = spark or build_session()

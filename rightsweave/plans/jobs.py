@@ -42,8 +42,8 @@ def restitution_job(tables: dict[str, DataFrame], requests: DataFrame, consult_d
 def contract_base_of_day(tables: dict[str, DataFrame], root: str, consult_date,
                          terr: dict[str, DataFrame] | None = None) -> DataFrame:
     """Contract base for ``consult_date``: read from ``root`` when already
-    written that day, else assembled, written and read back."""
-    from rightsweave.sources import io
+    written that day, else assembled, written and read back (as a snapshot table)."""
+    from rightsweave.sources import io, snapshots
 
     spark = tables["contrat"].sparkSession
     path = io.dated_path(root, "contract_base", 0, consult_date)
@@ -52,4 +52,4 @@ def contract_base_of_day(tables: dict[str, DataFrame], root: str, consult_date,
         t = terr or territory_tables(tables)
         return contracts.contract_base(tables, t["territories_by_id_tercmplx"], consult_date)
 
-    return io.read_or_compute(spark, path, compute)
+    return snapshots.read_or_compute(spark, path, compute)

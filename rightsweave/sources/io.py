@@ -185,8 +185,9 @@ def read_registry(spark: SparkSession, registry: Mapping[str, Mapping], all_colu
 
 
 def read_tables(spark: SparkSession, root: str, names: list[str], schemas: Mapping[str, Mapping] | None = None,
-                file_type: str = "parquet", dedup: bool = False) -> dict[str, DataFrame]:
-    """``{name: DataFrame}`` for ``root/name`` (CSV with declared schema or Parquet)."""
+                file_type: str = "parquet", dedup: bool = False, use_case: str | None = None) -> dict[str, DataFrame]:
+    """``{name: DataFrame}`` for ``root/name`` (CSV with declared schema or Parquet); ``use_case`` is a folder below root."""
+    root = "/".join([root.rstrip("/"), *([use_case] if use_case else [])])
     out = {}
     for name in names:
         if file_type == "csv":
@@ -222,7 +223,7 @@ def dated_path(root: str, name: str, depth: int, date=None) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a finished write (its ``_SUCCESS`` marker).
+    """True when ``path`` holds a finished write: its ``_SUCCESS`` marker, or a committed snapshot.
 
     A missing folder, or one with hidden names only (a write that was cut
     off), is absent; a folder with files but no marker is an error, so that
@@ -233,6 +234,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     if not fs.exists(folder):
         return False
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    if "manifests" in names:
+        committed = fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/manifests"))
+        names += ["_SUCCESS"] if any(not s.getPath().getName().startswith((".", "_")) for s in committed) else []
     if "_SUCCESS" in names:
         return True
     if any(not n.startswith(("_", ".")) for n in names):

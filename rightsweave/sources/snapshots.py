@@ -98,14 +98,27 @@ def read(spark: SparkSession, root: str, version: int | None = None) -> DataFram
     return spark.read.schema(schema).parquet(_data(root, found.snapshot)).select(*(f"`{n}`" for n in schema.names))
 
 
+def read_any(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot of a snapshot table, or a plain Parquet folder as it is."""
+    return read(spark, path) if _names(spark, path) else spark.read.parquet(path)
+
+
+def _plain(spark: SparkSession, root: str) -> bool:
+    """True for a finished plain Parquet folder."""
+    fs, marker = _file_system(spark, f"{root.rstrip('/')}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def read_or_compute(spark: SparkSession, root: str, compute: Callable[[], DataFrame],
                     partition_by: str | list[str] | None = None) -> DataFrame:
     """The newest snapshot; where there is none, ``compute()`` is written first.
 
     Of jobs that find nothing at the same time each writes a whole snapshot
     and all later reads agree on one.  Errors in ``compute`` propagate and
-    leave the table as it was.
+    leave the table as it was.  A finished plain Parquet folder is read as it is.
     """
     if newest(spark, root) is None:
+        if _plain(spark, root):
+            return spark.read.parquet(root)
         write(compute(), root, partition_by)
     return read(spark, root)

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 
 from rightsweave import cli, registry
 from rightsweave.session import scratch_dir
+from rightsweave.sources import snapshots
 from rightsweave.sources import world as W
 from rightsweave.sources.schemas import CHAIN_TABLES, RESTITUTION_TABLES
 
@@ -41,3 +42,18 @@ def test_chains_then_restitution_jobs(spark):
                   "--territories", f"{root}/out/computed/{W.CONSULT_DATE}/territories_by_id_tercmplx",
                   "--contexts", f"{root}/tables/contexts", "--requests", f"{root}/tables/requests",
                   "--out", f"{root}/out", "--date", W.CONSULT_DATE], spark=spark)
+
+
+def test_jobs_of_a_use_case_write_snapshots(spark):
+    root = f"{scratch_dir(spark)}/rightsweave-tests/{uuid.uuid4().hex}"
+    t = W.load_world(spark, SF)
+    for name in CHAIN_TABLES:
+        t[name].write.parquet(f"{root}/tables/spec/{name}")
+    job = ["chains", "--tables", f"{root}/tables", "--use-case", "spec", "--out", f"{root}/out", "--mode", "path",
+           "--date", W.CONSULT_DATE, "--max-depth", "1"]
+    out = cli.main([*job, "--snapshots"], spark=spark)
+    assert rows(snapshots.read_any(spark, out).select("right_type")) == rows(snapshots.read(spark, out).select("right_type"))
+    assert cli.main([*job, "--snapshots"], spark=spark) == out and snapshots.newest(spark, out).version == 2
+    assert snapshots.read(spark, out, 1).count() == snapshots.read(spark, out).count() > 0
+    # the base of the day was committed once, by the first run
+    assert snapshots.newest(spark, f"{root}/out/computed/{W.CONSULT_DATE}/territories_by_id_tercmplx").version == 1
