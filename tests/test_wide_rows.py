@@ -1,7 +1,17 @@
-"""No task lists the leaves of all territories."""
+"""Whole rows are shuffled as seldom as possible, and no task lists all leaves."""
 from pyspark.sql import functions as F
 
-from rightsweave.plans import territories
+from rightsweave.plans import restitution, territories
+
+
+def _nodes(df):
+    """Nodes of the optimized plan: name, its columns, and the node."""
+    found, left = [], [df._jdf.queryExecution().optimizedPlan()]
+    while left:
+        node = left.pop()
+        found.append((node.nodeName(), node.output().mkString(","), node))
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return found
 
 
 def test_elements_of_one_territory_are_dealt_out(spark):
@@ -13,3 +23,29 @@ def test_elements_of_one_territory_are_dealt_out(spark):
     assert sum(r["count"] for r in held) == 10_000
     assert max(r["count"] for r in held) < 5_000
     assert territories.fold(elements, sets).count() == 400
+
+
+def test_distinct_rows_shuffles_only_rows_with_equal_hashes(spark):
+    from rightsweave.operators.distinct import distinct_rows
+
+    rows = spark.createDataFrame([(1, [1, 2]), (1, [1, 2]), (1, None), (1, None), (2, [1, 2]), (0, [])],
+                                 "a int, b array<int>")
+    out = distinct_rows(rows, "rows")
+    assert out.columns == ["a", "b"]
+    assert sorted(map(str, out.collect())) == sorted(map(str, rows.distinct().collect()))
+    aggregates = [n for name, _, n in _nodes(out) if name == "Aggregate"]
+    assert aggregates and all("LeftSemi" in n.toString() for n in aggregates)
+
+
+def test_shares_join_whole_rows_once(spark):
+    d = spark.createDataFrame(
+        [(1, "A", 5, "E", 6, "SE", [10], 50.0, 0.0, 20.0, 1), (1, "A", 5, "E", 7, "SE", None, None, None, 30.0, 0),
+         (1, None, 8, "CA", 8, "CA", [11], 25.0, 50.0, 10.0, 1)],
+        "ide12 long, lettrage string, numcatal_cedant_origine long, role_ad_origine string, "
+        "numcatal_ayant_droit_final long, role_ad_final string, chaine_contrats array<int>, pct_editeur double, "
+        "pct_createur double, cle double, gestnr int")
+    out = restitution.shares(d)
+    joins = [n for name, columns, n in _nodes(out) if name == "Join" and "chaine_contrats" in columns]
+    assert len(joins) == 1
+    got = {(r.numcatal_ayant_droit_final, r.pct_cede, r.pct_restant, r.pct_final, r._group_cle) for r in out.collect()}
+    assert got == {(6, 10.0, 10.0, 25.0, 50.0), (7, 15.0, 15.0, 15.0, 50.0), (8, 0.0, 10.0, None, 10.0)}
