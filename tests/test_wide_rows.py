@@ -1,7 +1,10 @@
 """Whole rows are shuffled as seldom as possible, and no task lists all leaves."""
 from pyspark.sql import functions as F
 
-from rightsweave.plans import restitution, territories
+from rightsweave.plans import contracts, restitution, territories
+from rightsweave.sources import world
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def _nodes(df):
@@ -49,3 +52,23 @@ def test_shares_join_whole_rows_once(spark):
     assert len(joins) == 1
     got = {(r.numcatal_ayant_droit_final, r.pct_cede, r.pct_restant, r.pct_final, r._group_cle) for r in out.collect()}
     assert got == {(6, 10.0, 10.0, 25.0, 50.0), (7, 15.0, 15.0, 15.0, 50.0), (8, 0.0, 10.0, None, 10.0)}
+
+
+def test_contract_base_gathers_its_lists_in_one_aggregation(spark):
+    tables = world.load_world(spark, SMALL)
+    sets = spark.createDataFrame([], "idtercmplx int, territoires array<int>")
+    base = contracts.contract_base(tables, sets, world.CONSULT_DATE)
+    gathered = [n for name, _, n in _nodes(base) if name == "Aggregate" and "collect_set" in n.verboseString(10_000)
+                and "Aggregate [idctr" in n.verboseString(10_000)]
+    assert len(gathered) == 1
+
+
+def test_contract_base_keeps_contracts_whose_restrictions_name_nothing(spark):
+    restrctr = spark.createDataFrame([(1, 7, 1), (2, 7, 0), (3, 8, 1), (4, 9, None)], "idrestctr long, idctr long, additif int")
+    genre = spark.createDataFrame([(1, "R"), (1, "R"), (2, None), (4, "N")], "idrestctr long, cdegreoeuv string")
+    work = spark.createDataFrame([(2, 5), (2, 4)], "idrestctr long, ide12 long")
+    pers = spark.createDataFrame([(1, 11, "STRICTE"), (1, 12, "INFO")], "idrestctr long, numcatal long, cdeexignc string")
+    got = {r["idctr"]: tuple(r)[1:] for r in contracts.restrictions(restrctr, genre, work, pers).collect()}
+    assert got == {7: (["R"], [], [11], [], [], [4, 5]), 8: ([], [], [], [], [], []), 9: ([], [], [], [], [], [])}
+    loose = contracts.restrictions(restrctr, genre, work, pers, strict_catalogs=False).where("idctr = 7").collect()
+    assert loose[0]["catalog_incl"] == [11, 12]
