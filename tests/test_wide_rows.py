@@ -72,3 +72,17 @@ def test_contract_base_keeps_contracts_whose_restrictions_name_nothing(spark):
     assert got == {7: (["R"], [], [11], [], [], [4, 5]), 8: ([], [], [], [], [], []), 9: ([], [], [], [], [], [])}
     loose = contracts.restrictions(restrctr, genre, work, pers, strict_catalogs=False).where("idctr = 7").collect()
     assert loose[0]["catalog_incl"] == [11, 12]
+
+
+def test_static_keys_join_the_countries_to_distinct_rows_only(spark):
+    tables = world.load_world(spark, SMALL)
+    sets = spark.createDataFrame([(i, [3, i + 100]) for i in range(150)], "idtercmplx int, territoires array<int>")
+    requests = restitution.single_request(tables["oeuv"].select("ide12"), 3, "DE", world.CONSULT_DATE)
+    keys = restitution.static_keys(tables, sets.unionByName(sets), requests)
+    wide = [n for name, columns, n in _nodes(keys) if name == "Join" and "territoires" in columns]
+    assert len(wide) == 1
+    plain = restitution.static_keys(tables, sets, requests, keep_territories=False)
+    assert keys.columns == [*plain.columns[:13], "territoires", *plain.columns[13:]]
+    assert keys.count() == plain.count() == plain.distinct().count() > 1000
+    assert not any(name == "Aggregate" and "LeftSemi" not in n.toString() for name, _, n in _nodes(plain))
+    assert restitution.static_keys(tables, sets.where("idtercmplx < 0"), requests).count() == 0
