@@ -86,3 +86,58 @@ def test_static_keys_join_the_countries_to_distinct_rows_only(spark):
     assert keys.count() == plain.count() == plain.distinct().count() > 1000
     assert not any(name == "Aggregate" and "LeftSemi" not in n.toString() for name, _, n in _nodes(plain))
     assert restitution.static_keys(tables, sets.where("idtercmplx < 0"), requests).count() == 0
+
+
+def test_only_longest_chains_meet_owner_rows(spark, monkeypatch):
+    """The filter made before matching keeps what the filter over all matches keeps, and writes no other matches."""
+    import random
+
+    rnd = random.Random(5)
+    flat = spark.createDataFrame(
+        [([rnd.choice((None, 1, 2, 3, 4)), *range(rnd.randrange(4))], rnd.choice((901, 902, 903, None)), rnd.choice("EA"), 950,
+          "SE", 50.0, 0.0, rnd.choice(("DE", "DR")), [3, 4][:rnd.randrange(3)], [7]) for _ in range(60)],
+        "chain array<int>, assignor_catalog long, assignor_role string, assignee_catalog long, assignee_role string, "
+        "pct_publisher double, pct_creator double, right_type string, territories array<int>, work_excl array<long>")
+    owners = [(q, rnd.randrange(6), rnd.choice(("A", None)), rnd.choice((901, 902, 904, None)), float(i), "E", 1,
+               rnd.choice((100, 101, None))) for i in range(120) for q in (1, 2, None)]
+    ddl = ("num_contexte int, ide12 long, let string, numcatal long, cle double, cdecategadsacem string, gestnr int, "
+           "priort long, cdetypdrtsacem string, code_iso4n_pays int")
+    single = spark.createDataFrame([(*o, "DE" if o[0] == 1 else "DR", 3 if o[0] == 2 else 4) for o in owners], ddl)
+    mixed = spark.createDataFrame([(*o, rnd.choice(("DE", "DR")), rnd.choice((3, 4))) for o in owners], ddl)
+    written = []
+    for keys, request_keys, strict in ((single, ["num_contexte"], False), (single, ["num_contexte"], True),
+                                       (mixed, [], False), (mixed, ["num_contexte"], True)):
+        rows = restitution.owner_chains(keys, flat).select(
+            *request_keys, "ide12", F.col("let").alias("lettrage"), F.col("numcatal").alias("numcatal_cedant_origine"),
+            F.coalesce("assignor_role", "cdecategadsacem").alias("role_ad_origine"),
+            F.coalesce("assignee_catalog", "numcatal").alias("numcatal_ayant_droit_final"),
+            F.coalesce("assignee_role", "cdecategadsacem").alias("role_ad_final"), F.col("chain").alias("chaine_contrats"),
+            F.col("pct_publisher").alias("pct_editeur"), F.col("pct_creator").alias("pct_createur"),
+            "cle", "priort", "gestnr", "work_excl")
+        all_first = restitution.longest_chains(rows, request_keys, strict)
+        want = sorted(map(str, all_first.collect()))
+        with monkeypatch.context() as m:
+            m.setattr(restitution, "materialize", lambda df, name, real=restitution.materialize: written.append(
+                (name, keys is mixed and strict)) or real(df, name))
+            got = restitution.match_chains(keys, flat, request_keys, strict)
+        assert got.columns == all_first.columns
+        assert sorted(map(str, got.collect())) == want and len(want) > 10
+    assert ("matched", False) not in written and ("longest", False) in written
+
+
+def test_owner_rows_of_both_joins_share_one_shuffle(spark):
+    flat = spark.createDataFrame([([7], 901, "E", 950, "SE", 75.0, 0.0, "DE", [250, 1])],
+        "chain array<int>, assignor_catalog long, assignor_role string, assignee_catalog long, assignee_role string, "
+        "pct_publisher double, pct_creator double, right_type string, territories array<int>")
+    keys = spark.createDataFrame([(1, c, "DE", 250) for c in (901, 902, None)],
+                                 "ide12 long, numcatal long, cdetypdrtsacem string, code_iso4n_pays int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = restitution.owner_chains(keys, flat)
+        got = sorted((str(r.numcatal), r.assignee_catalog) for r in joined.collect())
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == [("901", 950), ("902", None), ("None", None)]
+    assert "ReusedExchange" in plan
