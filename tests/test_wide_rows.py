@@ -141,3 +141,20 @@ def test_owner_rows_of_both_joins_share_one_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert got == [("901", 950), ("902", None), ("None", None)]
     assert "ReusedExchange" in plan
+
+
+def test_repeated_hashes_are_told_by_a_map_of_fixed_size(spark, monkeypatch):
+    """However many rows repeat, the rows of a hash of their own are not shuffled."""
+    from rightsweave.operators import distinct
+
+    monkeypatch.setattr(distinct, "MAP_WORDS", 64, raising=False)
+    rows = spark.range(3000).select((F.col("id") % 2900).alias("a"), F.array(F.col("id") % 2900).alias("b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        out = distinct.distinct_rows(rows, "rows")
+        assert sorted(r["a"] for r in out.collect()) == list(range(2900))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
