@@ -158,3 +158,55 @@ def test_repeated_hashes_are_told_by_a_map_of_fixed_size(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_rows_without_repeats_are_read_as_written(spark):
+    from rightsweave.operators.distinct import distinct_rows
+
+    out = distinct_rows(spark.range(500).select("id", F.array("id").alias("b")), "rows")
+    assert out.columns == ["id", "b"] and out.count() == 500
+    assert {name for name, _, _ in _nodes(out)} <= {"Project", "LogicalRelation"}
+
+
+def test_rows_with_an_id_are_written_once_unless_they_repeat(spark, monkeypatch):
+    from rightsweave.operators import distinct
+    from rightsweave.plans import chains
+
+    tables = world.load_world(spark, SMALL)
+    sets = spark.createDataFrame([(i, [3, 1, 3, None]) for i in range(150)], "idtercmplx int, territoires array<int>")
+    base = contracts.contract_base(tables, sets, world.CONSULT_DATE)
+    written = []
+    for module in (distinct, chains):
+        monkeypatch.setattr(module, "materialize", lambda df, name, real=distinct.materialize: written.append(
+            (name, len(df.columns))) or real(df, name))
+    once = chains.with_row_id(base)
+    assert [name for name, columns in written if columns > 2] == ["base_rows"]
+    assert once.columns == [*contracts.CHAIN_COLUMNS, "rid"]
+    twice = chains.with_row_id(base.unionByName(base.where("contract_type = 'ADMIN'")))
+    for rows in (once, twice):
+        assert rows.count() == rows.select("rid").distinct().count() == rows.drop("rid").distinct().count() > 300
+    assert sorted(map(str, once.drop("rid").collect())) == sorted(map(str, twice.drop("rid").collect()))
+    assert all(r["territories"] == [1, 3, None] for r in once.select("territories").collect())
+
+
+def test_rows_of_several_levels_are_found_without_reading_their_lists(spark):
+    from rightsweave.operators import distinct
+    from rightsweave.plans import chains
+
+    ddl = "chain array<int>, assignable int, territories array<int>"
+    parts = [spark.createDataFrame(rows, ddl) for rows in (
+        [([1], 1, [3]), ([2], 1, [3])], [([1, 2], 1, [3]), ([1], 1, [3]), ([1], 1, [4]), ([2], 0, [3]), (None, 1, [3])])]
+    parts = [distinct.materialize(p, "part") for p in parts]
+    out = chains.union_levels(parts)
+    want = parts[0].union(parts[1]).distinct()
+    assert out.count() == 6 and sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    hashes = [n.toString() for name, _, n in _nodes(out) if name == "Project" and "xxhash64" in n.toString()]
+    assert hashes and not any("territories" in h[h.index("xxhash64("):].split(")")[0] for h in hashes)
+
+
+def test_contract_base_has_one_buffer_for_all_restriction_sets(spark):
+    tables = world.load_world(spark, SMALL)
+    sets = spark.createDataFrame([], "idtercmplx int, territoires array<int>")
+    base = contracts.contract_base(tables, sets, world.CONSULT_DATE)
+    gathered = [n.verboseString(10_000) for name, _, n in _nodes(base) if name == "Aggregate"]
+    assert sum(x.count("collect_set(") for x in gathered) == 3
