@@ -91,3 +91,14 @@ def test_closure_of_a_deep_hierarchy(spark):
     assert T.closure(edges).count() == n * (n + 1) // 2
     ring = spark.createDataFrame([(i, (i + 1) % 9) for i in range(9)], "cdepaysiso4npere int, cdepaysiso4nfils int")
     assert T.closure(ring).count() == 81
+
+
+def test_children_of_several_parts_meet_the_parents_in_one_join(spark):
+    ddl = f"{T.PARENT} int, {T.CHILD} int"
+    parts = [spark.createDataFrame([(9, p), (p, 100 + p), (p, 7), (None, 8), (8, None)], ddl) for p in (1, 2, 3)]
+    edges = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    lv = T.leaves(edges)
+    assert lv._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 1
+    assert rows(lv) == [(7,), (101,), (102,), (103,)]
+    got = {r[0]: r[1] for r in T.leaf_sets(edges).collect()}
+    assert got[9] == [7, 101, 102, 103] and got[1] == [7, 101] and got[7] == [7] and 8 not in got
