@@ -24,6 +24,8 @@ from .common import identified, ship
 
 #: Rows of a block, blocks of a segment and queries of a chunk.
 BLOCK, BLOCKS, CHUNK = 256, 16, 256
+#: Copies of the queries for each shuffle partition, at most.
+COPIES = 4
 #: Stands for a null id, which ranks last.
 NO_ID = np.iinfo(np.int64).max
 #: Below every score.
@@ -117,22 +119,28 @@ _HIT = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id"
 
 
 def _chunks(segments: DataFrame, k: int, every: int) -> DataFrame:
-    """Rows of up to CHUNK queries with the k-th score of each within its own segment."""
+    """Rows of up to CHUNK queries, of one segment or several, with the k-th score of each within its own segment."""
+    def chunk(held: list[tuple[int, int, list[int]]], floors: list[int], dim: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([_packed(held, dim) | {"floors": np.array(floors, "<i8").tobytes()}], _CHUNK)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, floors, dim = [], [], None
         for batch in batches:
             for row in batch.to_pylist():
                 ids, rows, whole = _unpack(row)
                 asked = np.flatnonzero((ids != NO_ID) & (ids % every == 0))
                 vectors, queries = _numbers(whole, whole)
                 own = Segment(ids, rows, vectors)
-                for at in range(0, len(asked), CHUNK):
-                    part, floors = asked[at:at + CHUNK], []
-                    for q in part:
-                        found = own.search(queries[q], int(rows[q]), k, NONE)
-                        floors.append(found[-1][0] if len(found) == k else NONE)
-                    yield pa.RecordBatch.from_pylist([_packed([(int(ids[q]), int(rows[q]), whole[q].tolist()) for q in part],
-                                                              row["dim"]) | {"floors": np.array(floors, "<i8").tobytes()}],
-                                                     _CHUNK)
+                for q in asked:
+                    if held and (row["dim"] != dim or len(held) == CHUNK):
+                        yield chunk(held, floors, dim)
+                        held, floors = [], []
+                    dim = row["dim"]
+                    found = own.search(queries[q], int(rows[q]), k, NONE)
+                    held.append((int(ids[q]), int(rows[q]), whole[q].tolist()))
+                    floors.append(found[-1][0] if len(found) == k else NONE)
+        if held:
+            yield chunk(held, floors, dim)
 
     return segments.mapInArrow(run, "dim int, ids binary, rows binary, vectors binary, floors binary")
 
@@ -151,6 +159,11 @@ def _hits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_pylist(out, _HIT)
 
 
+def _buckets(segments: int, partitions: int) -> int:
+    """How many buckets the segments are dealt to; each gets its copy of the queries, so there are no more than tasks ask for."""
+    return max(1, min(segments // 4, COPIES * partitions))
+
+
 def top_k(table: DataFrame, k: int = 5, every: int = 50, scale: int = 256, vec_id: str = "vec_id",
           vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` best rows for each row whose id is divisible by ``every``.
@@ -162,12 +175,15 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, scale: int = 256, vec_i
     """
     rows, row = identified(table.select(F.col(vec_id).cast("long").alias("id"), quantized(F.col(vector), scale).alias("vector")
                                         ).where("vector is not null"), "vectors")
+    spark = table.sparkSession
     blocks = materialize(segments(rows.withColumnRenamed(row, "row")), "segments")
-    buckets = max(1, blocks.count() // 4)
+    buckets = _buckets(blocks.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     asked = materialize(_chunks(blocks, k, every), "queries")
     asked = asked.select("dim", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("vectors").alias("q_vectors"),
                          "floors", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
-    pairs = asked.join(blocks.withColumn("bucket", F.pmod(F.xxhash64("rows"), F.lit(buckets)).cast("int")), ["bucket", "dim"])
+    # Spark takes the copies for as small as the written queries and would broadcast them through the driver
+    pairs = blocks.withColumn("bucket", F.pmod(F.xxhash64("rows"), F.lit(buckets)).cast("int")).join(
+        asked.hint("merge"), ["bucket", "dim"])
     hits = pairs.select("dim", "q_ids", "q_rows", "q_vectors", "floors", "ids", "rows", "vectors").mapInArrow(
         lambda batches: _hits(batches, k), "query_row bigint, query_id bigint, vec_id bigint, row bigint, score bigint")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
