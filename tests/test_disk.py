@@ -8,7 +8,9 @@ import time
 from pyspark.sql import functions as F
 
 from rightsweave.operators.distinct import distinct_rows
-from rightsweave.plans import restitution
+from rightsweave import registry
+from rightsweave.plans import chain_table, chains, contracts, hubs, restitution
+from rightsweave.sources import world as W
 from rightsweave.session import discard_unread, materialize, materialize_alone, run_dir, tracked
 
 
@@ -60,3 +62,50 @@ def test_chains_go_to_requests_of_their_country_only(spark):
     found = restitution._longest_of_requests(chains, heads, longest_of, known, ["num"], ["numcatal", "cdetypdrtsacem", "code_iso4n_pays"])
     assert {(r["_k_num"], r["code_iso4n_pays"]) for r in found.collect()} == {(0, 1), (1, 2), (None, 2)}
     assert found.count() == 3
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _left(paths) -> list[str]:
+    return [p.rsplit("/", 1)[1] for p in paths if glob.glob(f"{p.removeprefix('file:')}/*")]
+
+
+def test_scalar_base_gathers_valid_contracts_only(spark, monkeypatch):
+    valid = contracts.valid_contracts(W.load_world(spark, SMALL)["contrat"], W.CONSULT_DATE).select("idctr")
+    others = {}
+
+    def counted(df, name):
+        others[name] = df.join(valid, "idctr", "left_anti").count()
+        return materialize(df, name)
+
+    monkeypatch.setattr(contracts, "materialize", counted)
+    with tracked() as paths:
+        base = registry._scalar_base(spark, SMALL)
+    assert others == {"scalar_sets": 0} and len(_left(paths)) == 1 and base.count() > 0
+
+
+def test_base_and_level_leave_one_folder_each(spark):
+    with tracked() as paths:
+        base = registry._base(spark, SMALL)
+    assert len(_left(paths)) == 1 and base.count() > 0
+    with tracked() as paths:
+        level = chains.overlap_level(base)
+    assert level.count() > 0 and not {"signatures", "signed_rows"} & set(_left(paths))
+
+
+def test_signatures_meet_whole_rows_once(spark, monkeypatch):
+    base, joins = registry._base(spark, SMALL), []
+    monkeypatch.setattr(hubs, "materialize", lambda df, name: joins.append(name) or materialize(df, name))
+    hubs.surviving_pairs(base).count()
+    assert joins == ["signatures", "signed_rows"]
+
+
+def test_chain_table_leaves_its_own_folder_only(spark, tmp_path):
+    base, path = registry._base(spark, SMALL), str(tmp_path / "table")
+    with tracked() as paths:
+        chain_table.create(base, 2, path)
+        rows = base.limit(3)
+        chain_table.apply_changes(spark, path, rows, rows.select(F.get(F.col("chain"), 0).alias("numctr")), 2)
+    assert _left(paths) == ["changed"]
+    assert chain_table.chain_rows(spark, path, base).count() == chains.build(base, 2).count()
